@@ -27,13 +27,11 @@ def logical_date(ds: str | dt.date | None, run_started: dt.datetime | None = Non
 
 @dataclass(frozen=True)
 class DateWindow:
+    """``lo .. hi``; a window with ``lo > hi`` is empty and holds no date."""
+
     lo: dt.date
     hi: dt.date
 
-    def __post_init__(self):
-        if self.lo > self.hi:
-            raise ValueError(f"empty window {self.lo}..{self.hi}")
-
     def holds(self, column: str) -> Column:
         return F.col(column).between(F.lit(self.lo), F.lit(self.hi))
 
