@@ -148,9 +148,9 @@ def validate_records(lines: DataFrame, contract: Contract, raw: str = "value") -
     has the code for a wrong type.
     """
     text = F.col(raw)
-    parsed = lines.withColumn("_r", F.from_json(text, contract.schema))
-    parsed = parsed.select(*lines.columns, "_r.*")
-    judged = parsed.withColumn("errors", R.errors_of(contract.rules()))
+    record = F.from_json(text, contract.schema)
+    parsed = _computed_once(lines, record)
+    judged = _computed_once(parsed, F.struct(R.errors_of(contract.rules()).alias("errors")))
     # only failing rows are parsed a second time, to tell bad JSON from a bad record
     shaped = text.rlike(r"(?s)^\s*\{.*\}\s*\z")
     is_object = shaped & F.when(F.size("errors") > 0, F.expr(f"try_parse_json(`{raw}`)").isNotNull()
@@ -163,6 +163,16 @@ def validate_records(lines: DataFrame, contract: Contract, raw: str = "value") -
     return judged.withColumn("error_code", code).withColumn("error_message", message)
 
 
+def _computed_once(rows: DataFrame, struct: Column) -> DataFrame:
+    """Add the fields of ``struct`` as columns that later filters do not evaluate again.
+
+    A filter on a projected column is pushed down with the column's whole expression written out
+    at every use, which would parse a record dozens of times. It cannot be pushed below a
+    generator, and a generator of one row costs next to nothing.
+    """
+    return rows.select(*rows.columns, F.inline(F.array(struct)))
+
+
 def valid_records(judged: DataFrame) -> DataFrame:
     return judged.where(F.col("error_code").isNull()).drop("errors", "error_code", "error_message")
 

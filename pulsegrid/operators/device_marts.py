@@ -99,8 +99,8 @@ def detect_crashes(events: DataFrame, order_by: str = "uptime", bucket: Column |
     return (
         rows.withColumn("prev_mono_time", before)
         .withColumn("prev_bt_device_state", F.col("_prev.bt_device_state"))
-        .drop("_prev")
         .withColumn("is_crash", crash)
+        .drop("_prev")
         .withColumn("panic_user_experience_ind",
                     F.col("is_crash") & (F.col("prev_bt_device_state") == "connected"))
         .withColumn("panic_product_experience_ind", F.col("is_crash") & in_session)

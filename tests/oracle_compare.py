@@ -76,6 +76,7 @@ def main(argv):
     wanted = argv[1:]
     spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8",
                                                    "spark.ui.enabled": "false",
+                                                   "spark.ui.showConsoleProgress": "false",
                                                    "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = duck(folder), entry.oracle_sql(), 0

@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsegrid.functions.values import SUBJECT_TABLES
 from pulsegrid.operators import (
     audience,
+    contracts,
     daily_activity,
+    device_events,
     device_marts,
     device_reports,
+    flatten,
     landing,
     pairings,
     retention,
 )
 from pulsegrid.operators.date_windows import backfill_window, event_window
-from workloads import views
+from workloads import records, views
 from workloads.views import ALL_DAYS, DS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,6 +183,72 @@ def report_ota_rate(spark, sf):
     return device_reports.ota_rate(updates)
 
 
+# --- records ----------------------------------------------------------------------------
+def _judged(spark, sf, stream):
+    if stream == "app":
+        return contracts.validate_records(records.app_lines(spark, sf), contracts.APP)
+    return contracts.validate_records(records.device_lines(spark, sf), contracts.DEVICE)
+
+
+def _verdict(spark, sf, stream):
+    complaints = F.when(F.col("error_code") == "SCHEMA_VALIDATION_ERROR",
+                        F.size("errors")).otherwise(0).cast("long")
+    return _judged(spark, sf, stream).select(
+        "event_id", "error_code", complaints.alias("error_count"))
+
+
+def app_records_flat(spark, sf):
+    return flatten.flatten_app(contracts.valid_records(_judged(spark, sf, "app")), keep=("dt",))
+
+
+def device_records_flat(spark, sf):
+    return flatten.flatten_device(
+        contracts.valid_records(_judged(spark, sf, "device")), records.registry(spark))
+
+
+def app_flat_contracts(spark, sf):
+    """Rows of every flat kind and how many of them meet its contract."""
+    flat = app_records_flat(spark, sf)
+    kinds = {"session": "device_session_record", "pairing": "device_pairing_record",
+             "auth": "user_auth_record"}
+    parts = [
+        contracts.check_flat_contract(flat.where(F.col("nova_event_name") == record), kind)
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.size("errors") == 0).alias("clean_rows"))
+        .withColumn("kind", F.lit(kind))
+        for kind, record in kinds.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def device_events_decoded(spark, sf):
+    raw = device_events.parse_raw(records.raw_device_lines(spark, sf))
+    return device_events.enrich(device_events.decode_payload(
+        device_events.flatten_raw(raw), records.registry(spark)))
+
+
+def device_events_invalid(spark, sf):
+    return device_events_decoded(spark, sf).where(~F.col("decode_success")).select(
+        "event_name", "event_timestamp_ms", "schema_id", "raw_payload", "event_local_timestamp",
+        "event_local_date", "device_component_guid", "decode_success", "payload_json")
+
+
+def device_subject_counts(spark, sf):
+    rows = device_events_decoded(spark, sf)
+    return rows.where(F.col("decode_success") & F.col("event_name").isin(*SUBJECT_TABLES)).groupBy(
+        "event_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+RECORDS: dict[str, Query] = {
+    "app_records_verdict": lambda s, d: _verdict(s, d, "app"),
+    "app_records_counts": lambda s, d: contracts.batch_counts(_judged(s, d, "app")),
+    "app_records_flat": app_records_flat,
+    "app_flat_contracts": app_flat_contracts,
+    "device_records_verdict": lambda s, d: _verdict(s, d, "device"),
+    "device_records_counts": lambda s, d: contracts.batch_counts(_judged(s, d, "device")),
+    "device_records_flat": device_records_flat,
+    "device_events_decoded": device_events_decoded,
+    "device_events_invalid": device_events_invalid,
+    "device_subject_counts": device_subject_counts,
+}
 APP: dict[str, Query] = {
     "app_events_load": app_events_load,
     "app_events_first_copy": app_events_first_copy,
@@ -207,4 +277,4 @@ def queries() -> dict[str, Query]:
             return neutral(query(spark, sf_dir))
         return run
 
-    return {name: in_utc(q) for name, q in {**APP, **DEVICE}.items()}
+    return {name: in_utc(q) for name, q in {**APP, **DEVICE, **RECORDS}.items()}
