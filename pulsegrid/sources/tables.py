@@ -170,30 +170,30 @@ def replace_window(frame: DataFrame, spec: TableSpec, window: DateWindow,
                    where: Mapping[str, object] | None = None) -> WriteReport:
     """Make ``frame`` the only content of the window's dates.
 
-    The first partition column is the date. ``where`` limits the replacement to given values of
-    further partition columns, such as one event name. A row outside that scope fails the job
-    before anything is written. Dates of the window without new rows end up empty.
+    The first partition column is the date. ``where`` limits the replacement to given values (one
+    or a list) of further partition columns, such as one event name. A row outside that scope
+    fails the job before anything is committed. Dates of the window without new rows end up empty.
     """
     spark = frame.sparkSession
     create_table(spark, spec)
     date = spec.partition_by[0]
-    scope = {**(where or {})}
+    scope = {c: list(v) if isinstance(v, (list, tuple, set)) else [v]
+             for c, v in (where or {}).items()}
     inside = window.holds(date)
-    for column, value in scope.items():
+    for column, values in scope.items():
         if column not in spec.partition_by:
             raise ValueError(f"{column} is not a partition column of {spec.name}")
-        inside = inside & (F.col(column) == F.lit(value))
+        inside = inside & F.col(column).isin(values)
     refuse = F.raise_error(F.lit(f"row outside the replaced part of {spec.name}")).cast("date")
     new = conform(frame, spec)
     guarded = F.when(F.coalesce(inside, F.lit(False)), F.col(date)).otherwise(refuse)
     new = new.withColumn(date, guarded)
     rows, parts = _insert(new, spec, overwrite=True)
     written = set(parts)
-    stale = []
-    for day in window.dates():
-        for p in partitions(spark, spec, {date: day, **scope}):
-            if p not in written:
-                stale.append(p)
+    position = {c: spec.partition_by.index(c) for c in scope}
+    stale = [
+        p for day in window.dates() for p in partitions(spark, spec, {date: day})
+        if p not in written and all(p[position[c]] in values for c, values in scope.items())]
     _drop(spark, spec, stale)
     return WriteReport(rows, parts, stale)
 

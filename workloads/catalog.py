@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.functions.values import SUBJECT_TABLES
+from pulsegrid.functions.values import CLIENT_NAMES, SUBJECT_TABLES
 from pulsegrid.operators import (
     audience,
     contracts,
@@ -16,13 +16,15 @@ from pulsegrid.operators import (
     device_events,
     device_marts,
     device_reports,
+    dimensions,
     flatten,
     landing,
     pairings,
+    quality,
     retention,
 )
 from pulsegrid.operators.date_windows import backfill_window, event_window
-from workloads import records, views
+from workloads import records, table_jobs, views
 from workloads.views import ALL_DAYS, DS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -249,6 +251,54 @@ RECORDS: dict[str, Query] = {
     "device_events_invalid": device_events_invalid,
     "device_subject_counts": device_subject_counts,
 }
+# --- dimensions and checks --------------------------------------------------------------
+def dim_date(spark, sf):
+    """Calendar around the last day of the given events."""
+    last = views.base_events(spark, sf).agg(F.max(F.to_date("ts")).alias("ds"))
+    return dimensions.calendar(last)
+
+
+def dim_device_model(spark, sf):
+    return dimensions.device_models(views.app_ods(spark, sf), DS)
+
+
+def dim_product_lifecycle(spark, sf):
+    return dimensions.with_lifecycle(views.products(spark, sf), DS)
+
+
+def dim_product_active(spark, sf):
+    return dimensions.active_products(views.products(spark, sf))
+
+
+def check_non_null(spark, sf):
+    return quality.check_not_null(
+        _devices_v1(spark, sf), "dwd_product_active_daily", ["product_id", "product_name", "client_variant"]
+    ).unionByName(quality.check_export_rows(
+        _users_v1(spark, sf).withColumn("business_date", F.col("partition_date")),
+        "dwd_user_active_daily", DS))
+
+
+def check_schema_tests(spark, sf):
+    events, products = views.app_ods(spark, sf), views.products(spark, sf)
+    return (
+        quality.check_unique(views.staging(spark, sf), "staging", ["event_guid"])
+        .unionByName(quality.check_accepted_values(events, "events", "client_name", CLIENT_NAMES))
+        .unionByName(quality.check_relationship(events, "events", "product_id", products, "product_id"))
+        .unionByName(quality.check_not_null(events, "events", ["event_guid", "client_variant"])))
+
+
+DIMENSIONS_AND_CHECKS: dict[str, Query] = {
+    "dim_date": dim_date,
+    "dim_device_model": dim_device_model,
+    "dim_product_lifecycle": dim_product_lifecycle,
+    "dim_product_active": dim_product_active,
+    "check_non_zero": lambda s, d: quality.check_non_zero(views.app_ods(s, d), "events", DS),
+    "check_day_ratio": lambda s, d: quality.check_day_ratio(views.app_ods(s, d), "events", DS),
+    "check_report_rows": lambda s, d: quality.check_report_rows(
+        _devices_v1(s, d), "dwd_product_active_daily", "2024-02-01"),
+    "check_non_null": check_non_null,
+    "check_schema_tests": check_schema_tests,
+}
 APP: dict[str, Query] = {
     "app_events_load": app_events_load,
     "app_events_first_copy": app_events_first_copy,
@@ -277,4 +327,4 @@ def queries() -> dict[str, Query]:
             return neutral(query(spark, sf_dir))
         return run
 
-    return {name: in_utc(q) for name, q in {**APP, **DEVICE, **RECORDS}.items()}
+    return {name: in_utc(q) for name, q in {**APP, **DEVICE, **RECORDS, **DIMENSIONS_AND_CHECKS, **table_jobs.QUERIES}.items()}
