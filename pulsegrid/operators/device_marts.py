@@ -148,10 +148,9 @@ def _crash_counts_by_day(rows: DataFrame, zero_fill: bool) -> DataFrame:
     """Crash counts in uptime order from per-day extremes instead of per-event look-backs.
 
     Ordered by date and uptime only a day's first event can lie below its predecessor, which is
-    the last event of the device's preceding day. So one aggregate with fixed-width buffers gives
-    all that is needed, and the look-back runs over a device's days.
+    the last event of the device's preceding day. So one pass with fixed-width buffers gives the
+    extremes, and the look-back runs over a device's days and firmware versions.
     """
-    device_day = ("event_local_date", "device_component_guid")
     fine = rows.groupBy(*_DEVICE_DAY, "device_session_id", "bt_device_state", *_CARRIED).agg(
         F.min("device_mono_time").alias("_lo"),
         F.max("device_mono_time").alias("_hi"),
@@ -160,39 +159,38 @@ def _crash_counts_by_day(rows: DataFrame, zero_fill: bool) -> DataFrame:
     )
     # an event without uptime sorts first in its day
     first_uptime = F.when(F.col("_unknown") == 0, F.col("_lo"))
-    days = fine.groupBy(*device_day).agg(
-        F.min(F.struct(first_uptime.alias("t"), *_TIES)).alias("_first"),
-        F.max(F.struct(F.col("_hi").alias("t"), *_TIES)).alias("_last"),
-    )
-    back = F.lag("_last").over(
-        Window.partitionBy("device_component_guid").orderBy("event_local_date"))
-    days = days.withColumn("_back", back)
-    session = F.col("_first.device_session_id")
-    crashes = days.where(F.col("_back.t") > F.col("_first.t")).select(
-        F.col("event_local_date").alias("_date"), F.col("device_component_guid").alias("_device"),
-        F.col("_first.client_firmware_version").alias("_firmware"),
-        F.lit(1).alias("_crash"),
-        (F.col("_back.bt_device_state") == "connected").cast("int").alias("_user"),
-        (session.isNotNull() & (session != "")).cast("int").alias("_session"),
-    )
     counts = fine.groupBy(*_DEVICE_DAY).agg(
         F.sum("_n").alias("_events"),
         F.count_distinct("device_session_id").alias("session_cnt"),
         F.sum(F.when(F.col("bt_device_state") == "disconnected", F.col("_n")).otherwise(0))
         .alias("bt_disconnected_cnt"),
         *[F.min(c).alias(c) for c in _CARRIED],
+        F.min(F.struct(first_uptime.alias("t"), *_TIES)).alias("_first"),
+        F.max(F.struct(F.col("_hi").alias("t"), *_TIES)).alias("_last"),
     )
-    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in
-            zip(_DEVICE_DAY, ("_date", "_device", "_firmware"))]
-    joined = counts.join(crashes, same, "left")
-    # a single event that crashed after an unknown state leaves nothing known to sum
-    all_unknown = (F.col("_events") == 1) & F.col("_crash").isNotNull() & F.col("_user").isNull()
-    user = F.coalesce("_user", F.lit(0))
-    return joined.select(
+    device = Window.partitionBy("device_component_guid")
+    days_before = device.orderBy(F.unix_date("event_local_date").cast("long")).rangeBetween(
+        Window.unboundedPreceding, -1)
+    looked = (
+        counts
+        .withColumn("_opening", F.min("_first").over(
+            Window.partitionBy("device_component_guid", "event_local_date")))
+        .withColumn("_back", F.max(F.struct("event_local_date", "_last")).over(days_before)["_last"])
+    )
+    opens_day = F.col("_first") == F.col("_opening")
+    crash = F.coalesce(opens_day & (F.col("_back.t") > F.col("_first.t")), F.lit(False))
+    was_connected = F.col("_back.bt_device_state") == "connected"
+    session = F.col("_first.device_session_id")
+    in_session = session.isNotNull() & (session != "")
+    user = (crash & F.coalesce(was_connected, F.lit(False))).cast("long")
+    if not zero_fill:
+        # a single event that crashed after an unknown state leaves nothing known to sum
+        user = F.when(~(crash & (F.col("_events") == 1) & was_connected.isNull()), user)
+    return looked.select(
         *_DEVICE_DAY,
-        F.coalesce("_crash", F.lit(0)).cast("long").alias("crash_cnt_total"),
-        (user if zero_fill else F.when(~all_unknown, user)).cast("long").alias("crash_cnt_user"),
-        F.coalesce("_session", F.lit(0)).cast("long").alias("crash_cnt_product"),
+        crash.cast("long").alias("crash_cnt_total"),
+        user.alias("crash_cnt_user"),
+        (crash & in_session).cast("long").alias("crash_cnt_product"),
         "session_cnt", "bt_disconnected_cnt", *_CARRIED,
     )
 

@@ -18,37 +18,42 @@ def retention_curve(user_daily: DataFrame, window: DateWindow) -> DataFrame:
     active in ``window``. A member counts as retained on a date it used the app with any product,
     up to ``window.hi``. Cohorts without a product drop out.
 
-    User rows are first cut to one per client, name, product and date, so what is joined per
-    client is bounded by dates times products however many rows the client has. After that cut
-    (client, cohort, date) is unique, and plain counts replace distinct counts.
+    One pass, no joins: user rows are cut to one per client, name, product and date, so what
+    meets per client is bounded by dates times products however many rows it has. Each client and
+    product then carries the client's dates, which are unfolded and counted. Every member is
+    active on its cohort date, so the count on that date is the cohort's size.
     """
     client = ("client_id", "client_name")
     cohort = ("cohort_date", "client_name", "product_id")
-    days = user_daily.groupBy(*client, "product_id", "partition_date").agg(
-        F.count(F.lit(1)).alias("_rows"))
-    active = days.select(*client, "partition_date").distinct()
-    recency = active.groupBy(*client).agg(
-        F.max(window.holds("partition_date")).alias("_affected"))
-    members = (
-        days.where(F.col("client_id").isNotNull() & F.col("product_id").isNotNull())
-        .groupBy(*client, "product_id").agg(F.min("partition_date").alias("cohort_date"))
-        .join(recency, list(client))
+    days = (
+        user_daily.where(F.col("client_id").isNotNull() & F.col("client_name").isNotNull())
+        .select(*client, "product_id", "partition_date").distinct()
     )
-    sizes = (
-        members.groupBy(*cohort)
-        .agg(F.count(F.lit(1)).alias("cohort_size"), F.max("_affected").alias("_affected"))
-        .where("_affected").drop("_affected")
+    of_client = Window.partitionBy(*client)
+    members = (
+        days
+        .withColumn("cohort_date",
+                    F.min("partition_date").over(Window.partitionBy(*client, "product_id")))
+        .withColumn("_dates", F.collect_set("partition_date").over(of_client))
+        .withColumn("_affected", F.max(window.holds("partition_date")).over(of_client))
+        .where((F.col("partition_date") == F.col("cohort_date")) & F.col("product_id").isNotNull())
     )
-    retained = (
-        members.join(active, list(client))
-        .where((F.col("partition_date") >= F.col("cohort_date"))
-               & (F.col("partition_date") <= F.lit(window.hi)))
+    later = F.filter("_dates", lambda d: (d >= F.col("cohort_date")) & (d <= F.lit(window.hi)))
+    grid = (
+        members.select(*cohort, "_affected", F.explode(later).alias("partition_date"))
         .groupBy(*cohort, "partition_date")
-        .agg(F.count(F.lit(1)).alias("retained_users"))
+        .agg(F.count(F.lit(1)).alias("retained_users"), F.max("_affected").alias("_affected"))
+    )
+    whole = Window.partitionBy(*cohort)
+    first_day = F.col("partition_date") == F.col("cohort_date")
+    grid = (
+        grid.withColumn("cohort_size", F.max(F.when(first_day, F.col("retained_users"))).over(whole))
+        .withColumn("_affected", F.max("_affected").over(whole))
+        .where("_affected")
     )
     rate = F.round(F.try_divide(F.col("retained_users").cast("decimal(18,0)"),
                                 F.col("cohort_size").cast("decimal(18,0)")), 4)
-    return retained.join(sizes, list(cohort)).select(
+    return grid.select(
         "cohort_date", "partition_date",
         F.datediff("partition_date", "cohort_date").alias("days_since_cohort"),
         "client_name", "product_id", "cohort_size", "retained_users",

@@ -192,7 +192,7 @@ def replace_window(frame: DataFrame, spec: TableSpec, window: DateWindow,
     written = set(parts)
     position = {c: spec.partition_by.index(c) for c in scope}
     stale = [
-        p for day in window.dates() for p in partitions(spark, spec, {date: day})
+        p for p in _window_partitions(spark, spec, window)
         if p not in written and all(p[position[c]] in values for c, values in scope.items())]
     _drop(spark, spec, stale)
     return WriteReport(rows, parts, stale)
@@ -255,19 +255,19 @@ def snapshot_then_replace(spark: SparkSession, spec: TableSpec, ds: str | dt.dat
     create_table(spark, spec)
     date = spec.partition_by[0]
     day = as_date(ds)
-    runs = sorted(p[0] for p in partitions(spark, spec) if p[0] <= day)
+    runs = sorted(p[0] for p in partitions(spark, spec) if p[0] and p[0] <= day)
     table = spark.table(spec.name)
     old = table.where(F.col(date) == F.lit(runs[-1])) if runs else table.where(F.lit(False))
     new = build(old).withColumn(date, F.lit(day))
     rows, parts = _insert(conform(new, spec), spec, overwrite=True)
-    stale = [p for p in partitions(spark, spec) if p[0] < day]
+    stale = [p for p in partitions(spark, spec) if p[0] and p[0] < day]
     _drop(spark, spec, stale)
     return WriteReport(rows, parts, stale)
 
 
 def current_state(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """The newest state of such a table."""
-    runs = [p[0] for p in partitions(spark, spec)]
+    runs = [p[0] for p in partitions(spark, spec) if p[0]]
     table = spark.table(spec.name)
     return table.where(F.col(spec.partition_by[0]) == F.lit(max(runs))) if runs else table
 
@@ -275,7 +275,7 @@ def current_state(spark: SparkSession, spec: TableSpec) -> DataFrame:
 def prune_before(spark: SparkSession, spec: TableSpec, ds: str | dt.date, days: int) -> list[tuple]:
     """Drop partitions dated before ``ds - days``."""
     first = as_date(ds) - dt.timedelta(days=days)
-    stale = [p for p in partitions(spark, spec) if p[0] < first]
+    stale = [p for p in partitions(spark, spec) if p[0] and p[0] < first]
     _drop(spark, spec, stale)
     return stale
 
@@ -291,6 +291,15 @@ def partitions(spark: SparkSession, spec: TableSpec, fixed: Mapping[str, object]
     return [tuple(_typed(spec, *piece.split("=", 1)) for piece in r[0].split("/")) for r in rows]
 
 
+def _window_partitions(spark: SparkSession, spec: TableSpec, window: DateWindow) -> list[tuple]:
+    """Partitions dated in the window: asked for by day, or filtered from all if it is long."""
+    days = window.dates()
+    if len(days) > 7:
+        return [p for p in partitions(spark, spec) if p[0] and window.lo <= p[0] <= window.hi]
+    date = spec.partition_by[0]
+    return [p for day in days for p in partitions(spark, spec, {date: day})]
+
+
 def _typed(spec: TableSpec, column: str, text: str):
     from urllib.parse import unquote
 

@@ -47,7 +47,8 @@ def neutral(frame: DataFrame) -> DataFrame:
 
 # --- app tables -------------------------------------------------------------------------
 def app_events_load(spark, sf):
-    return landing.load_app_events(views.flat_events(spark, sf), ALL_DAYS, F.col("received_at"))
+    flat = views.flat_events(spark, sf, text_times=True)
+    return landing.load_app_events(flat, ALL_DAYS, F.col("received_at"))
 
 
 def app_events_first_copy(spark, sf):

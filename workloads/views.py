@@ -50,8 +50,9 @@ def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat landing table of app events: text times, a text ``dt``, sparse payload columns."""
+def flat_events(spark: SparkSession, sf_dir: str, text_times: bool = False) -> DataFrame:
+    """The flat landing table of app events: a text ``dt``, sparse payload columns, and times as
+    text if ``text_times``."""
     rows = base_events(spark, sf_dir).withColumn("n", F.expr("(uid + k % 2) % 25 + 1"))
     product = "CASE WHEN event_type <> 'signup' THEN {} END"
     only = "CASE WHEN event_type = '{}' THEN {} END"
@@ -59,7 +60,8 @@ def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'nova-telemetry-record' AS event_name",
         "2 AS event_schema_version",
         "CASE WHEN event_id % 41 = 0 THEN '  ' ELSE concat('e-', event_id) END AS event_guid",
-        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\") AS event_timestamp",
+        ("date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")" if text_times else "ts")
+        + " AS event_timestamp",
         "CASE WHEN uid % 29 = 0 THEN 'nova_test_app' WHEN uid % 31 = 0 THEN 'app_internal' "
         "WHEN uid % 37 = 0 THEN NULL WHEN uid % 3 = 0 THEN 'nova-ios' "
         "WHEN uid % 3 = 1 THEN 'nova-android' ELSE 'nova-ohos' END AS client_name",
@@ -70,7 +72,7 @@ def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN uid % 43 = 0 THEN '' ELSE concat(uid, '-', k % 20) END AS client_id",
         "CAST(k * 1000 AS BIGINT) AS client_mono_time",
         "k % 2 = 0 AS client_is_background",
-        "concat(uid, '-', date_format(ts, 'yyyyMMdd'), '-', hour(ts) div 6) AS client_session_id",
+        "concat(uid, '-', unix_date(CAST(ts AS DATE)), '-', hour(ts) div 6) AS client_session_id",
         only.format("signup", "element_at(array('iPhone 14', 'iPad Air', 'samsung S23', 'Pixel 8', "
                               "'OnePlus 12', 'Mate 60'), CAST(uid % 6 + 1 AS INT))") + " AS nova_device_os",
         only.format("signup", "concat(k % 20, '.', k % 5)") + " AS nova_device_os_version",
@@ -88,7 +90,7 @@ def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "concat('00000000-0000-4000-8000-', lpad(n, 12, '0')) END") + " AS product_guid",
         product.format("CASE WHEN k = 50 THEN ' ' ELSE concat('1.', k % 4, '.0') END")
         + " AS product_firmware_version",
-        "date_format(ts, 'yyyy-MM-dd') AS dt",
+        "CAST(CAST(ts AS DATE) AS STRING) AS dt",
         "ts + INTERVAL 5 MINUTES AS received_at",
         "event_id", "event_type",
     )
@@ -176,7 +178,7 @@ def device_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "concat('1.', k % 4, '.0-rc') AS client_firmware_version",
             "concat('1.', k % 4, '.0') AS client_version_core",
             "concat('d-', uid) AS device_component_guid",
-            "CASE WHEN k % 11 = 0 THEN NULL ELSE concat(uid, '-', date_format(ts, 'yyyyMMdd'), '-', "
+            "CASE WHEN k % 11 = 0 THEN NULL ELSE concat(uid, '-', unix_date(CAST(ts AS DATE)), '-', "
             "hour(ts) div 6) END AS device_session_id",
             "CAST(k AS BIGINT) AS device_mono_time",
             "concat('Brand#', n) AS product_sku", "concat('m', n % 5) AS product_model_name",
