@@ -34,8 +34,18 @@ class Rule:
         return F.when(broken, F.lit(f"{self.path}: {self.problem}"))
 
 
+def complaints_of(rules: Iterable[Rule]) -> Column:
+    """All complaints as one text, a line each; empty if there are none."""
+    return F.concat_ws("\n", *[r.complaint() for r in rules])
+
+
+def complaint_list(complaints: Column) -> Column:
+    return F.when(complaints == "", F.array().cast("array<string>")).otherwise(
+        F.split(complaints, "\n"))
+
+
 def errors_of(rules: Iterable[Rule]) -> Column:
-    return F.array_compact(F.array(*[r.complaint() for r in rules]))
+    return complaint_list(complaints_of(rules))
 
 
 # --- single fields ----------------------------------------------------------------------

@@ -7,6 +7,7 @@ spelling other than the hyphenated one make a record invalid. Unknown fields are
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -150,27 +151,29 @@ def validate_records(lines: DataFrame, contract: Contract, raw: str = "value") -
     text = F.col(raw)
     record = F.from_json(text, contract.schema)
     parsed = _computed_once(lines, record)
-    judged = _computed_once(parsed, F.struct(R.errors_of(contract.rules()).alias("errors")))
-    # only failing rows are parsed a second time, to tell bad JSON from a bad record
-    shaped = text.rlike(r"(?s)^\s*\{.*\}\s*\z")
-    is_object = shaped & F.when(F.size("errors") > 0, F.expr(f"try_parse_json(`{raw}`)").isNotNull()
-                                ).otherwise(F.lit(True))
-    is_object = F.coalesce(is_object, F.lit(False))
-    code = F.when(~is_object, V.INVALID_TYPE).when(
-        F.size("errors") > 0, V.SCHEMA_VALIDATION_ERROR)
+    judged = parsed.withColumn("_complaints", R.complaints_of(contract.rules()))
+    # text that fails to parse leaves every field null; only such rows are parsed once more
+    nothing = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in contract.schema.names])
+    broken = nothing & F.expr(f"try_parse_json(`{raw}`)").isNull()
+    shaped = F.coalesce(text.rlike(r"(?s)^\s*\{.*\}\s*\z"), F.lit(False))
+    code = F.when(~shaped, V.INVALID_TYPE).when(broken, V.INVALID_TYPE).when(
+        F.col("_complaints") != "", V.SCHEMA_VALIDATION_ERROR)
     message = F.when(F.col("error_code") == V.INVALID_TYPE, "not a JSON object").when(
         F.col("error_code").isNotNull(), F.to_json("errors"))
-    return judged.withColumn("error_code", code).withColumn("error_message", message)
+    return (judged.withColumn("errors", R.complaint_list(F.col("_complaints")))
+            .withColumn("error_code", code).drop("_complaints")
+            .withColumn("error_message", message))
 
 
-def _computed_once(rows: DataFrame, struct: Column) -> DataFrame:
-    """Add the fields of ``struct`` as columns that later filters do not evaluate again.
+def _computed_once(rows: DataFrame, record: Column) -> DataFrame:
+    """Add the fields of ``record`` as columns that later filters do not evaluate again.
 
     A filter on a projected column is pushed down with the column's whole expression written out
-    at every use, which would parse a record dozens of times. It cannot be pushed below a
+    at every use, which would parse a record once for every rule. It cannot be pushed below a
     generator, and a generator of one row costs next to nothing.
     """
-    return rows.select(*rows.columns, F.inline(F.array(struct)))
+    once = rows.select(*rows.columns, F.explode(F.array(record)).alias("_record"))
+    return once.select(*rows.columns, "_record.*")
 
 
 def valid_records(judged: DataFrame) -> DataFrame:

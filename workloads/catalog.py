@@ -24,6 +24,7 @@ from pulsegrid.operators import (
     retention,
 )
 from pulsegrid.operators.date_windows import backfill_window, event_window
+from pulsegrid.session import use_defaults
 from workloads import records, table_jobs, views
 from workloads.views import ALL_DAYS, DS
 
@@ -324,7 +325,7 @@ DEVICE: dict[str, Query] = {f.__name__: f for f in (
 def queries() -> dict[str, Query]:
     def in_utc(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            use_defaults(spark)
             return neutral(query(spark, sf_dir))
         return run
 

@@ -6,7 +6,7 @@ from workloads import records as R
 
 _EVENTS = r"""
 lines AS (
-  SELECT *, event_id % 53 AS bad, epoch_us(ts) // 1000 AS ms,
+  SELECT *, """ + R.SEED_COLUMNS + r""", event_id % 53 AS bad, epoch_us(ts) // 1000 AS ms,
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso,
     base64(unhex(
       coalesce('0A' || printf('%02X', length(state)) || hex(state), '')

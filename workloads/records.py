@@ -13,8 +13,17 @@ from pyspark.sql import functions as F
 from workloads import views
 
 
-def _uuid(seed: str) -> str:
-    m = f"md5({seed})"
+# texts that ids are cut from, computed once per row
+SEEDS = {
+    "m_client": "md5(concat('c', CAST(uid AS STRING)))",
+    "m_product": "md5(concat('p', CAST(n AS STRING)))",
+    "m_event": "md5(concat('e', CAST(event_id AS STRING)))",
+    "m_device": "md5(concat('d', CAST(uid AS STRING)))",
+}
+SEED_COLUMNS = ", ".join(f"{sql} AS {name}" for name, sql in SEEDS.items())
+
+
+def _uuid(m: str) -> str:
     return (f"concat(substr({m}, 1, 8), '-', substr({m}, 9, 4), '-', substr({m}, 13, 4), '-', "
             f"substr({m}, 17, 4), '-', substr({m}, 21, 12))")
 
@@ -24,7 +33,7 @@ _CLIENT = f"""concat(
   '","variant":"', CASE uid % 3 WHEN 0 THEN 'prod' WHEN 1 THEN 'staging' ELSE 'dev' END,
   '","version":"', CASE WHEN bad = 3 THEN 'not_a_semver' ELSE concat('3.', CAST(uid % 4 AS STRING), '.0') END,
   '","build":', CASE WHEN bad = 8 THEN '7' ELSE '"2024.01.15"' END,
-  ',"client_id":"', CASE WHEN bad = 2 THEN 'nobody' ELSE {_uuid("concat('c', CAST(uid AS STRING))")} END,
+  ',"client_id":"', CASE WHEN bad = 2 THEN 'nobody' ELSE {_uuid("m_client")} END,
   '","mono_time":', CAST(k * 1000 AS STRING),
   ',"is_background":', CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END,
   ',"session_id":', CASE WHEN bad = 9 THEN '0' WHEN bad = 14 THEN '"5"' ELSE CAST(uid + 1 AS STRING) END,
@@ -35,7 +44,7 @@ _PRODUCT = f"""concat(
   '{{"name":"Brand#', CAST(n AS STRING), '","product_id":"',
   CASE WHEN bad = 16 THEN '1A2B' ELSE concat('0x00', lpad(CAST(n AS STRING), 2, '0')) END,
   '","variant":', CASE WHEN bad = 12 THEN '20' ELSE CAST(n % 20 AS STRING) END,
-  CASE WHEN bad = 17 THEN '' ELSE concat(',"guid":"', {_uuid("concat('p', CAST(n AS STRING))")}, '"') END,
+  CASE WHEN bad = 17 THEN '' ELSE concat(',"guid":"', {_uuid("m_product")}, '"') END,
   ',"firmware_version":"1.', CAST(k % 4 AS STRING), '.0-rc.1+b7"}}')"""
 
 _PAYLOAD = f"""CASE
@@ -60,7 +69,7 @@ def _envelope(name: str, context: str, body: str) -> str:
     return f"""CASE WHEN bad = 10 THEN '[1,2]' WHEN bad = 13 THEN '{{"event_name":"cut' ELSE concat(
   '{{"event_name":"', CASE WHEN bad = 1 THEN 'other' ELSE '{name}' END,
   '","event_schema_version":2',
-  CASE WHEN bad = 11 THEN '' ELSE concat(',"event_guid":"', {_uuid("concat('e', CAST(event_id AS STRING))")}, '"') END,
+  CASE WHEN bad = 11 THEN '' ELSE concat(',"event_guid":"', {_uuid("m_event")}, '"') END,
   ',"event_timestamp":"', iso, CASE WHEN bad = 7 THEN '' WHEN k % 5 = 0 THEN '+08:00' ELSE 'Z' END,
   '","client_ctx":', {_CLIENT},
   CASE WHEN bad = 4 THEN '' ELSE concat(',"{context}":', {body}) END, '}}') END"""
@@ -81,7 +90,7 @@ _DEVICE_BODY = f"""concat(
   ',"firmware_platform_id":', CASE WHEN bad = 23 THEN '1' ELSE '"arm-v1"' END,
   ',"is_signed":true,"is_encrypted":', CASE WHEN bad = 24 THEN '"no"' ELSE 'false' END,
   ',"component_guid":', CASE WHEN k % 2 = 0 THEN 'null' WHEN bad = 25 THEN '"g"'
-    ELSE concat('"', {_uuid("concat('d', CAST(uid AS STRING))")}, '"') END,
+    ELSE concat('"', {_uuid("m_device")}, '"') END,
   ',"product_ctx":', {_PRODUCT},
   ',"payload":"', CASE WHEN bad = 26 THEN '!!' WHEN bad = 27 THEN '' WHEN bad = 28 THEN 'CAE' ELSE payload64 END,
   '"}}')"""
@@ -107,8 +116,9 @@ def _text_field(tag: str, value: str) -> str:
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = (f"base64(concat({_text_field('0A', STATE)}, {_text_field('12', STATUS)}, "
                f"unhex('18'), unhex(lpad(hex(k), 2, '0'))))")
-    return views.base_events(spark, sf_dir).selectExpr(
-        "*", "(uid + k % 2) % 25 + 1 AS n", "event_id % 53 AS bad", "unix_millis(ts) AS ms",
+    rows = views.base_events(spark, sf_dir).selectExpr("*", "(uid + k % 2) % 25 + 1 AS n")
+    return rows.selectExpr(
+        "*", *[f"{sql} AS {name}" for name, sql in SEEDS.items()], "event_id % 53 AS bad", "unix_millis(ts) AS ms",
         "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS iso", f"{payload} AS payload64")
 
 
