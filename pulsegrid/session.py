@@ -17,6 +17,9 @@ DEFAULTS = {
     # is longer runs interpreted; below this limit Spark splits the expressions instead (record
     # validation runs twice as fast for it)
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # streaming state on local disk with changes in the checkpoint, not on the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -32,7 +35,8 @@ def build_session(app: str = "pulsegrid", master: str | None = None, **conf: str
 
 def use_defaults(spark: SparkSession) -> None:
     """Set those defaults that results or speed depend on in a session made elsewhere."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit",
+                "spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set(key, DEFAULTS[key])
 
 

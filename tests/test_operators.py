@@ -60,6 +60,17 @@ def test_first_copy_with_equal_times(spark, as_rows):
     assert as_rows(again) == once
 
 
+def test_first_copy_of_a_hot_key_is_cut_before_the_shuffle(spark):
+    rows = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS event_guid",
+        "id AS event_received_at", "id AS event_timestamp")
+    once = landing.first_copy(rows)
+    assert once.count() == 2001
+    assert once.where("event_guid = 'hot'").first().event_received_at == 0
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Partial") > plan.index("Exchange"), "the limit per task comes below the exchange"
+
+
 def flat_event(spark, **values):
     columns = ("event_guid string, event_timestamp string, client_id string, client_name string, "
                "client_variant string, client_version string, client_build string, "

@@ -132,11 +132,12 @@ def export_product_active(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_records(spark: SparkSession, sf: str) -> DataFrame:
-    """App records arriving as text files, ingested in two runs of the stream; rows per outcome."""
+    """App records arriving as text files in two deliveries, each followed by a run of the stream;
+    rows per outcome of both."""
     _, folder = scratch(spark)
     lines = records.app_lines(spark, sf)
-    for half in (0, 1):
-        (lines.where(F.col("event_id") % 2 == half).select("value")
+    for delivery in (0, 1):
+        (lines.where(F.col("event_id") % 2 == delivery).select("value")
          .write.mode("append").text(f"{folder}/incoming"))
         ingest.ingest_stream(spark, f"{folder}/incoming", f"{folder}/out", f"{folder}/checkpoint",
                              contracts.APP).awaitTermination()
