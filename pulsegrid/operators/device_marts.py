@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.date_windows import DateWindow
-from pulsegrid.operators.previous_row import with_previous
+from pulsegrid.operators.previous_row import HOT_BUCKET_ROWS, with_previous
 
 SESSION = ("client_variant", "device_component_guid", "device_session_id")
 SESSION_DAY = (*SESSION, "event_local_date")
@@ -67,7 +67,7 @@ _TIES = ("client_firmware_version", "device_session_id", "bt_device_state")
 
 
 def detect_crashes(events: DataFrame, order_by: str = "uptime", bucket: Column | None = None,
-                   lookback: DataFrame | None = None) -> DataFrame:
+                   lookback: DataFrame | None = None, hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
     """Mark events whose uptime is below that of the device's preceding event.
 
     ``order_by="uptime"`` orders by date and uptime, the warehouse's order: inside a date uptime
@@ -75,14 +75,17 @@ def detect_crashes(events: DataFrame, order_by: str = "uptime", bucket: Column |
     ``event_timestamp_ms`` and finds them all. ``lookback`` gives earlier events, so that the
     first event of the window has a predecessor; its own rows are not returned.
 
-    A device is cut into buckets (a date, or an hour of event time) for the look back.
+    A device is cut into buckets (a date, or an hour of event time) for the look back, and buckets
+    of more than ``hot_rows`` events by the second.
     """
     if order_by == "uptime":
         order = ("event_local_date", "device_mono_time", *_TIES)
         bucket = F.col("event_local_date") if bucket is None else bucket
+        finer = F.floor(F.col("device_mono_time") / 1000)
     elif order_by == "event_time":
         order = ("event_timestamp_ms", "device_mono_time", *_TIES)
         bucket = F.floor(F.col("event_timestamp_ms") / 3_600_000) if bucket is None else bucket
+        finer = F.floor(F.col("event_timestamp_ms") / 1000)
     else:
         raise ValueError(f"order_by is 'uptime' or 'event_time', not {order_by!r}")
     rows = events
@@ -90,7 +93,7 @@ def detect_crashes(events: DataFrame, order_by: str = "uptime", bucket: Column |
         rows = events.withColumn("_own", F.lit(True)).unionByName(
             lookback.select(*events.columns).withColumn("_own", F.lit(False)))
     rows = with_previous(rows, ("device_component_guid",), bucket, order,
-                         ("device_mono_time", "bt_device_state"), "_prev")
+                         ("device_mono_time", "bt_device_state"), "_prev", finer, hot_rows)
     if lookback is not None:
         rows = rows.where("_own").drop("_own")
     before = F.col("_prev.device_mono_time")
@@ -227,7 +230,8 @@ def connectivity_duration(events: DataFrame, window: DateWindow,
     rows = valid_events(events, window).select(*SESSION_DAY, "device_mono_time", "bt_device_state")
     marked = with_previous(rows, SESSION_DAY, F.floor(F.col("device_mono_time") / bucket_ms),
                            ("device_mono_time", "bt_device_state"),
-                           ("device_mono_time", "bt_device_state"), "_prev")
+                           ("device_mono_time", "bt_device_state"), "_prev",
+                           F.col("device_mono_time"))
     spent = F.when(F.col("_prev.bt_device_state") == "connected",
                    F.col("device_mono_time") - F.col("_prev.device_mono_time")).otherwise(0)
     return marked.groupBy(*SESSION_DAY).agg(F.sum(spent).alias("connected_ms"))

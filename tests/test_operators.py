@@ -242,12 +242,13 @@ def test_latest_pairings_keep_unknown_products(spark, as_rows):
 
 
 # --- look back and crashes --------------------------------------------------------------
-@pytest.mark.parametrize("width", [1, 7, 1000])
-def test_previous_row_equals_lag(spark, as_rows, width):
+@pytest.mark.parametrize("width,hot_rows", [(1, 10), (7, 10), (1000, 10**6), (1000, 5), (40, 20)])
+def test_previous_row_equals_lag(spark, as_rows, width, hot_rows):
     pick = random.Random(width)
-    rows = [(pick.choice(["a", "b", None]), t, pick.choice([None, 1, 2])) for t in range(120)]
+    rows = [(pick.choice(["a", "a", "b", None]), t, pick.choice([None, 1, 2])) for t in range(120)]
     frame = spark.createDataFrame(rows, "k string, t int, v int").repartition(5)
-    bucketed = with_previous(frame, ["k"], F.floor(F.col("t") / width), ["t"], ["t", "v"])
+    bucketed = with_previous(frame, ["k"], F.floor(F.col("t") / width), ["t"], ["t", "v"],
+                             finer=F.floor(F.col("t") / 3), hot_rows=hot_rows)
     lag = F.lag(F.struct("t", "v")).over(Window.partitionBy("k").orderBy("t"))
     assert as_rows(bucketed, "k", "t", "prev.t", "prev.v") == as_rows(
         frame.withColumn("prev", lag), "k", "t", "prev.t", "prev.v")
@@ -280,7 +281,7 @@ def test_crash_counts_from_day_extremes_equal_event_look_back(spark, as_rows, se
     events = device_rows(spark, seed, 300 if seed else 25)
     fast = device_marts.crash_counts(events, ALL, zero_fill=True)
     slow = device_marts.aggregate_crashes(
-        device_marts.detect_crashes(device_marts.valid_events(events, ALL)), zero_fill=True)
+        device_marts.detect_crashes(device_marts.valid_events(events, ALL), hot_rows=9), zero_fill=True)
     assert as_rows(fast, *COUNTS, "crash_cnt_user") == as_rows(slow, *COUNTS, "crash_cnt_user")
 
 
