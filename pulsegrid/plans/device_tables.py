@@ -23,6 +23,9 @@ class DeviceTables:
         self.specs = schemas.device(database)
 
     def table(self, name: str) -> DataFrame:
+        """The table as it is now; a stream writes from a session of its own, whose commits this
+        session's cached file listing does not show."""
+        self.spark.catalog.refreshTable(self.specs[name].name)
         return self.spark.table(self.specs[name].name)
 
     def create(self) -> None:

@@ -15,6 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.operators import contracts, flatten
 from pulsegrid.operators.contracts import Contract
+from pulsegrid.operators.device_events import RAW_SCHEMA
+from pulsegrid.plans.device_tables import DeviceTables
 from pulsegrid.sources.readers import stream_new_files
 
 
@@ -65,6 +67,22 @@ def ingest_stream(spark: SparkSession, path: str, root: str, checkpoint: str, co
     return writer.start()
 
 
+def device_stream(spark: SparkSession, path: str, tables: DeviceTables, registry: DataFrame,
+                  checkpoint: str) -> StreamingQuery:
+    """Decode raw device files not seen before into the event, invalid and subject tables, and stop.
+
+    Event tables are append-only as in the batch job: a batch that fails after its first append is
+    appended again by the next run, so readers that need exact counts dedupe on the event.
+    """
+    records = stream_new_files(spark, path, RAW_SCHEMA)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tables.ingest(batch, registry, f"stream_{batch_id}")
+
+    return (records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def first_copy_stream(events: DataFrame, key: str = "event_guid", time: str = "event_timestamp",
                       lateness: str = "3 days") -> DataFrame:
     """First copy of every event in a stream.

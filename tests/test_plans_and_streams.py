@@ -188,3 +188,24 @@ def test_first_copy_stream(spark, tmp_path, as_rows):
     assert run() == [("a",), ("b",)]
     arrive(("b", 2), ("c", 3))
     assert run() == [("a",), ("b",), ("c",)]
+
+
+def test_device_stream_in_two_runs(spark, database, tmp_path, as_rows):
+    from workloads import records
+
+    source, mark = str(tmp_path / "in"), str(tmp_path / "mark")
+    job = DeviceTables(spark, database)
+
+    def arrive_and_run(*payloads):
+        lines = [(json.dumps({
+            "event_name": "reboot_info", "event_timestamp_ms": 1704067200000, "schema_id": "reboot_info-a1b2c3d",
+            "raw_payload": p, "client_ctx": {}, "device_ctx": {"mono_time": 1}, "product_ctx": {}}),)
+            for p in payloads]
+        if lines:
+            spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(source)
+        ingest.device_stream(spark, source, job, records.registry(spark), mark).awaitTermination()
+        return [job.table(t).count() for t in ("events", "invalid", "reboot_info")]
+
+    assert arrive_and_run("GAU=", "!!") == [2, 1, 1]
+    assert arrive_and_run() == [2, 1, 1]
+    assert arrive_and_run("GAY=") == [3, 1, 2]
