@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -43,11 +41,10 @@ def use_defaults(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop)
-    a local folder is made and remembered in the same setting.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset it lies beside the tables of
+    the warehouse, which all executors reach as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="pulsegrid-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return folder.rstrip("/")
