@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import mixing
+from pulsegrid.llm import mixing, packing
 from pulsegrid.llm.common import table
 
 
@@ -17,8 +17,15 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", taken)
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_mixing": op4_mixing}
+    return {
+        "op4_mixing": op4_mixing,
+        "op6_packing": op6_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
