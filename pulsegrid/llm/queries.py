@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import mixing, packing
+from pulsegrid.llm import mixing, packing, warc
 from pulsegrid.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", taken)
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -24,6 +29,7 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_mixing": op4_mixing,
+        "op5_warc": op5_warc,
         "op6_packing": op6_packing,
     }
 
