@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import mixing, packing, warc
+from pulsegrid.llm import mixing, packing, search, warc
 from pulsegrid.llm.common import table
 
 
@@ -26,11 +26,16 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op10_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_mixing": op4_mixing,
         "op5_warc": op5_warc,
         "op6_packing": op6_packing,
+        "op10_search": op10_search,
     }
 
 
