@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import mixing, packing, search, warc
-from pulsegrid.llm.common import table
+from pulsegrid.llm import mixing, packing, quality_rules, search, text_stats, warc
+from pulsegrid.llm.common import staged, table
+
+
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    stats = staged(text_stats.with_counts(docs).drop("text"), "stats")
+    rules = quality_rules.learn(stats, table(spark, folder, "labels"))
+    return quality_rules.judge(stats, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule")
 
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,6 +41,7 @@ def op10_search(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op4_mixing": op4_mixing,
         "op5_warc": op5_warc,
         "op6_packing": op6_packing,
