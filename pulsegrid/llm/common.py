@@ -45,3 +45,18 @@ def discard(*frames: DataFrame) -> None:
 def word_count(text: Column) -> Column:
     """Words of a text; no text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
+    """Whether a row belongs to the fold that is never learned from; a null id counts as empty."""
+    text = F.coalesce(doc_id.cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % modulus == remainder
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches small enough that a batch of long texts fits a Python worker. Results do not
+    depend on it; settings made elsewhere are kept."""
+    for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "2000"),
+                       ("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))):
+        if spark.conf.get(key, None) in (None, "10000", str((1 << 63) - 1), str((1 << 31) - 1)):
+            spark.conf.set(key, value)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import mixing, packing, quality_rules, search, text_stats, warc
+from pulsegrid.llm import mixing, packing, quality_model, quality_rules, search, text_stats, warc
 from pulsegrid.llm.common import staged, table
 
 
@@ -35,6 +35,11 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op7_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality_model.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(table(spark, folder, "embeddings"))
 
@@ -45,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_mixing": op4_mixing,
         "op5_warc": op5_warc,
         "op6_packing": op6_packing,
+        "op7_quality_model": op7_quality_model,
         "op10_search": op10_search,
     }
 
