@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import mixing, packing, quality_model, quality_rules, search, text_stats, warc
-from pulsegrid.llm.common import staged, table
+from pulsegrid.llm import mixing, packing, quality_model, quality_rules, search, text_stats, toxicity, warc
+from pulsegrid.llm.common import held_out, staged, table
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +20,13 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed", "kept", "rule")
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted", "spans")
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = mixing.with_size(table(spark, folder, "documents")).select("doc_id", "source", "size")
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -47,6 +54,7 @@ def op10_search(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op3_toxicity": op3_toxicity,
         "op4_mixing": op4_mixing,
         "op5_warc": op5_warc,
         "op6_packing": op6_packing,
