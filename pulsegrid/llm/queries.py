@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import mixing, packing, quality_model, quality_rules, search, text_stats, toxicity, warc
+from pulsegrid.llm import html_text, mixing, packing, quality_model, quality_rules, search, text_stats, toxicity, warc
 from pulsegrid.llm.common import held_out, staged, table
 
 
@@ -20,6 +20,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed", "kept", "rule")
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages")).select("page_id", "text")
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.learn(docs, table(spark, folder, "labels"))
@@ -54,6 +58,7 @@ def op10_search(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_html_text": op2_html_text,
         "op3_toxicity": op3_toxicity,
         "op4_mixing": op4_mixing,
         "op5_warc": op5_warc,
