@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import html_text, mixing, packing, quality_model, quality_rules, search, text_stats, toxicity, warc
+from pulsegrid.llm import html_text, jaccard_join, mixing, packing, quality_model, quality_rules, search, text_stats, toxicity, warc
 from pulsegrid.llm.common import held_out, staged, table
 
 
@@ -51,6 +51,10 @@ def op7_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.linked_components(table(spark, folder, "documents"))
+
+
 def op10_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(table(spark, folder, "embeddings"))
 
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_warc": op5_warc,
         "op6_packing": op6_packing,
         "op7_quality_model": op7_quality_model,
+        "op8_jaccard_join": op8_jaccard_join,
         "op10_search": op10_search,
     }
 
