@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import html_text, jaccard_join, mixing, packing, quality_model, quality_rules, search, text_stats, toxicity, warc
+from pulsegrid.llm import html_text, jaccard_join, mixing, packing, quality_model, quality_rules, search, suffix_dedup, text_stats, toxicity, warc
 from pulsegrid.llm.common import held_out, staged, table
 
 
@@ -55,6 +55,10 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.linked_components(table(spark, folder, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, folder, "documents"))
+
+
 def op10_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(table(spark, folder, "embeddings"))
 
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_packing": op6_packing,
         "op7_quality_model": op7_quality_model,
         "op8_jaccard_join": op8_jaccard_join,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_search": op10_search,
     }
 
