@@ -35,3 +35,28 @@ def maybe_in(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     log2_bits = (len(words) * 64).bit_length() - 1
     place = keys >> np.uint64(64 - log2_bits)
     return ((words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
+def marked(rows: DataFrame, ids: DataFrame, column: str, log2_bits: int = 23) -> DataFrame:
+    """``rows`` with ``_maybe``: whether the value of ``column`` may be among ``ids.doc_id``."""
+    hashed = ids.select(F.xxhash64(F.col("doc_id").cast("long")).alias("h"))
+    words = rows.sparkSession.sparkContext.broadcast(bitmap(hashed, "h", log2_bits))
+
+    @F.pandas_udf("boolean")
+    def test(h: pd.Series) -> pd.Series:
+        return pd.Series(maybe_in(words.value, h.to_numpy().view(np.uint64)))
+
+    return rows.withColumn("_maybe", test(F.xxhash64(F.col(column).cast("long"))))
+
+
+def without(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """``rows`` whose value is not among ``ids.doc_id``; only those that may be are shuffled."""
+    tested = marked(rows, ids, column)
+    gone = ids.select(F.col("doc_id").alias("_gone"))
+    rest = tested.where("_maybe").join(gone, F.col(column) == F.col("_gone"), "left_anti")
+    return tested.where("NOT _maybe").unionAll(rest).drop("_maybe")
+
+
+def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` joined with ``ids`` on doc_id; most rows without a partner are not shuffled."""
+    return marked(rows, ids, "doc_id").where("_maybe").drop("_maybe").join(ids, "doc_id")

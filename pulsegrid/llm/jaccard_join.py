@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.bitmap import without
 from pulsegrid.llm.common import bound_batches, discard, staged
 from pulsegrid.llm.graph import components
 from pulsegrid.llm.shingles import mixed, shingle_sets
@@ -359,7 +360,7 @@ def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without those that belong to a component of another document; documents without
-    shingles stay."""
+    shingles, and rows without an id, stay."""
     found = linked_components(docs, percent)
-    gone = found.where("n_shingles > 0 AND component_id != doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = found.where("n_shingles > 0 AND component_id != doc_id").select("doc_id").distinct()
+    return without(docs, staged(gone, "gone"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from pulsegrid.llm import html_text, jaccard_join, mixing, packing, quality_model, quality_rules, search, suffix_dedup, text_stats, toxicity, warc
 from pulsegrid.llm.common import held_out, staged, table
 
@@ -75,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_search": op10_search,
+        "pipeline": corpus_pipeline.run,
     }
 
 

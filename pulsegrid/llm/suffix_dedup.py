@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.bitmap import bitmap, maybe_in
+from pulsegrid.llm.bitmap import among, bitmap, maybe_in, without
 from pulsegrid.llm.common import bound_batches, discard, staged
 from pulsegrid.llm.shingles import mixed
 from pulsegrid.llm.suffix_array import least_by_window
@@ -163,18 +163,6 @@ def occurrences(texts: DataFrame, shared: DataFrame) -> DataFrame:
     return found.join(shared, "anchor", "left_semi")
 
 
-def near(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``texts`` whose doc_id is among ``ids``; most others are held back ahead of the join."""
-    hashed = ids.select(F.xxhash64("doc_id").alias("h"))
-    words = texts.sparkSession.sparkContext.broadcast(bitmap(hashed, "h", 23))
-
-    @F.pandas_udf("boolean")
-    def wanted(h: pd.Series) -> pd.Series:
-        return pd.Series(maybe_in(words.value, h.to_numpy().view(_U)))
-
-    return texts.where(wanted(F.xxhash64("doc_id"))).join(ids, "doc_id")
-
-
 def segment_bytes(texts: DataFrame, found: DataFrame) -> DataFrame:
     """``anchor, segment, doc_id, bytes``: each different segment, from its first document."""
     first = found.groupBy("anchor", "segment").agg(F.min(F.struct("doc_id", "start", "length")).alias("x"))
@@ -193,7 +181,7 @@ def segment_bytes(texts: DataFrame, found: DataFrame) -> DataFrame:
                 [flat.field(0), flat.field(1), batch.column("doc_id").take(pa.array(row)), pa.array(cut, pa.binary())],
                 names=["anchor", "segment", "doc_id", "bytes"])
 
-    return near(texts, places).select("doc_id", "text", "places").mapInArrow(
+    return among(texts, places).select("doc_id", "text", "places").mapInArrow(
         run, "anchor long, segment long, doc_id long, bytes binary")
 
 
@@ -301,14 +289,7 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
     # copies and short texts stay out of the search
     out = staged(states.where("state != 'open' AND doc_id IS NOT NULL").select("doc_id").distinct(), "out")
-    words = docs.sparkSession.sparkContext.broadcast(bitmap(out.select(F.xxhash64("doc_id").alias("h")), "h", 23))
-
-    @F.pandas_udf("boolean")
-    def may_be_out(h: pd.Series) -> pd.Series:
-        return pd.Series(maybe_in(words.value, h.to_numpy().view(_U)))
-
-    marked = texts.withColumn("_out", may_be_out(F.xxhash64("doc_id")))
-    searched = marked.where("NOT _out").unionAll(marked.where("_out").join(out, "doc_id", "left_anti")).drop("_out")
+    searched = without(texts, out)
     shared = staged(anchors(searched).groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                     .where("a != b").select("anchor"), "anchors")
     found = staged(occurrences(searched, shared), "occurrences")
@@ -353,7 +334,7 @@ def report(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "removed", "runs", "left"])
 
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
-    changed = staged(near(texts, runs).select("doc_id", "text", "runs").mapInArrow(
+    changed = staged(among(texts, runs).select("doc_id", "text", "runs").mapInArrow(
         cut, "doc_id long, removed long, runs long, left string").distinct(), "changed")
     copy = F.col("state") == "copy"
     return states.join(changed, "doc_id", "left").select(
@@ -367,8 +348,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text`` (a character cut in part goes whole)
     and ``n_chars`` set anew where it is there; documents of which nothing is left are gone."""
     states, runs = removals(docs)
-    copies = states.where("state = 'copy'").select(F.col("doc_id").alias("_id")).distinct()
-    rest = docs.join(staged(copies, "copies"), F.col("doc_id") == F.col("_id"), "left_anti")
+    copies = staged(states.where("state = 'copy'").select("doc_id").distinct(), "copies")
+    rest = without(docs, copies)
     joined = rest.join(runs.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
 
     @F.pandas_udf("string")
