@@ -3,8 +3,8 @@
 Every source has a target of words. Whole copies that every document of a source gets are allotted
 first; what the target still lacks is a fixed-size sample, its size counted in words: documents are
 ranked by the odds of a hashed uniform number divided by their inclusion odds (Rosén's Pareto order
-sampling) and taken in that order as long as they fit, and one more document, the one that fits the
-remaining gap best, closes it.
+sampling) and taken in that order as long as they fit; a few more, each the one that fits the
+remaining gap best, close it.
 
 Inclusion odds are unequal: a document of mean size has the odds of its source's remaining share,
 longer ones less and shorter ones more, so that repeats are spread over many documents.
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import discard, staged, word_count
 
 BINS = 4096
+FITS = 3  # documents out of order, at most, that close the gap the order leaves
 WEIGHTS = (3, 1, 2)
 
 
@@ -112,7 +113,8 @@ def _cut_bin(rows: DataFrame, bins: Column, before: Column) -> DataFrame:
 
 def sample_cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source where its sample ends: ``of, last`` (rank and doc_id of the last document that
-    fits in order) and ``fit`` (rank and doc_id of the one that closes the gap), null where none."""
+    fits in order; null where none does in the cut's own bin, which begins at ``start``) and ``fits``
+    (rank and doc_id of those that close the gap)."""
     ranked = _ranked(sized, targets).where("rank IS NOT NULL").select(
         "source", "doc_id", "size", "rank", "lacking")
     first_bin = F.floor(F.col("rank") * BINS)
@@ -130,20 +132,31 @@ def sample_cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
         F.max(F.struct("rank", "doc_id")).alias("last"), F.max("upto").alias("upto"))
     # without a fitting document in the cut's own bin the sample ends just ahead of that bin
     start = (F.col("cut") + F.col("cut2") / BINS) / BINS
-    ends = staged(cuts.join(fitting.withColumnRenamed("source", "of2"),
-                            F.col("of").eqNullSafe(F.col("of2")), "left").select(
-        "of", "last", start.alias("start"),
-        F.coalesce(F.col("upto"), F.col("ahead2")).alias("taken")), "ends")
-    gap = F.col("lacking") - F.col("taken")
-    fits = (ranked.join(ends, same).where(~_before(F.col("rank"), F.col("doc_id")))
-            .where(F.abs(gap - F.col("size")) < gap).groupBy("source").agg(
-        F.min(F.struct(F.abs(gap - F.col("size")), "rank", "doc_id")).alias("fit")))
-    result = staged(ends.join(fits.withColumnRenamed("source", "of3"),
-                              F.col("of").eqNullSafe(F.col("of3")), "left")
-                    .select("of", "last", "start", F.struct("fit.rank", "fit.doc_id").alias("fit")),
-                    "cuts")
-    discard(cut1, cut2, cuts, ends)
-    return result
+    gap = F.col("lacking") - F.coalesce(F.col("upto"), F.col("ahead2"))
+    joined = cuts.join(fitting.withColumnRenamed("source", "of2"), F.col("of").eqNullSafe(F.col("of2")), "left")
+    lacking = targets.select(F.col("source").alias("of4"), (
+        F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size")).alias("lacking"))
+    ends = staged(joined.join(lacking, F.col("of").eqNullSafe(F.col("of4"))).select(
+        "of", "last", start.alias("start"), gap.alias("gap"),
+        F.lit([]).cast("array<struct<rank:double,doc_id:%s>>" % sized.schema["doc_id"].dataType.simpleString())
+        .alias("fits")), "ends")
+    for _ in range(FITS):
+        apart = F.abs(F.col("gap") - F.col("size"))
+        rest = ranked.join(ends, same).where(~_before(F.col("rank"), F.col("doc_id")) & ~_fitted() & (apart < F.col("gap")))
+        best = rest.groupBy("source").agg(F.min(F.struct(apart.alias("apart"), "rank", "doc_id", "size")).alias("best"))
+        closer = ends.join(best.withColumnRenamed("source", "of3"), F.col("of").eqNullSafe(F.col("of3")), "left")
+        before, ends = ends, staged(closer.select(
+            "of", "last", "start", (F.col("gap") - F.coalesce(F.col("best.size"), F.lit(0))).alias("gap"),
+            F.when(F.col("best").isNull(), F.col("fits")).otherwise(
+                F.array_append("fits", F.struct("best.rank", "best.doc_id"))).alias("fits")), "ends")
+        discard(before)
+    discard(cut1, cut2, cuts)
+    return ends
+
+
+def _fitted() -> Column:
+    """Whether a document is among those that close the gap."""
+    return F.exists("fits", lambda f: (f["rank"] == F.col("rank")) & f["doc_id"].eqNullSafe(F.col("doc_id")))
 
 
 def _before(rank: Column, doc_id: Column) -> Column:
@@ -164,7 +177,7 @@ def mix(sized: DataFrame, share: float = 1.5, most: float = 2.0,
     share source and size. A source without words has target 0. Empty input gives no rows. Columns
     named like the added ones are replaced; all others pass through.
     """
-    added = ("source_size", "target", "copies", "docs", "of", "last", "start", "fit", "ratio",
+    added = ("source_size", "target", "copies", "docs", "of", "last", "start", "fits", "gap", "ratio",
              "whole", "share_left", "lacking", "u", "rank")
     sized = sized.drop(*added)
     narrow = staged(sized.select("doc_id", "source", "size"), "sizes")
@@ -172,11 +185,9 @@ def mix(sized: DataFrame, share: float = 1.5, most: float = 2.0,
     cuts = sample_cuts(narrow, targets)
     discard(narrow)
     rows = _ranked(sized, targets).join(cuts, F.col("source").eqNullSafe(F.col("of")), "left")
-    fit = F.coalesce((F.col("rank") == F.col("fit.rank"))
-                     & F.col("doc_id").eqNullSafe(F.col("fit.doc_id")), F.lit(False))
     # a source whose words never pass what is lacking has no cut and is taken whole
     chosen = F.col("rank").isNotNull() & (
-        F.col("start").isNull() | _before(F.col("rank"), F.col("doc_id")) | fit)
+        F.col("start").isNull() | _before(F.col("rank"), F.col("doc_id")) | _fitted())
     return rows.select(*sized.columns, "source_size", "target",
                        (F.col("whole") + chosen.cast("long")).alias("copies"))
 
