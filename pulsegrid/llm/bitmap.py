@@ -8,12 +8,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNKS = 1 << 12
+LOG2_CHUNK = 15  # bits that are filled as one row: 4 KB
 
 
 def bitmap(keys: DataFrame, column: str, log2_bits: int) -> np.ndarray:
-    """The filter as 64-bit words: the top ``log2_bits`` bits of a key are its place."""
-    per_chunk = 1 << (log2_bits - 12)
+    """The filter as 64-bit words: the top ``log2_bits`` (16 or more) bits of a key are its place."""
+    per_chunk = 1 << LOG2_CHUNK
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
         place = rows["place"].to_numpy()
@@ -24,7 +24,7 @@ def bitmap(keys: DataFrame, column: str, log2_bits: int) -> np.ndarray:
 
     places = keys.select(F.shiftrightunsigned(column, 64 - log2_bits).alias("place")).distinct()
     chunk = F.expr(f"place div {per_chunk}L")
-    words = np.zeros((CHUNKS, per_chunk // 64), dtype=np.uint64)
+    words = np.zeros(((1 << log2_bits) // per_chunk, per_chunk // 64), dtype=np.uint64)
     for row in places.groupBy(chunk).applyInPandas(fill, "chunk long, bits binary").toLocalIterator():
         words[row["chunk"]] = np.frombuffer(row["bits"], dtype=np.uint64)
     return words.ravel()
