@@ -1,11 +1,13 @@
 """Streaming ingest: new files -> validated flat rows and quarantine; dedupe with a lateness bound.
 
-Every batch writes into partitions named after its batch id with an overwrite, so a batch that is
-run again after a failure replaces what its first attempt left behind.
+Every batch writes into partitions named after its query and batch id with an overwrite, so a batch
+that is run again after a failure replaces what its first attempt left behind, and a second query or
+a new checkpoint, whose batches count from 0 again, leaves what others wrote.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -20,27 +22,33 @@ from pulsegrid.plans.device_tables import DeviceTables
 from pulsegrid.sources.readers import stream_new_files
 
 
-def batch_writer(root: str, contract: Contract, registry: DataFrame | None = None
-                 ) -> Callable[[DataFrame, int], None]:
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the query of this checkpoint; it outlives restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def batch_writer(root: str, contract: Contract, registry: DataFrame | None = None,
+                 query: Callable[[], str] = lambda: "batch") -> Callable[[DataFrame, int], None]:
     """Writer of one batch of text lines to ``root/records`` and ``root/quarantine``.
 
-    The judged batch is kept while both outputs are written; quarantine rows keep the raw text.
+    ``query`` names the query whose batches are written; batches of different queries lie apart. The
+    judged batch is kept while both outputs are written; quarantine rows keep the raw text.
     """
     def write(lines: DataFrame, batch_id: int) -> None:
-        judged = contracts.validate_records(lines, contract).withColumn(
-            "batch_id", F.lit(batch_id).cast("long"))
+        judged = contracts.validate_records(lines, contract).withColumns(
+            {"query_id": F.lit(query()), "batch_id": F.lit(batch_id).cast("long")})
         judged.persist()
         try:
             good = contracts.valid_records(judged)
-            flat = (flatten.flatten_app(good, keep=("batch_id",)) if contract.stream == "app"
-                    else flatten.flatten_device(good, registry, keep=("batch_id",)))
+            flat = (flatten.flatten_app(good, keep=("query_id", "batch_id")) if contract.stream == "app"
+                    else flatten.flatten_device(good, registry, keep=("query_id", "batch_id")))
             flat = flat.withColumn("dt", F.date_format("event_timestamp", "yyyy-MM-dd"))
-            bad = contracts.failures(judged, keep=("batch_id",)).withColumn(
+            bad = contracts.failures(judged, keep=("query_id", "batch_id")).withColumn(
                 "stream_type", F.lit(contract.stream))
             dynamic = {"partitionOverwriteMode": "dynamic"}
-            (flat.write.mode("overwrite").options(**dynamic).partitionBy("batch_id", "dt")
+            (flat.write.mode("overwrite").options(**dynamic).partitionBy("query_id", "batch_id", "dt")
              .parquet(f"{root}/records"))
-            (bad.write.mode("overwrite").options(**dynamic).partitionBy("stream_type", "batch_id")
+            (bad.write.mode("overwrite").options(**dynamic).partitionBy("stream_type", "query_id", "batch_id")
              .json(f"{root}/quarantine"))
         finally:
             judged.unpersist()
@@ -58,7 +66,8 @@ def ingest_stream(spark: SparkSession, path: str, root: str, checkpoint: str, co
     otherwise the query keeps running, triggered ``every`` so often.
     """
     lines = stream_new_files(spark, path, files_per_batch=files_per_batch)
-    writer = (lines.writeStream.foreachBatch(batch_writer(root, contract, registry))
+    write = batch_writer(root, contract, registry, lambda: query_id(spark, checkpoint))
+    writer = (lines.writeStream.foreachBatch(write)
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -88,7 +97,7 @@ def first_copy_stream(events: DataFrame, key: str = "event_guid", time: str = "e
     """First copy of every event in a stream.
 
     Copies arriving within ``lateness`` of each other are recognised; state older than that is
-    dropped, so it stays bounded by the events of that span. The batch jobs cover the same span
-    by running their date window again.
+    dropped, so it stays bounded by the events of that span. Events later than that are dropped
+    altogether, first copies too: the batch jobs take them in by running their date window again.
     """
     return events.withWatermark(time, lateness).dropDuplicatesWithinWatermark([key])
