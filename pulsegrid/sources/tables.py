@@ -19,8 +19,6 @@ from pyspark.sql import types as T
 
 from pulsegrid.operators.date_windows import DateWindow, as_date
 
-MAX_PARTITIONS_PER_WRITE = 100_000
-
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -202,12 +200,15 @@ def merge_update(source: DataFrame, spec: TableSpec, keys: Sequence[str], set_co
                  window: DateWindow) -> WriteReport:
     """Set columns of matching rows from ``source`` (one row per key) in the window's partitions.
 
-    Null keys match nothing. Only the window's partitions are read and rewritten.
+    Null keys match nothing. A key that ``source`` has twice fails the job before anything is
+    committed. Only the window's partitions are read and rewritten.
     """
     spark = source.sparkSession
     target = spark.table(spec.name).where(window.holds(spec.partition_by[0]))
-    updates = source.select(
-        *keys, *[F.col(c).alias(f"_new_{c}") for c in set_columns], F.lit(True).alias("_hit"))
+    refuse = F.raise_error(F.lit(f"several new values for a key of {spec.name}")).cast("boolean")
+    updates = source.dropna(subset=list(keys)).groupBy(*keys).agg(
+        *[F.first(c).alias(f"_new_{c}") for c in set_columns],
+        F.when(F.count(F.lit(1)) > 1, refuse).otherwise(True).alias("_hit"))
     joined = target.join(updates, list(keys), "left")
     merged = joined.select(*[
         F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
@@ -231,15 +232,14 @@ def replace_keys(frame: DataFrame, spec: TableSpec, keys: Sequence[str], affecte
         raise ValueError(f"keys must include {date}")
     gone = affected.select(*keys).distinct()
     new = conform(frame, spec)
-    touched = [r[0] for r in gone.select(date).union(new.select(date)).distinct()
-               .limit(MAX_PARTITIONS_PER_WRITE + 1).collect()]
-    if len(touched) > MAX_PARTITIONS_PER_WRITE:
-        raise ValueError(f"more than {MAX_PARTITIONS_PER_WRITE} partitions of {spec.name} touched")
-    old = spark.table(spec.name).where(F.col(date).isin(touched))
+    touched = gone.select(date).union(new.select(date)).distinct()
+    old = spark.table(spec.name).join(touched, date, "left_semi")
     kept = old.join(gone, list(keys), "left_anti")
     rows, parts = _insert(conform(kept, spec).unionByName(new), spec, overwrite=True)
+    # of the touched dates, those that exist as partitions and got no rows
     written = {p[0] for p in parts}
-    stale = [p for d in touched if d not in written for p in partitions(spark, spec, {date: d})]
+    emptied = {r[0] for r in touched.collect()} - written
+    stale = [p for p in partitions(spark, spec) if p[0] in emptied] if emptied else []
     _drop(spark, spec, stale)
     return WriteReport(rows, parts, stale)
 
@@ -248,14 +248,16 @@ def snapshot_then_replace(spark: SparkSession, spec: TableSpec, ds: str | dt.dat
                           build: Callable[[DataFrame], DataFrame]) -> WriteReport:
     """State table partitioned by run date: ``build(old state)`` becomes the state of ``ds``.
 
-    The state is read from the newest partition up to ``ds``, and older partitions are dropped
-    only after the new one is committed. A rerun for ``ds`` builds on its own first result, which
-    merges by maximum leave unchanged. Newer partitions are left alone.
+    The state is read from the newest partition, and older partitions are dropped only after the
+    new one is committed. A rerun for ``ds`` builds on its own first result, which merges by maximum
+    leave unchanged. A date before the newest state is refused: the state it would build on is gone.
     """
     create_table(spark, spec)
     date = spec.partition_by[0]
     day = as_date(ds)
-    runs = sorted(p[0] for p in partitions(spark, spec) if p[0] and p[0] <= day)
+    runs = sorted(p[0] for p in partitions(spark, spec) if p[0])
+    if runs and runs[-1] > day:
+        raise ValueError(f"{spec.name} already has the state of {runs[-1]}, later than {day}")
     table = spark.table(spec.name)
     old = table.where(F.col(date) == F.lit(runs[-1])) if runs else table.where(F.lit(False))
     new = build(old).withColumn(date, F.lit(day))
@@ -292,12 +294,8 @@ def partitions(spark: SparkSession, spec: TableSpec, fixed: Mapping[str, object]
 
 
 def _window_partitions(spark: SparkSession, spec: TableSpec, window: DateWindow) -> list[tuple]:
-    """Partitions dated in the window: asked for by day, or filtered from all if it is long."""
-    days = window.dates()
-    if len(days) > 7:
-        return [p for p in partitions(spark, spec) if p[0] and window.lo <= p[0] <= window.hi]
-    date = spec.partition_by[0]
-    return [p for day in days for p in partitions(spark, spec, {date: day})]
+    """Partitions dated in the window."""
+    return [p for p in partitions(spark, spec) if p[0] and window.lo <= p[0] <= window.hi]
 
 
 def _typed(spec: TableSpec, column: str, text: str):

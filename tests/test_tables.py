@@ -107,6 +107,16 @@ def test_merge_update(spark, database, as_rows):
         assert as_rows(spark.table(t.name), "k", "n") == [("a", 2), ("a", None), ("b", 6), (None, 7)]
 
 
+def test_merge_update_refuses_repeated_keys(spark, database, as_rows):
+    t = TableSpec(f"{database}.target", StructType.fromDDL("k string, n int, d date"), ("d",))
+    day = D("2024-01-01")
+    tables.append_table(spark.createDataFrame([("a", 1, day), ("b", 2, day)], "k string, n int, d date"), t)
+    source = spark.createDataFrame([("a", day, 5), ("a", day, 6)], "k string, d date, n int")
+    with pytest.raises(Exception, match="several new values"):
+        tables.merge_update(source, t, ["k", "d"], ["n"], DateWindow(day, day))
+    assert as_rows(spark.table(t.name), "k", "n") == [("a", 1), ("b", 2)]
+
+
 def test_replace_keys(spark, database, as_rows):
     t = spec(database)
     tables.append_table(frame(spark, ("a", 1, "2024-01-01"), ("b", 2, "2024-01-01"),
@@ -130,7 +140,8 @@ def test_snapshot_then_replace(spark, database, as_rows):
     tables.snapshot_then_replace(spark, t, "2024-01-02", adding("b", 2))
     assert as_rows(spark.table(t.name), "k", "v", F.col("run").cast("string")) == [
         ("a", 3, "2024-01-02"), ("b", 2, "2024-01-02")]
-    tables.snapshot_then_replace(spark, t, "2024-01-01", adding("z", 1))
+    with pytest.raises(ValueError):
+        tables.snapshot_then_replace(spark, t, "2024-01-01", adding("z", 1))
     assert as_rows(tables.current_state(spark, t), "k", "v") == [("a", 3), ("b", 2)]
 
 
