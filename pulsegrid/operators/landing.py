@@ -62,14 +62,17 @@ def load_app_events(flat: DataFrame, window: DateWindow, received_at: Column) ->
 
 def first_copy(events: DataFrame, key: str = "event_guid",
                order: Sequence[str] = ("event_received_at", "event_timestamp")) -> DataFrame:
-    """The earliest copy of every ``key``; equal copies are told apart by a hash of the row.
+    """The earliest copy of every ``key``; equal copies are told apart by a hash of the row. Rows
+    without a key are no copies of each other and are all kept.
 
     A ``row_number() = 1`` filter is planned with a per-task limit ahead of the shuffle, so a key
     that fills a third of the table sends one row per task and not the table to one reducer.
     """
     row_hash = F.xxhash64(*[F.col(c) for c in events.columns if c != key])
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order, row_hash))
-    return events.withColumn("_copy", rank).where("_copy = 1").drop("_copy")
+    rank = F.row_number().over(Window.partitionBy(key, "_own").orderBy(*order, row_hash))
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return (events.withColumn("_own", own).withColumn("_copy", rank).where("_copy = 1")
+            .drop("_copy", "_own"))
 
 
 def select_event(flat: DataFrame, event: str, window: DateWindow, source_schema: str,

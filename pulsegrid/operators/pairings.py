@@ -30,14 +30,19 @@ def latest_pairings(user_daily: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def days_pairings(events: DataFrame, products: DataFrame, ds: str | dt.date) -> DataFrame:
-    """Pairings seen on ``ds``, read from events that carry both a client and a device.
+    """Pairings seen on ``ds``, read from events that carry both a client and a device."""
+    day = as_date(ds)
+    return window_pairings(events, products, DateWindow(day, day))
+
+
+def window_pairings(events: DataFrame, products: DataFrame, window: DateWindow) -> DataFrame:
+    """Pairings seen on any date of the window, with the latest date of each.
 
     The user and device facts share no client key; joining them on date and variant would pair
     every user of a variant with every device of it. Rows without a variant pair with nothing.
     """
-    day = as_date(ds)
     seen = (
-        events.where(device_rows(DateWindow(day, day)) & present("client_id")
+        events.where(device_rows(window) & present("client_id")
                      & F.col("client_variant").isNotNull())
         .groupBy("client_variant", "client_id", "product_guid")
         .agg(F.max("event_local_date").alias("last_active_dt"))

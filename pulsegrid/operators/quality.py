@@ -92,9 +92,15 @@ def check_not_null(table: DataFrame, name: str, columns: Sequence[str]) -> DataF
 def check_export_rows(table: DataFrame, name: str, ds: str | dt.date,
                       required: Sequence[str] = ("business_date", "client_id", "product_id"),
                       date: str = "business_date") -> DataFrame:
-    """Required columns of an export hold no nulls on ``ds``; columns the export lacks are skipped."""
-    columns = [c for c in required if c in table.columns]
-    return check_not_null(table.where(F.col(date) == F.lit(as_date(ds))), name, columns)
+    """Required columns of an export hold no nulls on ``ds``; a column the export lacks counts as
+    null in every row, and as one violation at least."""
+    rows = table.where(F.col(date) == F.lit(as_date(ds)))
+    lacking = [c for c in required if c not in table.columns]
+    found = check_not_null(rows.withColumns({c: F.lit(None) for c in lacking}), name, list(required))
+    worst = F.when(F.col("column_name").isin(lacking), F.greatest("violations", F.lit(1))).otherwise(
+        F.col("violations"))
+    return found.withColumn("violations", worst).withColumn(
+        "status", F.when(F.col("violations") > 0, "FAIL").otherwise(F.col("status")))
 
 
 def check_unique(table: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:

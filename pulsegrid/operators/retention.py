@@ -61,6 +61,16 @@ def retention_curve(user_daily: DataFrame, window: DateWindow) -> DataFrame:
     )
 
 
+def visited_cohorts(user_daily: DataFrame, window: DateWindow) -> DataFrame:
+    """Every cohort that a client active in ``window`` can belong to or have belonged to: one for each
+    date it used a product."""
+    client = ("client_id", "client_name")
+    days = user_daily.where(F.col("client_id").isNotNull() & F.col("client_name").isNotNull())
+    active = days.where(window.holds("partition_date")).select(*client).distinct()
+    return days.join(active, list(client), "left_semi").select(
+        F.col("partition_date").alias("cohort_date"), "client_name", "product_id").distinct()
+
+
 def retention_by_day(user_daily: DataFrame, pairings: DataFrame, window: DateWindow,
                      settled: bool = False, ds: str | dt.date | None = None) -> DataFrame:
     """Users of a day, and how many of them came back 1, 2, 3 and 7 days later.

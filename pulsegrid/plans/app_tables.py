@@ -55,11 +55,23 @@ class AppTablesV1:
             pairings.latest_pairings(self.table("user_daily"), products), self.specs["pairings"])
 
     def retention(self, ds: str | dt.date, days: int) -> WriteReport:
-        """Replace the curves of the cohorts that had activity in the window."""
-        fresh = retention.retention_curve(self.table("user_daily"), backfill_window(ds, days))
+        """Replace the curves of the cohorts that had activity in the window.
+
+        Late facts can move a client to an earlier cohort. Stored cohorts that a client active in
+        the window may have left are computed again too, and go if nobody is left in them.
+        """
+        spec, window = self.specs["retention"], backfill_window(ds, days)
         keys = ("cohort_date", "client_name", "product_id")
-        with tables.staged(fresh, f"{self.specs['retention'].name}_fresh", ("cohort_date",)) as new:
-            return tables.replace_keys(new, self.specs["retention"], keys, new.select(*keys))
+        tables.create_table(self.spark, spec)
+        users, whole = self.table("user_daily"), DateWindow(dt.date(1900, 1, 1), window.hi)
+        stored = self.spark.table(spec.name).select(*keys).distinct()
+        left = stored.join(retention.visited_cohorts(users, window), list(keys), "left_semi").unionByName(
+            stored.where(window.holds("cohort_date")))
+        active = retention.retention_curve(users, window).select(*keys)
+        with tables.staged(active.unionByName(left).distinct(), f"{spec.name}_affected") as affected:
+            fresh = retention.retention_curve(users, whole).join(affected, list(keys), "left_semi")
+            with tables.staged(fresh, f"{spec.name}_fresh", ("cohort_date",)) as new:
+                return tables.replace_keys(new, spec, keys, affected)
 
     def run(self, flat: DataFrame, products: DataFrame, ds: str | dt.date, days: int,
             received_at: Column) -> dict[str, WriteReport]:
@@ -129,8 +141,9 @@ class AppTablesV2:
             daily_activity.product_daily(self.table("events"), window),
             self.specs["product_daily"], window)
 
-    def pairings(self, products: DataFrame, ds: str | dt.date) -> WriteReport:
-        today = pairings.days_pairings(self.table("events"), products, ds)
+    def pairings(self, products: DataFrame, ds: str | dt.date, days: int = 0) -> WriteReport:
+        """Merge the pairings of ``ds`` and the ``days`` before it into the state, in one pass."""
+        today = pairings.window_pairings(self.table("events"), products, self._window(ds, days))
         return tables.snapshot_then_replace(
             self.spark, self.specs["pairings"], ds,
             lambda old: pairings.roll_pairings(today, old, ds))
@@ -156,7 +169,7 @@ class AppTablesV2:
             "events": self.load(read, ds, days, legacy, event=event, per_event=per_event),
             "user_daily": self.user_daily(ds, days),
             "product_daily": self.product_daily(ds, days),
-            "pairings": self.pairings(products, ds),
+            "pairings": self.pairings(products, ds, days),
             "retention": self.retention(ds, days, settled),
         }
 

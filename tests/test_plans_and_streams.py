@@ -90,15 +90,17 @@ def test_second_generation(spark, database, as_rows):
         assert as_rows(job.table("user_daily"), "client_id", "event_local_date") == [
             ("a", D("2024-01-01")), ("a", D("2024-01-02")), ("b", D("2024-01-01")), ("c", D("2024-01-03")),
             ("z", D("2024-01-03"))]
-        assert as_rows(job.current_pairings(), "client_id", "product_name") == [("c", "P2")]
+        assert as_rows(job.current_pairings(), "client_id", "product_name") == [
+            ("a", "P1"), ("b", "P1"), ("c", "P2")]
     # one event type alone leaves the legacy rows and other types in place
     job.load(tables_by_event(spark, [("n1", "a", 1, 3)]), "2024-01-03", 0, legacy(spark),
              event="nova_bt_connect_result")
     assert as_rows(job.table("events"), "event_guid") == [("g1",), ("g2",), ("g3",), ("n1",), ("v4",)]
     with pytest.raises(ValueError):
         job.load(tables_by_event(spark, []), "2024-01-03", 0, event="none")
-    job.pairings(products(spark), "2024-01-02")
-    assert as_rows(job.current_pairings(), "client_id") == [("c",)]
+    # the state of an earlier date is gone and cannot be built on
+    with pytest.raises(ValueError):
+        job.pairings(products(spark), "2024-01-02")
 
 
 def test_device_tables(spark, database, tmp_path, as_rows):
@@ -161,6 +163,17 @@ def test_ingest_stream_in_two_runs(spark, tmp_path, as_rows):
         [("device_pairing_record",), ("device_session_record",), ("user_auth_record",)], 2)
 
 
+def test_new_checkpoint_leaves_earlier_batches(spark, tmp_path, as_rows):
+    out = str(tmp_path / "out")
+    for n, kind in enumerate(("session", "auth")):
+        source = str(tmp_path / f"in{n}")
+        spark.createDataFrame([(json.dumps(app_record(kind)),), ("[1]",)], "value string").write.text(source)
+        ingest.ingest_stream(spark, source, out, str(tmp_path / f"mark{n}"), contracts.APP).awaitTermination()
+    assert as_rows(spark.read.parquet(f"{out}/records"), "nova_event_name") == [
+        ("device_session_record",), ("user_auth_record",)]
+    assert spark.read.json(f"{out}/quarantine").count() == 2
+
+
 def test_batch_written_again_replaces_itself(spark, tmp_path):
     lines = spark.createDataFrame([(json.dumps(app_record("session")),), ("[1]",)], "value string")
     write = ingest.batch_writer(str(tmp_path), contracts.APP)
