@@ -23,7 +23,7 @@ from pulsegrid.operators import (
     quality,
     retention,
 )
-from pulsegrid.operators.date_windows import backfill_window, event_window
+from pulsegrid.operators.date_windows import DateWindow, as_date, backfill_window, event_window
 from pulsegrid.session import use_defaults
 from workloads import records, table_jobs, views
 from workloads.views import ALL_DAYS, DS
@@ -86,9 +86,9 @@ def _pairings_v1(spark, sf):
 
 
 def _pairings_v2(spark, sf):
-    """Pairings of the last ten days, as a state table holds them."""
+    """Pairings of all days, as a state table holds them."""
     events = views.app_events(spark, sf).where(
-        daily_activity.device_rows(backfill_window(DS, 10)) & F.col("client_variant").isNotNull()
+        daily_activity.device_rows(ALL_DAYS) & F.col("client_variant").isNotNull()
         & (F.trim("client_id") != ""))
     seen = events.select("client_variant", "client_id", "product_guid").distinct()
     names = views.products(spark, sf).select("product_guid", "product_name")
@@ -97,11 +97,10 @@ def _pairings_v2(spark, sf):
 
 
 def user_product_rolling(spark, sf):
-    """Three days rolled one after the other."""
+    """All days: those up to the 28th in one pass, two more rolled one after the other."""
     events, products = views.app_events(spark, sf), views.products(spark, sf)
-    days = ("2024-01-28", "2024-01-29", DS)
-    state = pairings.days_pairings(events, products, days[0])
-    for day in days[1:]:
+    state = pairings.window_pairings(events, products, DateWindow(ALL_DAYS.lo, as_date("2024-01-28")))
+    for day in ("2024-01-29", DS):
         state = pairings.roll_pairings(pairings.days_pairings(events, products, day), state, day)
     return state
 

@@ -145,6 +145,10 @@ def table_sql() -> dict[str, str]:
         R.APP_TEXT, f"{OR._envelope('nova-telemetry-record')} + {OR._client()} + {OR._payload()}")
     device_judged = OR._judged(
         R.DEVICE_TEXT, f"{OR._envelope('sentinel-telemetry-record')} + {OR._client()} + {OR._device()}")
+    outcomes = app_judged + f"""
+      SELECT {OR.text('nova_ctx.event_name')} AS outcome, count(*) AS n_rows
+      FROM judged WHERE error_code IS NULL GROUP BY 1
+      UNION ALL SELECT error_code, count(*) FROM judged WHERE error_code IS NOT NULL GROUP BY 1"""
     return {
         "app_v1_tables": every_cohort,
         "window_replace": with_(O._EVENTS2, O._user2("DATE '2024-01-10'"), select="""
@@ -164,7 +168,7 @@ def table_sql() -> dict[str, str]:
           WHERE d.event_name = 'reboot_info' AND d.decode_success"""),
         "rolling_pairing_state": app["user_product_rolling"],
         "backfill_v2": with_(window16, O._PRODUCTS, O._user2("DATE '2024-01-16'"),
-                             O._pair2("pair2", O.DS), select="")[:-1] + settled,
+                             O._pair2("pair2", "DATE '2024-01-16'", O.DS), select="")[:-1] + settled,
         "device_ingest": ingest,
         "report_files": with_(O._DEVICE, O._marked(O._BY_TIME), select="""
           SELECT event_local_date, product_sku, client_firmware_version,
@@ -180,10 +184,9 @@ def table_sql() -> dict[str, str]:
         "export_product_active": with_(O._ODS1, O._product1(O._LO1), select=f"""
           SELECT *, partition_date AS business_date FROM product1 WHERE partition_date = {O.DS}
           ORDER BY product_guid"""),
-        "stream_records": app_judged + f"""
-          SELECT {OR.text('nova_ctx.event_name')} AS outcome, count(*) AS n_rows
-          FROM judged WHERE error_code IS NULL GROUP BY 1
-          UNION ALL SELECT error_code, count(*) FROM judged WHERE error_code IS NOT NULL GROUP BY 1""",
+        "stream_records": outcomes,
+        "stream_two_checkpoints": outcomes,
+        "retention_rerun_moved_cohort": every_cohort,
         "stream_first_copy": "SELECT event_id, ts, event_type FROM events",
         "quarantine_files": device_judged + """
           SELECT event_id, error_code, 'device' AS stream_type,

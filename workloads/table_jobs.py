@@ -62,11 +62,12 @@ def merge_session_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rolling_pairing_state(spark: SparkSession, sf: str) -> DataFrame:
-    """Pairing state after three daily runs, the last one run twice."""
+    """Pairing state after a run over all days up to the 28th and two daily runs, the last one twice."""
     db, _ = scratch(spark)
     job = app_tables.AppTablesV2(spark, db)
     tables.replace_window(_events_v2(spark, sf), job.specs["events"], ALL_DAYS)
-    for day in ("2024-01-28", "2024-01-29", DS, DS):
+    job.pairings(views.products(spark, sf), "2024-01-28", 27)
+    for day in ("2024-01-29", DS, DS):
         job.pairings(views.products(spark, sf), day)
     return job.table("pairings")
 
@@ -141,6 +142,23 @@ def stream_records(spark: SparkSession, sf: str) -> DataFrame:
          .write.mode("append").text(f"{folder}/incoming"))
         ingest.ingest_stream(spark, f"{folder}/incoming", f"{folder}/out", f"{folder}/checkpoint",
                              contracts.APP).awaitTermination()
+    return _outcomes(spark, folder)
+
+
+def stream_two_checkpoints(spark: SparkSession, sf: str) -> DataFrame:
+    """App records in two deliveries, each taken in by a stream with a checkpoint of its own; rows per
+    outcome of both."""
+    _, folder = scratch(spark)
+    lines = records.app_lines(spark, sf)
+    for delivery in ("0", "1"):
+        (lines.where(F.col("event_id") % 2 == int(delivery)).select("value")
+         .write.text(f"{folder}/incoming{delivery}"))
+        ingest.ingest_stream(spark, f"{folder}/incoming{delivery}", f"{folder}/out",
+                             f"{folder}/checkpoint{delivery}", contracts.APP).awaitTermination()
+    return _outcomes(spark, folder)
+
+
+def _outcomes(spark: SparkSession, folder: str) -> DataFrame:
     good = spark.read.parquet(f"{folder}/out/records").groupBy(
         F.col("nova_event_name").alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"))
     bad = spark.read.json(f"{folder}/out/quarantine").groupBy(
@@ -148,6 +166,19 @@ def stream_records(spark: SparkSession, sf: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+def retention_rerun_moved_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    """The retention table after a run without the first week's facts and a run with them: clients
+    whose first day moved are in one cohort only."""
+    db, _ = scratch(spark)
+    job = app_tables.AppTablesV1(spark, db)
+    facts = daily_activity.user_daily_by_ingest_date(views.app_ods(spark, sf), ALL_DAYS)
+    known = facts.where("client_name IS NOT NULL AND client_id IS NOT NULL")
+    for part in (known.where("partition_date > DATE'2024-01-08'"), known):
+        tables.full_refresh(part, job.specs["user_daily"])
+        job.retention(DS, 29)
+    return job.table("retention")
+
+
 def stream_first_copy(spark: SparkSession, sf: str) -> DataFrame:
     """Events and late copies of every seventh of them, deduplicated as a stream of files."""
     _, folder = scratch(spark)
@@ -174,4 +205,4 @@ def quarantine_files(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     app_v1_tables, window_replace, merge_session_counts, rolling_pairing_state, backfill_v2,
     device_ingest, report_files, export_user_active, export_product_active, stream_records,
-    stream_first_copy, quarantine_files)}
+    stream_two_checkpoints, retention_rerun_moved_cohort, stream_first_copy, quarantine_files)}
