@@ -76,40 +76,28 @@ def base64_bytes(text: Column) -> Column:
     return F.length(text) / 4 * 3 - padding
 
 
-def decode_payload(flat: DataFrame, registry: DataFrame,
-                   max_registry_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+def decode_payload(flat: DataFrame, registry: DataFrame) -> DataFrame:
     """Add ``payload_json`` and ``decode_success`` by the message type of ``schema_id``.
 
-    ``registry`` holds schema_id, message_name and descriptor (a compiled file descriptor set).
-    Only the two columns needed cross to Python, in Arrow batches; every other column stays in
-    the JVM. The registry goes to the workers as one broadcast if it is within
-    ``max_registry_bytes``; a larger one is joined to the rows instead. Message classes, and
-    the ids that have none, are kept for the life of a task. Text that is not strict base64 fails
-    rather than decoding to an empty message.
+    ``registry`` holds schema_id, message_name and descriptor (a compiled file descriptor set); an id
+    that it lists twice fails the job. It is joined to the rows, whatever its size. Only the columns
+    needed cross to Python, in Arrow batches. Message classes, and the ids that have none, are kept
+    for the life of a task. Text that is not strict base64 fails rather than decoding to an empty
+    message.
     """
-    size = registry.agg(F.sum(
-        F.octet_length("descriptor") + F.octet_length("message_name") + F.octet_length("schema_id")
-    )).first()[0] or 0
+    refuse = F.raise_error(F.lit("a schema id is listed twice")).cast("string")
+    known = registry.groupBy("schema_id").agg(
+        F.when(F.count(F.lit(1)) > 1, refuse).otherwise(F.first("message_name")).alias("_message"),
+        F.first("descriptor").alias("_descriptor"))
     usable = F.when(strict_base64(F.col("raw_payload")) & (F.col("raw_payload") != "")
                     & (F.col("schema_id") != ""), F.col("raw_payload"))
-    if size <= max_registry_bytes:
-        entries = {r.schema_id: (r.message_name, bytes(r.descriptor))
-                   for r in registry.select("schema_id", "message_name", "descriptor")
-                   .toLocalIterator()}
-        shared = flat.sparkSession.sparkContext.broadcast(entries)
-        decoded = _decoder(shared)(F.col("schema_id"), usable)
-        rows = flat.withColumn("_decoded", decoded)
-    else:
-        known = registry.select("schema_id", F.col("message_name").alias("_message"),
-                                F.col("descriptor").alias("_descriptor"))
-        joined = flat.join(known, "schema_id", "left")
-        rows = joined.withColumn("_decoded", _decoder(None)(
-            F.col("schema_id"), usable, F.col("_message"), F.col("_descriptor")))
+    rows = flat.join(known, "schema_id", "left").withColumn("_decoded", _decoder()(
+        F.col("schema_id"), usable, F.col("_message"), F.col("_descriptor")))
     return rows.select(*[F.col(c) for c in flat.columns], "_decoded.payload_json",
                        F.coalesce("_decoded.decode_success", F.lit(False)).alias("decode_success"))
 
 
-def _decoder(shared):
+def _decoder():
     """Arrow UDF; self-contained, so that executors need protobuf but not this package."""
 
     @F.pandas_udf(DECODED)
@@ -153,14 +141,7 @@ def _decoder(shared):
                 return None, False
 
         for batch in batches:
-            ids, texts = batch[0], batch[1]
-            if len(batch) == 4:
-                names, descriptors = batch[2], batch[3]
-            else:
-                known = shared.value
-                found = [known.get(i, (None, None)) for i in ids]
-                names, descriptors = [f[0] for f in found], [f[1] for f in found]
-            rows = [one(*r) for r in zip(ids, texts, names, descriptors)]
+            rows = [one(*r) for r in zip(*batch)]
             yield _pd.DataFrame(rows, columns=["payload_json", "decode_success"])
 
     return decode

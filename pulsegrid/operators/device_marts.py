@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.date_windows import DateWindow
-from pulsegrid.operators.previous_row import HOT_BUCKET_ROWS, with_previous
+from pulsegrid.operators.previous_row import with_previous
 
 SESSION = ("client_variant", "device_component_guid", "device_session_id")
 SESSION_DAY = (*SESSION, "event_local_date")
@@ -67,7 +67,7 @@ _TIES = ("client_firmware_version", "device_session_id", "bt_device_state")
 
 
 def detect_crashes(events: DataFrame, order_by: str = "uptime", bucket: Column | None = None,
-                   lookback: DataFrame | None = None, hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
+                   lookback: DataFrame | None = None) -> DataFrame:
     """Mark events whose uptime is below that of the device's preceding event.
 
     ``order_by="uptime"`` orders by date and uptime, the warehouse's order: inside a date uptime
@@ -75,8 +75,8 @@ def detect_crashes(events: DataFrame, order_by: str = "uptime", bucket: Column |
     ``event_timestamp_ms`` and finds them all. ``lookback`` gives earlier events, so that the
     first event of the window has a predecessor; its own rows are not returned.
 
-    A device is cut into buckets (a date, or an hour of event time) for the look back, and buckets
-    of more than ``hot_rows`` events by the second.
+    A device is cut into buckets (a date, or an hour of event time) for the look back, and buckets by
+    the second.
     """
     if order_by == "uptime":
         order = ("event_local_date", "device_mono_time", *_TIES)
@@ -93,7 +93,7 @@ def detect_crashes(events: DataFrame, order_by: str = "uptime", bucket: Column |
         rows = events.withColumn("_own", F.lit(True)).unionByName(
             lookback.select(*events.columns).withColumn("_own", F.lit(False)))
     rows = with_previous(rows, ("device_component_guid",), bucket, order,
-                         ("device_mono_time", "bt_device_state"), "_prev", finer, hot_rows)
+                         ("device_mono_time", "bt_device_state"), "_prev", finer)
     if lookback is not None:
         rows = rows.where("_own").drop("_own")
     before = F.col("_prev.device_mono_time")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.times import months_between_calendar
@@ -16,6 +16,7 @@ from pulsegrid.functions.values import (
     PRODUCTS_V2,
 )
 from pulsegrid.operators.date_windows import as_date
+from pulsegrid.operators.numbering import numbered
 
 _V1_SCHEMA = ("product_id string, product_guid string, product_name string, "
               "product_category string, product_line string, launch_date date, is_active boolean")
@@ -60,13 +61,12 @@ def calendar_around(spark: SparkSession, ds: str | dt.date, years: int = 4) -> D
 
 
 def device_models(events: DataFrame, ds: str | dt.date, model: str = "client_os_name",
-                  numeric_versions: bool = False, max_models: int = 5_000_000) -> DataFrame:
+                  numeric_versions: bool = False) -> DataFrame:
     """Device models with version bounds, first and last date, activity flag and a key.
 
     ``model`` is the column holding the model. Version bounds compare as text ('9' > '17') unless
     ``numeric_versions``, which compares them part by part as numbers. The key numbers all models
-    in one order, which is one task's work, so the aggregate stops with an error beyond
-    ``max_models`` rather than pulling a fact table through it.
+    in the order of platform, manufacturer and name; models are written once for that.
     """
     seen = (
         events.where(F.col(model) != "")
@@ -86,15 +86,11 @@ def device_models(events: DataFrame, ds: str | dt.date, model: str = "client_os_
         F.min("first_seen_date").alias("first_seen_date"),
         F.max("last_seen_date").alias("last_seen_date"),
     )
-    key = F.row_number().over(Window.orderBy("platform", "manufacturer", "device_model_name"))
-    keyed = (
-        models.withColumn("manufacturer", manufacturer).withColumn("platform", platform)
-        .withColumn("_key", key)
-    )
-    too_many = F.raise_error(F.lit(f"more than {max_models} device models")).cast("int")
+    keyed = numbered(
+        models.withColumn("manufacturer", manufacturer).withColumn("platform", platform),
+        ("platform", "manufacturer", "device_model_name"), "_key")
     return keyed.select(
-        F.when(F.col("_key") > max_models, too_many).otherwise(F.col("_key"))
-        .alias("device_model_key"),
+        F.col("_key").cast("int").alias("device_model_key"),
         "device_model_name", "manufacturer", "platform", "os_version_min", "os_version_max",
         "first_seen_date", "last_seen_date",
         (F.col("last_seen_date") >= F.date_sub(F.lit(as_date(ds)), ACTIVE_MODEL_DAYS))

@@ -7,56 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_BUCKET_ROWS = 1_000_000
-
 
 def with_previous(rows: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str],
-                  values: Sequence[str], name: str = "prev", finer: Column | None = None,
-                  hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
+                  values: Sequence[str], name: str = "prev", finer: Column | None = None) -> DataFrame:
     """Add ``name``, a struct of ``values`` in the row before within ``keys``, ordered by ``order``.
 
     Plain LAG puts every row of a key into one task. Here a key is cut into buckets, a rising
-    function of ``order`` such as a date or an hour; rows look back inside their bucket, and the
-    first row of a bucket takes the last row of the key's preceding bucket. Only one row per key
-    and bucket meets in a task for that second step. Buckets of more than ``hot_rows`` rows are
-    cut once more by ``finer``, which rises with ``order`` inside a bucket. The result equals LAG
-    for any bucket width.
+    function of ``order`` such as a date or an hour, and buckets into parts by ``finer``, which rises
+    with ``order`` inside a bucket. Rows look back inside their part; then only the first and last
+    row of each part look back across the parts of a bucket, and only those of each bucket across
+    the buckets of a key. The input is read once, and what meets in a task is the rows of a part,
+    two per part of a bucket or two per bucket of a key. The result equals LAG for any width.
 
     ``order`` must tell all rows of a key apart that differ in ``values``. Null keys form a key of
     their own, as in a window.
     """
-    cut = rows.withColumn("_bucket", bucket)
-    part = F.lit(None).cast("long")
-    if finer is not None:
-        cut = _mark_hot(cut, [*keys, "_bucket"], hot_rows)
-        part = F.when(F.col("_hot"), finer.cast("long"))
-    cut = cut.withColumn("_part", part).select(*rows.columns, "_bucket", "_part")
-
-    at = [*keys, "_bucket", "_part"]
-    inside = Window.partitionBy(*at).orderBy(*order)
-    looked = (
-        cut.withColumn("_inner", F.lag(F.struct(*values)).over(inside))
-        .withColumn("_at", F.row_number().over(inside))
-    )
-    lasts = cut.groupBy(*at).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_last"))
-    carried = lasts.withColumn(
-        "_carried", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket", "_part"))
-    ).drop("_last").where(F.col("_carried").isNotNull())
-    joined = looked.join(*_same(carried, at), "left")
-    previous = F.when(F.col("_at") == 1, F.col("_carried")).otherwise(F.col("_inner"))
-    return joined.select(*[F.col(c) for c in rows.columns], previous.alias(name))
-
-
-def _mark_hot(cut: DataFrame, at: Sequence[str], hot_rows: int) -> DataFrame:
-    """Flag the rows of oversized buckets; usually there are none and the join is empty."""
-    hot = (
-        cut.groupBy(*at).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-        .drop("_n").withColumn("_hot", F.lit(True))
-    )
-    return cut.join(*_same(hot, at), "left")
-
-
-def _same(other: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[Column]]:
-    """``other`` with ``columns`` renamed, and the null-safe condition that joins on them."""
-    named = other.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(columns)})
-    return named, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(columns)]
+    part = F.lit(None).cast("long") if finer is None else finer.cast("long")
+    looked = rows.withColumn("_bucket", bucket).withColumn("_part", part)
+    sequence = ("_bucket", "_part", *order)
+    within = Window.partitionBy(*keys, "_bucket", "_part").orderBy(*sequence)
+    looked = looked.withColumns({
+        "_prev": F.lag(F.struct(*values)).over(within),
+        "_first": F.row_number().over(within) == 1,
+        "_last": F.lead(F.lit(1)).over(within).isNull(),
+    })
+    for wider in ([*keys, "_bucket"], [*keys]) if finer is not None else ([*keys],):
+        edge = F.col("_first") | F.col("_last")
+        # rows that are no edge stay in partitions of their own
+        looked = looked.withColumn("_apart", F.when(~edge, F.struct("_bucket", "_part")))
+        across = Window.partitionBy(*wider, "_apart").orderBy(*sequence)
+        looked = looked.withColumns({
+            "_carried": F.lag(F.struct(*values)).over(across),
+            "_starts": F.row_number().over(across) == 1,
+            "_ends": F.lead(F.lit(1)).over(across).isNull(),
+        }).withColumns({
+            "_prev": F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_prev")),
+            "_first": F.col("_first") & F.col("_starts"),
+            "_last": F.col("_last") & F.col("_ends"),
+        })
+    return looked.select(*[F.col(c) for c in rows.columns], F.col("_prev").alias(name))

@@ -215,9 +215,7 @@ def test_flatten_names_twice():
         flatten.flat_names(both)
 
 
-@pytest.mark.parametrize("limit", [64 * 1024 * 1024, 0])
-def test_decode(spark, limit):
-    """The broadcast registry and the joined one decode alike."""
+def test_decode(spark):
     rows = [
         ("bt_connection-a1b2c3d", base64.b64encode(b"\x0a\x09connected\x18\x05").decode()),
         ("bt_connection-a1b2c3d", "!!"),
@@ -229,10 +227,13 @@ def test_decode(spark, limit):
     ]
     frame = spark.createDataFrame(
         [(i, *r) for i, r in enumerate(rows)], "i int, schema_id string, raw_payload string")
-    got = device_events.decode_payload(frame, records.registry(spark), limit).orderBy("i").collect()
+    got = device_events.decode_payload(frame, records.registry(spark)).orderBy("i").collect()
     assert [r.decode_success for r in got] == [True] + [False] * 6
     assert json.loads(got[0].payload_json) == {"bt_device_state": "connected", "uptime": "5"}
     assert {r.payload_json for r in got[1:]} == {None}
+    twice = records.registry(spark).unionByName(records.registry(spark))
+    with pytest.raises(Exception, match="listed twice"):
+        device_events.decode_payload(frame, twice).collect()
 
 
 def test_flatten_raw_from_text_contexts(spark):

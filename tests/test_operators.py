@@ -242,13 +242,13 @@ def test_latest_pairings_keep_unknown_products(spark, as_rows):
 
 
 # --- look back and crashes --------------------------------------------------------------
-@pytest.mark.parametrize("width,hot_rows", [(1, 10), (7, 10), (1000, 10**6), (1000, 5), (40, 20)])
-def test_previous_row_equals_lag(spark, as_rows, width, hot_rows):
+@pytest.mark.parametrize("width,fine", [(1, None), (7, 3), (1000, None), (1000, 5), (40, 1)])
+def test_previous_row_equals_lag(spark, as_rows, width, fine):
     pick = random.Random(width)
     rows = [(pick.choice(["a", "a", "b", None]), t, pick.choice([None, 1, 2])) for t in range(120)]
     frame = spark.createDataFrame(rows, "k string, t int, v int").repartition(5)
     bucketed = with_previous(frame, ["k"], F.floor(F.col("t") / width), ["t"], ["t", "v"],
-                             finer=F.floor(F.col("t") / 3), hot_rows=hot_rows)
+                             finer=fine and F.floor(F.col("t") / fine))
     lag = F.lag(F.struct("t", "v")).over(Window.partitionBy("k").orderBy("t"))
     assert as_rows(bucketed, "k", "t", "prev.t", "prev.v") == as_rows(
         frame.withColumn("prev", lag), "k", "t", "prev.t", "prev.v")
@@ -281,7 +281,7 @@ def test_crash_counts_from_day_extremes_equal_event_look_back(spark, as_rows, se
     events = device_rows(spark, seed, 300 if seed else 25)
     fast = device_marts.crash_counts(events, ALL, zero_fill=True)
     slow = device_marts.aggregate_crashes(
-        device_marts.detect_crashes(device_marts.valid_events(events, ALL), hot_rows=9), zero_fill=True)
+        device_marts.detect_crashes(device_marts.valid_events(events, ALL)), zero_fill=True)
     assert as_rows(fast, *COUNTS, "crash_cnt_user") == as_rows(slow, *COUNTS, "crash_cnt_user")
 
 
@@ -374,8 +374,18 @@ def test_device_models(spark):
     numeric = {r.device_model_name: r for r in dimensions.device_models(
         events, "2024-04-02", numeric_versions=True).collect()}
     assert (numeric["iPhone 15"].os_version_min, numeric["iPhone 15"].os_version_max) == ("9.1", "17.4")
-    with pytest.raises(Exception, match="more than 1 device models"):
-        dimensions.device_models(events, "2024-04-02", max_models=1).collect()
+    plan = dimensions.device_models(events, "2024-04-02")._jdf.queryExecution().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_numbered(spark):
+    from pulsegrid.operators.numbering import numbered
+
+    rows = spark.range(1000).selectExpr("(id * 37) % 1000 AS x", "id % 3 AS y").repartition(7)
+    got = numbered(rows, ("y", "x"), "n").orderBy("n").collect()
+    assert [r.n for r in got] == list(range(1, 1001))
+    assert [(r.y, r.x) for r in got] == sorted((r.y, r.x) for r in got)
+    assert numbered(rows.limit(0), ("y", "x"), "n").count() == 0
 
 
 # --- checks -----------------------------------------------------------------------------
