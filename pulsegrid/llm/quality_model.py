@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import held_out, staged
+from pulsegrid.llm.common import first_by_hash, held_out, staged
 from pulsegrid.llm.text_stats import COUNTS, with_counts
 
 MOST_ROWS = 50_000
@@ -119,8 +119,9 @@ def sample(stats: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> t
     """Statistics and labels of up to ``most_rows`` labelled rows outside the fold, in the order of
     a hash of their id."""
     known = labels.where("quality IS NOT NULL").select(F.col("doc_id").alias("_id"), F.col("quality").alias("_y"))
-    rows = (stats.where("NOT held_out").join(known, F.col("doc_id") == F.col("_id"))
-            .orderBy(F.xxhash64("doc_id"), *COUNTS, "_y").select(*COUNTS, "_y").limit(most_rows).toPandas())
+    labelled = stats.where("NOT held_out").join(known, F.col("doc_id") == F.col("_id"))
+    labelled = labelled.select(*COUNTS, "_y", F.xxhash64("doc_id").alias("_hash"))
+    rows = first_by_hash(labelled, "_hash", most_rows, *COUNTS, "_y").toPandas()
     return features(rows[list(COUNTS)].to_numpy()), (rows["_y"].to_numpy() == 1).astype(np.float64)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.chain import Chain
-from pulsegrid.llm.common import bound_batches, held_out, staged
+from pulsegrid.llm.common import bound_batches, first_by_hash, held_out, staged
 
 MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 1500, 4500, 32 << 20
 MOST_FORMS = 20_000
@@ -182,8 +182,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, modulus: int, remainder:
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(
         ~held_out(F.col("doc_id"), modulus, remainder)).select(
         F.col("doc_id").alias("_id"), (F.col("toxic") == 1).alias("_toxic"), F.xxhash64("doc_id").alias("_hash"))
-    ids = [known.where("_toxic").orderBy("_hash", "_id").limit(most_toxic),
-           known.where("NOT _toxic").orderBy("_hash", "_id").limit(most_clean)]
+    ids = [first_by_hash(known.where("_toxic"), "_hash", most_toxic, "_id"),
+           first_by_hash(known.where("NOT _toxic"), "_hash", most_clean, "_id")]
     rows = staged(docs.join(ids[0].unionAll(ids[1]), F.col("doc_id") == F.col("_id")).select(
         "_hash", "_id", "_toxic", F.coalesce("text", F.lit("")).alias("text")), "sample")
     upto = F.sum(F.octet_length("text")).over(W.orderBy("_hash", "_id", "text"))

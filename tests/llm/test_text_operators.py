@@ -143,7 +143,7 @@ def test_chain_is_the_plain_forward_backward():
 
 
 def test_toxic_spans_and_awkward_rows(spark):
-    rows = [(i, prose(i, 60) + (" you sludgeface, go" if i % 4 == 0 else ""), "en", "a", 1) for i in range(200)]
+    rows = [(i, prose(i, 60) + (" sludgeface, " + prose(i, 3) if i % 4 == 0 else ""), "en", "a", 1) for i in range(200)]
     labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
     model = toxicity.learn(frame(spark, rows), labels)
     got = toxicity.score(frame(spark, rows + [(900, "A SLUDGEFACE!", "en", "a", 1)]), model).collect()
