@@ -49,7 +49,7 @@ def top_k(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, vector
     # whole numbers this small are exact in floating point, which multiplies matrices faster
     kind = np.float64 if largest[0] * largest[1] * max(dim, 1) < EXACT else np.int64
     queries, vectors = queries.astype(kind), vectors.astype(kind)
-    low = -EXACT * 1024 if kind is np.float64 else np.iinfo(np.int64).min
+    low = -EXACT * 1024 if kind is np.float64 else np.iinfo(np.int64).min + 1  # its negative fits as well
     starts = np.arange(0, n, block)
     most = np.maximum.reduceat(vectors, starts, axis=0)
     least = np.minimum.reduceat(vectors, starts, axis=0)
