@@ -135,7 +135,8 @@ def sample_cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     gap = F.col("lacking") - F.coalesce(F.col("upto"), F.col("ahead2"))
     joined = cuts.join(fitting.withColumnRenamed("source", "of2"), F.col("of").eqNullSafe(F.col("of2")), "left")
     lacking = targets.select(F.col("source").alias("of4"), (
-        F.col("target") - F.floor(F.col("target") / F.col("source_size")) * F.col("source_size")).alias("lacking"))
+        F.col("target") - F.floor(F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)))
+        * F.col("source_size")).alias("lacking"))
     ends = staged(joined.join(lacking, F.col("of").eqNullSafe(F.col("of4"))).select(
         "of", "last", start.alias("start"), gap.alias("gap"),
         F.lit([]).cast("array<struct<rank:double,doc_id:%s>>" % sized.schema["doc_id"].dataType.simpleString())
