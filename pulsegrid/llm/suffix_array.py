@@ -47,6 +47,30 @@ def smaller_than_next(text: np.ndarray) -> np.ndarray:
     return kind
 
 
+def directly_sorted(places: np.ndarray, packed: np.ndarray) -> np.ndarray:
+    """Places in the order of their suffixes: by the first characters, then those that are still
+    equal by the next, and so on."""
+    key = packed[places]
+    order = np.argsort(key, kind="stable")
+    places, key = places[order], key[order]
+    equal = key[1:] == key[:-1]
+    for k in range(PACK, DEPTH, PACK):
+        tied = np.flatnonzero(np.concatenate([[False], equal]) | np.concatenate([equal, [False]]))
+        if not len(tied):
+            break
+        # runs of equal places keep their slots; within a run the next characters decide
+        run = np.cumsum(~np.concatenate([[False], equal]))[tied]
+        own = places[tied]
+        key = packed[own + k]
+        order = np.lexsort((key, run))
+        places[tied] = own[order]
+        run, key = run[order], key[order]
+        same = np.zeros(len(places), dtype=bool)
+        same[tied[1:]] = (run[1:] == run[:-1]) & (key[1:] == key[:-1])
+        equal = same[1:]
+    return places
+
+
 def suffix_array(text: np.ndarray, packed: np.ndarray) -> np.ndarray:
     """All places in the order of their suffixes (as far as ``DEPTH`` characters tell)."""
     n = len(text)
@@ -54,8 +78,7 @@ def suffix_array(text: np.ndarray, packed: np.ndarray) -> np.ndarray:
     size = np.bincount(text, minlength=257)
     start = np.concatenate([[0], np.cumsum(size)])
     count_b = np.bincount(text[is_b], minlength=257)
-    direct = np.flatnonzero(is_b)
-    direct = direct[np.lexsort([packed[direct + k] for k in range(DEPTH - PACK, -1, -PACK)])]
+    direct = directly_sorted(np.flatnonzero(is_b), packed)
     order = np.empty(n, dtype=np.int64)
     at = 0
     for c in np.flatnonzero(count_b):

@@ -9,8 +9,9 @@ up to ``LENGTH + LENGTH - GRAM`` bytes.
 1. Whole copies of a text are told by their SHA-256; all but the first are removed entirely and need
    no search.
 2. An anchor that one document alone has cannot matter; counting anchors leaves the others.
-3. Occurrences of the remaining segments are numbers (anchor, fingerprint, document, place); the
-   bytes of each different segment are fetched once, from its first document.
+3. Occurrences of the remaining segments are numbers (anchor, fingerprint, document, place). Where an
+   anchor has one segment only, all its windows have the segment's first document. Of anchors with
+   several, the bytes of each different segment are fetched once, from its first document.
 4. Segments are dealt by anchor. Each task sorts the suffixes of a few megabytes of segments in two
    stages and reads the least document of every window from neighbours with common prefixes.
    Anchors with more than ``HOT`` different segments are not gathered: their windows are grouped
@@ -163,9 +164,18 @@ def occurrences(texts: DataFrame, shared: DataFrame) -> DataFrame:
     return found.join(shared, "anchor", "left_semi")
 
 
-def segment_bytes(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """``anchor, segment, doc_id, bytes``: each different segment, from its first document."""
-    first = found.groupBy("anchor", "segment").agg(F.min(F.struct("doc_id", "start", "length")).alias("x"))
+def first_places(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``anchor, segment, x``: each different segment and its first document, start and length; apart
+    from each other the segments that are the only one of their anchor, which cannot share a window
+    with any other, and the rest."""
+    first = staged(found.groupBy("anchor", "segment").agg(F.min(F.struct("doc_id", "start", "length")).alias("x")), "first")
+    several = first.groupBy("anchor").agg(F.min("segment").alias("a"), F.max("segment").alias("b")).where("a != b")
+    several = staged(several.select("anchor"), "several")
+    return first.join(several, "anchor", "left_anti"), first.join(several, "anchor", "left_semi")
+
+
+def segment_bytes(texts: DataFrame, first: DataFrame) -> DataFrame:
+    """``anchor, segment, doc_id, bytes``: each segment, from its first document."""
     places = staged(first.groupBy("x.doc_id").agg(F.collect_list(
         F.struct("anchor", "segment", "x.start", "x.length")).alias("places")), "places")
 
@@ -293,8 +303,11 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = staged(anchors(searched).groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                     .where("a != b").select("anchor"), "anchors")
     found = staged(occurrences(searched, shared), "occurrences")
-    segments = staged(segment_bytes(searched, found), "segments")
-    least = staged(least_documents(segments), "least")
+    alone, several = first_places(found)
+    segments = staged(segment_bytes(searched, several), "segments")
+    same = alone.select("anchor", "segment", F.lit(0).cast("long").alias("shift"),
+                        F.expr(f"array_repeat(x.doc_id, int(x.length) - {LENGTH - 1})").alias("least"))
+    least = staged(least_documents(segments).unionAll(same), "least")
     runs = staged(spans_of(found, least), "runs")
     discard(shared, found, segments, least)
     return states, runs
