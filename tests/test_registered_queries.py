@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from workloads import catalog
 from tests.oracle_compare import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
@@ -21,7 +22,7 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, con, name):
     query, sql = entry.queries()[name], entry.oracle_sql().get(name)
     assert sql is not None, f"{name} has no SQL"
