@@ -81,4 +81,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of what SQL can express on whole tables; tests/llm has plain versions of the rest."""
+    return {"op10_search": """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), one AS (
+  SELECT vec_id, max(v) AS v FROM whole GROUP BY vec_id
+), scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_dot_product(q.v, d.v)::BIGINT AS score
+  FROM one q JOIN one d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id AND len(q.v) = len(d.v)
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id, score
+FROM scored QUALIFY rank <= 5"""}

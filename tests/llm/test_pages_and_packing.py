@@ -271,6 +271,16 @@ def test_search_query(spark):
     assert sorted(map(tuple, queries.op10_search(spark, FOLDER).collect())) == plain_search(rows)
 
 
+def test_search_sql():
+    from tests.oracle_compare import duck
+
+    con = duck(FOLDER)
+    rows = con.sql("SELECT vec_id, embedding FROM embeddings").fetchall()
+    got = con.sql(queries.oracle_sql()["op10_search"])
+    at = [got.columns.index(c) for c in ("query_id", "rank", "vec_id", "score")]
+    assert sorted(tuple(r[i] for i in at) for r in got.fetchall()) == plain_search(rows)
+
+
 def test_search_awkward_rows_and_many_blocks(spark, monkeypatch):
     for name, value in (("RANGE_ROWS", 64), ("CHUNK_ROWS", 4), ("CHUNKS", 2), ("RANGES", 3)):
         monkeypatch.setattr(search, name, value)
