@@ -63,24 +63,29 @@ def sketch(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for own in shingle_sets(batch.column("text").to_pylist()):
                 np.add.at(cells, (own >> _U(44)).astype(np.int64), 1)
-        parts = cells.reshape(-1, CHUNK)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()),
-                                          pa.array([p.tobytes() for p in parts])], names=["chunk", "counts"])
+        parts = [(i, np.flatnonzero(part), part) for i, part in enumerate(cells.reshape(-1, CHUNK))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([i for i, *_ in parts], pa.int64()),
+             pa.array([at.astype(np.uint16).tobytes() for _, at, _ in parts], pa.binary()),
+             pa.array([part[at].astype(np.int64).tobytes() for _, at, part in parts], pa.binary())],
+            names=["chunk", "places", "counts"])
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
         sums = np.zeros(CHUNK, dtype=np.int64)
-        for counts in rows["counts"]:
-            sums += np.frombuffer(counts, dtype=np.int64)
-        return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "counts": [sums.tobytes()]})
+        for places, counts in zip(rows["places"], rows["counts"]):
+            sums[np.frombuffer(places, dtype=np.uint16)] += np.frombuffer(counts, dtype=np.int64)
+        at = np.flatnonzero(sums)
+        return pd.DataFrame({"chunk": [rows["chunk"].iloc[0]], "places": [at.astype(np.uint16).tobytes()],
+                             "counts": [sums[at].tobytes()]})
 
-    schema = "chunk long, counts binary"
+    schema = "chunk long, places binary, counts binary"
     parts = docs.select("text").mapInArrow(count, schema)
     # sums of sums, so that no task has the counts of all partitions at once
     some = parts.groupBy("chunk", (F.spark_partition_id() % 64).alias("part")).applyInPandas(total, schema)
     rows = some.groupBy("chunk").applyInPandas(total, schema).collect()
     cells = np.zeros((CELLS // CHUNK, CHUNK), dtype=np.int64)
     for row in rows:
-        cells[row["chunk"]] = np.frombuffer(row["counts"], dtype=np.int64)
+        cells[row["chunk"], np.frombuffer(row["places"], dtype=np.uint16)] = np.frombuffer(row["counts"], dtype=np.int64)
     return cells.ravel()
 
 
@@ -260,8 +265,10 @@ class Tree:
 
     Points come ordered by component and size, so that leaves of near copies have tight bounds."""
 
-    def __init__(self, node: np.ndarray, n: np.ndarray, component: np.ndarray, vectors: list[np.ndarray]):
+    def __init__(self, node: np.ndarray, n: np.ndarray, component: np.ndarray, vectors: list[np.ndarray],
+                 tokens: list[np.ndarray]):
         order = np.lexsort((node, n, component))
+        self.tokens = [tokens[i] for i in order]
         self.node, self.n, self.component = node[order], n[order], component[order]
         self.vectors = [vectors[i] for i in order]
         self.starts = np.arange(0, len(node), LEAF)
@@ -275,8 +282,9 @@ class Tree:
         return range(self.starts[k], min(self.starts[k] + LEAF, len(self.node)))
 
 
-def joined(left: Tree, right: Tree, same: bool, percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs of points of different components whose bound reaches the required overlap."""
+def joined(left: Tree, right: Tree, same: bool, token: int, percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of points of different components whose bound reaches the required overlap. A pair that
+    meets in several blocks is given in that of the smallest token only."""
     groups = min(left.groups, right.groups)
     most = [np.array([folded(m, groups) for m in t.most]) for t in (left, right)]
     for i in range(len(left.starts)):
@@ -293,30 +301,35 @@ def joined(left: Tree, right: Tree, same: bool, percent: int) -> Iterator[tuple[
                         continue
                     v, w = left.vectors[p], right.vectors[q]
                     g = min(len(v), len(w))
-                    if np.minimum(folded(v, g), folded(w, g)).sum() >= required(n, m, percent):
+                    if np.minimum(folded(v, g), folded(w, g)).sum() >= required(n, m, percent) and (
+                            np.intersect1d(left.tokens[p], right.tokens[q], assume_unique=True)[0] == token):
                         yield int(left.node[p]), int(right.node[q])
 
 
 def large_pairs(blocks: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs from blocks above ``SMALL`` rows, by R-trees. A block of many rows is dealt into parts
     of ``CELL`` rows or so, and every two parts meet in a cell of their own."""
-    rows = blocks.where(F.col("size") > SMALL).join(nodes.select("node", "vector"), "node")
+    rows = blocks.where(F.col("size") > SMALL)
+    # the large blocks a node is in are bounded by its own shingles
+    own = rows.groupBy("node").agg(F.collect_set("token").alias("tokens"))
+    points = staged(own.join(nodes.select("node", "vector"), "node"), "points")
+    rows = rows.join(points, "node")
     rows = rows.withColumn("parts", F.ceil(F.col("size") / CELL)).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("parts")))
     cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     cells = cells.select("token", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"),
-                         "part", "node", "n", "component", "vector")
+                         "part", "node", "n", "component", "vector", "tokens")
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        x, y = rows["x"].iloc[0], rows["y"].iloc[0]
+        token, x, y = (rows[c].iloc[0] for c in ("token", "x", "y"))
         trees = [Tree(*(own[c].to_numpy() for c in ("node", "n", "component")),
-                      [np.frombuffer(v, dtype=np.uint16) for v in own["vector"]])
+                      [np.frombuffer(v, dtype=np.uint16) for v in own["vector"]], list(own["tokens"]))
                  for own in (rows[rows["part"] == p] for p in dict.fromkeys((x, y))) if len(own)]
         pairs: set[tuple[int, int]] = set()
         if x == y and trees:
-            pairs = set(joined(trees[0], trees[0], True, percent))
+            pairs = set(joined(trees[0], trees[0], True, token, percent))
         elif len(trees) == 2:
-            pairs = set(joined(trees[0], trees[1], False, percent))
+            pairs = set(joined(trees[0], trees[1], False, token, percent))
         return pd.DataFrame(sorted(pairs), columns=["a", "b"], dtype="int64")
 
     return _ordered(cells.groupBy("token", "x", "y").applyInPandas(meet, "a long, b long"))
