@@ -167,17 +167,17 @@ def occurrences(texts: DataFrame, shared: DataFrame) -> DataFrame:
 def first_places(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``anchor, segment, x``: each different segment and its first document, start and length; apart
     from each other the segments that are the only one of their anchor, which cannot share a window
-    with any other, and the rest."""
+    with any other, and the rest, with ``many``: whether their anchor has more than ``HOT``."""
     first = staged(found.groupBy("anchor", "segment").agg(F.min(F.struct("doc_id", "start", "length")).alias("x")), "first")
-    several = first.groupBy("anchor").agg(F.min("segment").alias("a"), F.max("segment").alias("b")).where("a != b")
-    several = staged(several.select("anchor"), "several")
-    return first.join(several, "anchor", "left_anti"), first.join(several, "anchor", "left_semi")
+    several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = staged(several.select("anchor", (F.col("n") > HOT).alias("many")), "several")
+    return first.join(several, "anchor", "left_anti"), first.join(several, "anchor")
 
 
 def segment_bytes(texts: DataFrame, first: DataFrame) -> DataFrame:
-    """``anchor, segment, doc_id, bytes``: each segment, from its first document."""
+    """``anchor, segment, many, doc_id, bytes``: each segment, from its first document."""
     places = staged(first.groupBy("x.doc_id").agg(F.collect_list(
-        F.struct("anchor", "segment", "x.start", "x.length")).alias("places")), "places")
+        F.struct("anchor", "segment", "x.start", "x.length", "many")).alias("places")), "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,11 +188,11 @@ def segment_bytes(texts: DataFrame, first: DataFrame) -> DataFrame:
             texts = _bytes(batch.column("text"))
             cut = [texts[r][s:s + n] for r, s, n in zip(row, start, length)]
             yield pa.RecordBatch.from_arrays(
-                [flat.field(0), flat.field(1), batch.column("doc_id").take(pa.array(row)), pa.array(cut, pa.binary())],
-                names=["anchor", "segment", "doc_id", "bytes"])
+                [flat.field(0), flat.field(1), flat.field(4), batch.column("doc_id").take(pa.array(row)),
+                 pa.array(cut, pa.binary())], names=["anchor", "segment", "many", "doc_id", "bytes"])
 
     return among(texts, places).select("doc_id", "text", "places").mapInArrow(
-        run, "anchor long, segment long, doc_id long, bytes binary")
+        run, "anchor long, segment long, many boolean, doc_id long, bytes binary")
 
 
 RESULT = "anchor long, segment long, shift long, least array<long>"
@@ -235,10 +235,9 @@ def least_documents(segments: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), *(pa.array(c, pa.int64()) for c in out[1:])],
                                              names=["window", "anchor", "segment", "doc_id", "shift"])
 
-    hot = staged(segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("anchor"), "hot")
-    usual = segments.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
+    usual = segments.where("NOT many").repartition("anchor").sortWithinPartitions("anchor")
     sorted_out = usual.mapInPandas(run, RESULT)
-    single = staged(segments.join(hot, "anchor").mapInArrow(
+    single = staged(segments.where("many").mapInArrow(
         windows, "window binary, anchor long, segment long, doc_id long, shift long"), "windows")
     first = staged(single.groupBy("window").agg(F.min("doc_id").alias("least")), "windows")
     one_by_one = single.join(first, "window").select(
