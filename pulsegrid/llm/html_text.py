@@ -39,7 +39,9 @@ IMPLIED_END = {
     **{x: ({"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}, {"table"}) for x in ("thead", "tbody", "tfoot")},
 }
 SCOPE = frozenset("table td th caption template html".split())
-DEEPEST = 150
+TABLE_PARTS = frozenset("table thead tbody tfoot tr td th caption".split())
+ONLY_IN_TABLE = frozenset("thead tbody tfoot tr td th caption col colgroup".split())
+DEEPEST, DEEPEST_TABLE = 150, 190
 
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)"
@@ -79,9 +81,12 @@ class Builder:
             if not data.strip():
                 return
             # text between the parts of a table stands before the table
-            at = max(i for i, n in enumerate(self.open) if n.tag == "table")
-            siblings = self.open[at - 1].children
-            siblings.insert(siblings.index(self.open[at]), data)
+            at = max((i for i, n in enumerate(self.open) if n.tag == "table"), default=0)
+            if at:
+                siblings = self.open[at - 1].children
+                siblings.insert(siblings.index(self.open[at]), data)
+            else:
+                top.children.append(data)
         else:
             top.children.append(data)
         self.started = self.started or bool(data.strip())
@@ -95,6 +100,8 @@ class Builder:
         if not self.started and tag in HEAD_ONLY and tag != "noscript":
             self.head.children.append(Node(tag, attrs))
             return
+        if tag in ONLY_IN_TABLE and not any(n.tag == "table" for n in self.open):
+            return
         self.started = True
         if tag in ENDS_P:
             self.close({"p"}, SCOPE)
@@ -109,8 +116,11 @@ class Builder:
             self.open.pop()
 
     def push(self, node: Node) -> None:
-        # deeper elements hang beside each other, as in browsers: nothing is lost
-        if len(self.open) > DEEPEST and node.tag not in VOID:
+        # deeper elements hang beside each other, as in browsers: nothing is lost; tables and what
+        # their cells hold keep together for a little longer
+        deep = len(self.open)
+        if deep > DEEPEST and node.tag not in VOID and (
+                deep > DEEPEST_TABLE or not (node.tag in ONLY_IN_TABLE or self.open[-1].tag in TABLE_PARTS)):
             self.open.pop()
         self.open[-1].children.append(node)
         self.open.append(node)

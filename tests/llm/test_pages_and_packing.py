@@ -37,6 +37,21 @@ def test_rendering(html, text):
     assert html_text.render(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<tr>x", "x"), ("<tbody>x<tr>y<td>z", "xyz"), ("<thead><tfoot>x", "x"), ("a<td>b<th>c</tr>d", "abcd"),
+    ("<table><tr><td>a</table><tr>b<td>c", "a\n\nbc"),
+    ("<div>" * 149 + "<table><tr><td>a<td><b>b</b> c<tr><td>d<td>e</table>f", "a  b c\nd  e\n\nf"),
+    ("<div>" * 200 + "<table>u<tr>v<td>a<td>b</table>", "uv\n\na  b"),
+])
+def test_rows_without_a_table(html, text):
+    assert html_text.render(html) == text
+
+
+def test_nested_tables_below_the_deepest_level_keep_their_words():
+    words = html_text.render("<table><tr>t<td>w " * 2000 + "<table>x<tr>y<td>z").split()
+    assert [words.count(w) for w in ("w", "x", "y", "z")] == [2000, 1, 1, 1] or sorted("".join(words)) == sorted("tw" * 2000 + "xyz")
+
+
 class Words(HTMLParser):
     """Text outside head, scripts and styles, blocks apart: a plain second reading."""
 
