@@ -5,6 +5,11 @@ item before, a cell the cell, rows and sections of tables follow suit) and the r
 what a browser without scripts does not show. Blocks stand on lines of their own, paragraphs,
 headings, lists and tables between blank lines; list items carry their mark and are indented; table
 cells are padded to the width of their column. All text that is visible is kept.
+
+Style sheets of the page are read for ``display`` and ``visibility`` as on a screen of 1280 by 800:
+importance, layers, specificity and order decide. Selectors of tags, classes and ids with descendant
+and child combinators count, others are not read; where a condition cannot be decided (``@supports``,
+``@container``, unknown media features), a rule in it may show text but not hide any.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from pulsegrid.llm.common import bound_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("head title script style template iframe noembed noframes datalist object video "
-                   "audio canvas svg math area base col colgroup link meta param source track".split())
+                   "audio canvas area base col colgroup link meta param source track".split())
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr menu dir xmp".split())
 BLOCK = MARGIN | frozenset("html body div section article aside header footer main nav address form "
                            "fieldset legend li dt dd tr td th thead tbody tfoot caption center details "
@@ -41,23 +46,42 @@ IMPLIED_END = {
 SCOPE = frozenset("table td th caption template html".split())
 TABLE_PARTS = frozenset("table thead tbody tfoot tr td th caption".split())
 ONLY_IN_TABLE = frozenset("thead tbody tfoot tr td th caption col colgroup".split())
+# start tags that end svg and math around them, and elements in which HTML goes on
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img "
+                       "li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul "
+                       "var".split())
+HTML_AGAIN = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+UNSEEN_IN_SVG = frozenset("title desc metadata defs symbol clippath mask marker pattern filter lineargradient "
+                          "radialgradient".split())
+UNSEEN_IN_MATH = frozenset("annotation annotation-xml mphantom".split())
 DEEPEST, DEEPEST_TABLE = 150, 190
+WIDE, HIGH = 1280, 800
 
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 BLANK = re.compile(r"[ \t\n\f\r]+")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-SIMPLE = re.compile(r"([a-z][a-z0-9]*)?(?:([.#])([\w-]+))?\Z", re.I)
-HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+CLOSED = re.compile(r"=\s*[^\s\"'>]*/\Z")
+CSS_COMMENT = re.compile(r"(\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+')|/\*.*?(?:\*/|\Z)", re.S)
+CSS_PART = re.compile(r"\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|\\.|[{};]", re.S)
+IMPORTANT = re.compile(r"\s*!\s*important\Z", re.I)
+NAME = r"(?:[\w-]|[^\x00-\x7f]|\\.)+"
+COMPOUND = re.compile(rf"(\*|[a-z][\w-]*)?((?:[.#]{NAME})*)\Z", re.I)
+PARTS = re.compile(rf"([.#])({NAME})")
+FEATURE = re.compile(r"\(\s*(?:(min|max)-)?(?:device-)?(width|height|orientation|prefers-color-scheme)\s*"
+                     r"(:|[<>]=?)\s*([\d.]+|[a-z]+)\s*(px|r?em)?\s*\)\Z")
+SHOWS = frozenset("block inline inline-block flex inline-flex grid inline-grid flow flow-root contents list-item "
+                  "table inline-table table-row table-cell table-caption table-column table-column-group "
+                  "table-row-group table-header-group table-footer-group ruby ruby-text math initial inherit unset "
+                  "revert revert-layer -webkit-box -webkit-inline-box -webkit-flex -webkit-inline-flex".split())
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "parent")
 
-    def __init__(self, tag: str, attrs: dict[str, str] | None = None):
-        self.tag, self.attrs, self.children = tag, attrs or {}, []
+    def __init__(self, tag: str, attrs: dict[str, str] | None = None, parent: Node | None = None):
+        self.tag, self.attrs, self.children, self.parent = tag, attrs or {}, [], parent
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -71,8 +95,10 @@ class Builder:
     """Builds a tree below ``body``; what belongs in the head hangs below ``head``."""
 
     def __init__(self):
-        self.head, self.body = Node("head"), Node("body")
+        self.root = Node("html")
+        self.head, self.body = Node("head", None, self.root), Node("body", None, self.root)
         self.open = [self.body]
+        self.foreign = False  # whether svg or math was seen
         self.started = False  # whether content of the body was seen
 
     def text(self, data: str) -> None:
@@ -92,17 +118,25 @@ class Builder:
         self.started = self.started or bool(data.strip())
 
     def start(self, tag: str, attrs: dict[str, str]) -> None:
+        if tag == "html":
+            for name, value in attrs.items():
+                self.root.attrs.setdefault(name, value)
         if tag in ("html", "head", "body"):
             if tag != "head":
                 for name, value in attrs.items():
                     self.body.attrs.setdefault(name, value)
             return
-        if not self.started and tag in HEAD_ONLY and tag != "noscript":
-            self.head.children.append(Node(tag, attrs))
+        if not self.started and tag in HEAD_ONLY and tag not in ("noscript", "template"):
+            self.head.children.append(Node(tag, attrs, self.head))
             return
         if tag in ONLY_IN_TABLE and not any(n.tag == "table" for n in self.open):
             return
         self.started = True
+        if self.foreign and tag in BREAKS_OUT:
+            at = self.foreign_at()
+            if at:
+                del self.open[at:]
+        self.foreign = self.foreign or tag in ("svg", "math")
         if tag in ENDS_P:
             self.close({"p"}, SCOPE)
         if tag in IMPLIED_END:
@@ -122,9 +156,20 @@ class Builder:
         if deep > DEEPEST and node.tag not in VOID and (
                 deep > DEEPEST_TABLE or not (node.tag in ONLY_IN_TABLE or self.open[-1].tag in TABLE_PARTS)):
             self.open.pop()
-        self.open[-1].children.append(node)
+        node.parent = self.open[-1]
+        node.parent.children.append(node)
         self.open.append(node)
 
+    def foreign_at(self) -> int:
+        """Where the outermost of the svg and math elements is open that the text in work is part of, or 0."""
+        found = 0
+        for at in range(len(self.open) - 1, 0, -1):
+            if self.open[at].tag in HTML_AGAIN:
+                break
+            if self.open[at].tag in ("svg", "math"):
+                found = at
+        return found
+
     def close(self, tags: set[str], bounds: set[str] | frozenset[str]) -> None:
         """End the outermost open element of these tags that lies within the nearest bound."""
         found = None
@@ -169,7 +214,13 @@ def parse(html: str) -> Builder:
         if found["end"]:
             builder.end(tag)
             continue
-        builder.start(tag, attributes(found["attrs"]) if found["attrs"] else {})
+        source = found["attrs"]
+        closed = source.endswith("/") and not CLOSED.search(source) and (
+            tag in ("svg", "math") or builder.foreign and builder.foreign_at() > 0)
+        builder.start(tag, attributes(source) if source else {})
+        if closed and builder.open[-1].tag == tag:
+            builder.open.pop()
+            continue
         if tag in RAW:
             lower = lower if lower is not None else html.lower()
             if len(lower) != n:  # lower case of a few letters is longer
@@ -188,21 +239,190 @@ def parse(html: str) -> Builder:
     return builder
 
 
-def hidden_by_sheets(builder: Builder) -> set[tuple[str, str]]:
-    """Simple selectors (tag, .class, #id, tag.class) that style sheets of the page hide."""
-    out: set[tuple[str, str]] = set()
-    stack: list = [builder.head, builder.body]
-    while stack:
-        node = stack.pop()
-        if node.tag == "style":
-            for selectors, body in RULE.findall("".join(x for x in node.children if isinstance(x, str))):
-                if HIDES.search(body):
-                    for selector in selectors.split(","):
-                        simple = SIMPLE.match(selector.strip())
-                        if simple and selector.strip():
-                            out.add(((simple[1] or "").lower(), (simple[2] or "") + (simple[3] or "")))
-        stack.extend(x for x in node.children if isinstance(x, Node))
-    return out
+# --- style sheets -----------------------------------------------------------------------
+def css_blocks(css: str, nested: bool) -> Iterator[tuple[str, str | None]]:
+    """Rules as (prelude, body); what ends without a block, such as a declaration, has no body."""
+    depth = start = 0
+    prelude = ""
+    for part in CSS_PART.finditer(css):
+        if part[0] == "{":
+            if not depth:
+                prelude, start = css[start:part.start()].strip(), part.end()
+            depth += 1
+        elif part[0] == "}" and depth:
+            depth -= 1
+            if not depth:
+                yield prelude, css[start:part.start()]
+                start = part.end()
+        elif part[0] == ";" and not depth and (nested or css[start:part.start()].lstrip().startswith("@")):
+            yield css[start:part.start()].strip(), None
+            start = part.end()
+    if depth:
+        yield prelude, css[start:]
+    elif css[start:].strip():
+        yield css[start:].strip(), None
+
+
+def _every(values: list[bool | None]) -> bool | None:
+    return False if False in values else None if None in values else True
+
+
+def media_applies(media: str) -> bool | None:
+    """Whether a list of media queries holds on the screen; None if that cannot be decided."""
+    found = []
+    for query in media.lower().split(","):
+        query = query.strip()
+        negated = bool(re.match(r"not\s+[a-z]", query))
+        query = re.sub(r"\A(?:not|only)\s+(?=[a-z])", "", query)
+        values = [_feature(x) if "(" in x else x in ("all", "screen", "") for x in re.split(r"\s*\band\b\s*", query)]
+        value = _every(values)
+        found.append(value if value is None or not negated else not value)
+    return True if True in found else None if None in found else False
+
+
+def _feature(text: str) -> bool | None:
+    m = FEATURE.match(text.strip())
+    if not m:
+        return None
+    bound, name, sign, value, unit = m.groups()
+    if name == "orientation" or name == "prefers-color-scheme":
+        return value in ("landscape", "light") if value in ("landscape", "portrait", "light", "dark") else None
+    if not re.fullmatch(r"\d*\.?\d+|\d+\.", value):
+        return None
+    size, limit = (WIDE if name == "width" else HIGH), float(value) * (16 if unit and unit != "px" else 1)
+    if sign == ":":
+        return size >= limit if bound == "min" else size <= limit if bound == "max" else size == limit
+    if bound:
+        return None
+    return {"<": size < limit, "<=": size <= limit, ">": size > limit, ">=": size >= limit}[sign]
+
+
+def declared(name: str, value: str) -> tuple[str, str, bool] | None:
+    """(display or visibility, its value, whether important), if the declaration is valid."""
+    name, value = name.strip().lower(), value.strip().lower()
+    important = bool(IMPORTANT.search(value))
+    value = IMPORTANT.sub("", value)
+    if name == "display" and (value == "none" or "(" in value or all(x in SHOWS for x in value.split())) or (
+            name == "visibility" and value in ("hidden", "collapse", "visible", "initial", "inherit", "unset")):
+        return (name, value, important) if value else None
+    return None
+
+
+def selector_parts(selector: str) -> tuple | None:
+    """(specificity, [(combinator before it, tag, ids, classes)]) or None if it is not one that is read."""
+    out, ids, classes, tags, combinator = [], 0, 0, 0, " "
+    for text in re.findall(r"(?:\\.|[^\s>\\])+|>", selector):
+        if text == ">":
+            combinator = ">"
+            continue
+        compound = COMPOUND.match(text)
+        if not compound:
+            return None
+        names = [(k, re.sub(r"\\(.)", r"\1", x)) for k, x in PARTS.findall(compound[2])]
+        tag = "" if compound[1] in (None, "*") else compound[1].lower()
+        own = ([x for k, x in names if k == "#"], [x for k, x in names if k == "."])
+        ids, classes, tags = ids + len(own[0]), classes + len(own[1]), tags + bool(tag)
+        out.append((combinator, tag, *own))
+        combinator = " "
+    return ((0, ids, classes, tags), out) if out else None
+
+
+class Styles:
+    """Rules of the page's style sheets on display and visibility, by the last name of their selector."""
+
+    def __init__(self, builder: Builder):
+        self.rules: dict[str, list[tuple]] = {}
+        self.count = 0
+        stack = [builder.body, builder.head]
+        while stack:
+            node = stack.pop()
+            if node.tag == "style":
+                applies = media_applies(node.attrs.get("media", ""))
+                if applies is not False and node.attrs.get("type", "text/css").strip().lower() in ("", "text/css"):
+                    css = "".join(x for x in node.children if isinstance(x, str))
+                    css = CSS_COMMENT.sub(lambda m: m[1] or "", css).replace("<!--", "").replace("-->", "")
+                    self.read(css, applies, False, None, 0)
+            elif node.tag != "template":
+                stack.extend(x for x in reversed(node.children) if isinstance(x, Node))
+
+    def read(self, css: str, applies: bool | None, layered: bool, selectors: list[str] | None, depth: int) -> None:
+        for prelude, body in css_blocks(css, selectors is not None):
+            if body is None:
+                name, _, value = prelude.partition(":")
+                found = declared(name, value)
+                # a rule whose condition is not decided does not hide
+                if found and selectors and (applies or found[1] not in ("none", "hidden", "collapse")):
+                    self.add(selectors, found, layered)
+            elif depth > 30:
+                continue
+            elif prelude.startswith("@"):
+                kind = re.match(r"@[-\w]*", prelude)[0].lower()
+                if kind in ("@media", "@supports", "@container", "@scope", "@layer"):
+                    holds = {"@media": media_applies(prelude[6:]), "@layer": True}.get(kind)
+                    if holds is not False:
+                        self.read(body, _every([applies, holds]), layered or kind == "@layer", selectors, depth + 1)
+            else:
+                own = [x.strip() for x in prelude.split(",")]
+                if selectors is not None:
+                    own = [x.replace("&", p) if "&" in x else f"{p} {x}" for p in selectors for x in own]
+                # rules nested in lists of rules can stand for more selectors than can be read
+                if selectors is None or len(own) <= 10_000:
+                    self.read(body, applies, layered, own, depth + 1)
+
+    def add(self, selectors: list[str], found: tuple[str, str, bool], layered: bool) -> None:
+        name, value, important = found
+        self.count += 1
+        for selector in selectors:
+            parts = selector_parts(selector)
+            if parts:
+                _, tag, ids, classes = parts[1][-1]
+                key = f"#{ids[0]}" if ids else f".{classes[0]}" if classes else tag
+                weight = (important, layered == important, parts[0], self.count)
+                self.rules.setdefault(key, []).append((weight, parts[1], name, value))
+
+    def of(self, node: Node) -> dict[str, str]:
+        """The values of display and visibility that are declared for an element."""
+        a, best = node.attrs, {}
+        if self.rules:
+            keys = ["", node.tag, *(f".{x}" for x in set(a.get("class", "").split())), *([f"#{a['id']}"] if "id" in a else [])]
+            for key in keys:
+                for weight, parts, name, value in self.rules.get(key, ()):
+                    if (name not in best or weight > best[name][0]) and _matches(node, parts):
+                        best[name] = (weight, value)
+        if "style" in a:
+            for at, part in enumerate(CSS_COMMENT.sub(lambda m: m[1] or "", a["style"]).split(";")):
+                found = declared(*part.partition(":")[::2])
+                if found:
+                    weight = (found[2], True, (1, 0, 0, 0), at)
+                    if found[0] not in best or weight > best[found[0]][0]:
+                        best[found[0]] = (weight, found[1])
+        return {name: value for name, (_, value) in best.items()}
+
+
+def _matches(node: Node, parts: list[tuple]) -> bool:
+    combinator, *names = parts[-1]
+    if not _named(node, *names):
+        return False
+    if len(parts) == 1:
+        return True
+    above, up = [], node.parent
+    while up is not None:
+        above.append(up)
+        up = up.parent
+    found = [-1]  # where in the chain of ancestors the part before may stand
+    for before, *names in reversed(parts[:-1]):
+        at = [i + 1 for i in found if i + 1 < len(above)] if combinator == ">" else range(found[0] + 1, len(above))
+        found = [i for i in at if _named(above[i], *names)]
+        if not found:
+            return False
+        combinator = before
+    return True
+
+
+def _named(node: Node, tag: str, ids: list[str], classes: list[str]) -> bool:
+    if tag and tag != node.tag or any(x != node.attrs.get("id") for x in ids):
+        return False
+    return not classes or set(classes) <= set(node.attrs.get("class", "").split())
 
 
 class Lines:
@@ -260,21 +480,36 @@ class Lines:
 
 class Renderer:
     def __init__(self, builder: Builder):
-        self.hidden = hidden_by_sheets(builder)
+        self.styles = Styles(builder)
 
     def unseen(self, node: Node) -> bool:
         a = node.attrs
-        if node.tag in UNSEEN or "hidden" in a or (node.tag == "dialog" and "open" not in a):
+        if node.tag in UNSEEN:
             return True
         if node.tag == "input" and a.get("type", "").lower() in ("hidden", "password", "checkbox", "radio", "file"):
             return True
-        if "style" in a and HIDES.search(a["style"]):
+        own = self.styles.of(node) if self.styles.rules or "style" in a else {}
+        display = own.get("display")
+        if display == "none" or not display and ("hidden" in a or (node.tag == "dialog" and "open" not in a)):
             return True
-        if self.hidden:
-            names = ["", *(f".{x}" for x in a.get("class", "").split()), *([f"#{a['id']}"] if "id" in a else [])]
-            return any((t, x) in self.hidden for t in ("", node.tag) for x in names if t or x)
+        if own.get("visibility") in ("hidden", "collapse"):
+            node.children = self.visible_parts(node)
+            return not node.children
         return False
 
+    def visible_parts(self, node: Node) -> list[Node]:
+        """Children of an invisible element that are, or hold, elements made visible again."""
+        out = []
+        for child in node.children:
+            if isinstance(child, Node) and not self.unseen(child):
+                if (self.styles.of(child).get("visibility") or child.attrs.get("visibility")) not in (
+                        "visible", "initial", "hidden", "collapse"):
+                    child.children = self.visible_parts(child)
+                    if not child.children:
+                        continue
+                out.append(child)
+        return out
+
     def children(self, node: Node, out: Lines, kept: bool) -> None:
         for child in node.children:
             if isinstance(child, str):
@@ -300,6 +535,17 @@ class Renderer:
             out.block(tag in MARGIN)
             out.box([f"  {x}" if x else x for x in self.lines(node, kept)])
             out.block(tag in MARGIN)
+        elif tag == "svg":
+            self.drawing(node, out, kept, False)
+        elif tag in UNSEEN_IN_MATH and _within(node, "math"):
+            return
+        elif tag in ("mtr", "mlabeledtr"):
+            out.block(False)
+            self.children(node, out, kept)
+            out.block(False)
+        elif tag == "mtd":
+            self.children(node, out, kept)
+            out.text(" ", False)
         elif tag == "details" and "open" not in node.attrs:
             out.block(False)
             for child in node.children:
@@ -314,6 +560,31 @@ class Renderer:
         else:
             self.children(node, out, kept or tag == "textarea")
 
+    def drawing(self, node: Node, out: Lines, kept: bool, written: bool) -> None:
+        """Text elements of an svg, each on a line of its own; other characters are not drawn."""
+        for child in node.children:
+            if isinstance(child, str):
+                if written:
+                    out.text(child, kept)
+                continue
+            a = child.attrs
+            own = {"display": a.get("display", ""), "visibility": a.get("visibility", ""), **self.styles.of(child)}
+            if child.tag in UNSEEN_IN_SVG or own["display"] == "none" or self.unseen(child):
+                continue
+            if own["visibility"] in ("hidden", "collapse"):
+                child.children = self.visible_parts(child)
+            if child.tag in ("text", "foreignobject"):
+                out.block(False)
+                if child.tag == "text":
+                    self.drawing(child, out, kept, True)
+                else:
+                    self.children(child, out, kept)
+                out.block(False)
+            else:
+                if child.tag == "tspan" and "x" in a and ("y" in a or "dy" in a):
+                    out.newline()
+                self.drawing(child, out, kept, written)
+
     def lines(self, node: Node, kept: bool) -> list[str]:
         out = Lines()
         self.children(node, out, kept)
@@ -394,6 +665,14 @@ class Renderer:
         return out
 
 
+def _within(node: Node, tag: str) -> bool:
+    while node.parent is not None:
+        node = node.parent
+        if node.tag == tag:
+            return True
+    return False
+
+
 def _whole(value: str | None, default: int) -> int:
     return int(value) if value and re.fullmatch(r"-?\d{1,9}", value.strip()) else default
 

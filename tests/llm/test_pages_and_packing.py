@@ -37,6 +37,41 @@ def test_rendering(html, text):
     assert html_text.render(html) == text
 
 
+PRINT = "<div class=nav>menu</div><div id=footer>foot</div>"
+MENU = "<style>.menu{display:none} %s</style><p class=menu>menu<p>rest"
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<style>@media print{.nav,#footer{display:none}}</style>" + PRINT, "menu\nfoot"),
+    ("<style media=print>.nav,#footer{display:none}</style>" + PRINT, "menu\nfoot"),
+    ("<style>/* x */ /*.nav{display:none}*/ #footer{display:none}</style>" + PRINT, "menu"),
+    ("<style>/*\n*/.nav/**/{display:none}</style>" + PRINT, "foot"),
+    ("<style>i:before{content:'/*'} .nav{display:none}</style>" + PRINT, "foot"),
+    ("<style>@media screen{.nav{display:none}} @supports (x:y){#footer{display:none}}</style>" + PRINT, "foot"),
+    ("<style>@media only screen and (max-width:600px){.nav{display:none}}</style>" + PRINT, "menu\nfoot"),
+    ("<style>.nav{color:red;@media print{display:none}} #footer{@media screen{display:none}}</style>" + PRINT, "menu"),
+    ("<style>@font-face{x:y}.a{};.nav{display:none}#footer{display:none</style>" + PRINT, "menu"),
+    ("<template><style>.nav{display:none}</style></template>" + PRINT, "menu\nfoot"),
+    (MENU % "@media(min-width:600px){.menu{display:block}}", "menu\n\nrest"),
+    (MENU % "@media(min-width:6000px){.menu{display:block}}", "rest"),
+    (MENU % "@media print{.menu{display:block}}", "rest"), (MENU % ".menu{display:block}", "menu\n\nrest"),
+    (MENU % "p{display:block}", "rest"), (MENU % "p.menu{display:block} .menu{display:none}", "menu\n\nrest"),
+    (MENU % "body > .menu{display:block}", "menu\n\nrest"), (MENU % "div .menu{display:block}", "rest"),
+    (MENU % ".menu{display:wrong}", "rest"), (MENU % "p{display:block!important}", "menu\n\nrest"),
+    (r"<style>.hidden{display:none}@media (min-width:40em){.sm\:block{display:block}}</style>"
+     "<p class='hidden sm:block'>a<p class=hidden>b", "a"),
+    ("<style>.x{visibility:hidden}.y{visibility:visible}</style><div class=x>a<p>b<p class=y>c</div>d", "c\n\nd"),
+    ("<style>.x{visibility:hidden}.x{visibility:visible}</style><p class=x>a", "a"),
+    ("<p hidden style='display:block'>a<p hidden>b<p style='display:none;display:block'>c", "a\n\nc"),
+    ("a<svg><title>t</title><g><path d='m'/><text x=1>one</text><text>two <tspan>b</tspan></text></g>raw</svg>c", "a\none\ntwo b\nc"),
+    ("<svg><defs><text>no</text></defs><circle r=1><text display=none>no</text><foreignObject><p>yes</p></foreignObject></svg>", "yes"),
+    ("a<svg><circle/><p>out", "a\n\nout"), ("<svg><title/><text>b</text></svg>", "b"),
+    ("so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>tex</annotation></semantics></math> holds", "so x=1 holds"),
+])
+def test_what_a_screen_shows(html, text):
+    assert html_text.render(html) == text
+
+
 @pytest.mark.parametrize("html, text", [
     ("<tr>x", "x"), ("<tbody>x<tr>y<td>z", "xyz"), ("<thead><tfoot>x", "x"), ("a<td>b<th>c</tr>d", "abcd"),
     ("<table><tr><td>a</table><tr>b<td>c", "a\n\nbc"),
