@@ -28,6 +28,8 @@ from pulsegrid.llm.common import staged
 
 SEQUENCE = 1024
 END_ID = 0
+# added tokens of the tokenizers file: text is split at them first, whatever stands around them
+ADDED = {"<|endoftext|>": 50256}
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 # a unit that starts with the only space before it is tokenized alike on its own and in its text
 NOT_SPLITTABLE = re.compile(r" \s|\s ")
@@ -37,7 +39,7 @@ class Ids:
     """Ids of texts as bytes of little-endian 32-bit numbers, with a memory of units seen.
 
     The vocabulary is read from a file of ranks, the fast form of the public 50k byte-level BPE;
-    its ids are those of the ``tokenizers`` file of that name (tested). ``most`` bounds the memory:
+    its ids are those of the ``tokenizers`` file of that name, added tokens included (tested). ``most`` bounds the memory:
     a full one is emptied, which changes the speed only.
     """
 
@@ -48,8 +50,16 @@ class Ids:
                                         mergeable_ranks=ranks, special_tokens={})
         self.seen: dict[str, bytes] = {}
         self.most = most
+        self.added = {token: np.array([i], dtype="<u4").tobytes() for token, i in ADDED.items()}
+        self.split = re.compile(f"({'|'.join(map(re.escape, ADDED))})").split
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in ADDED):
+            return b"".join(self.added.get(x) or self.between(x) for x in self.split(text))
+        return self.between(text)
+
+    def between(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         if NOT_SPLITTABLE.search(text):
             return self.plain(text)
         units = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]

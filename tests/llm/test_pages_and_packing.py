@@ -213,6 +213,25 @@ def test_packing_awkward_rows(spark):
     assert packing.pack(frame(spark).limit(0)).count() == 0
 
 
+def test_ids_are_those_of_the_tokenizers_file():
+    file = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.ADDED == {t.content: i for i, t in file.get_added_tokens_decoder().items()}
+    ids = packing.Ids(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    end = "<|endoftext|>"
+    texts = [r[1] or "" for r in awkward()] + [
+        f"hello {end} x", end, end * 3, f"{end} {end}", f"a  {end}  b \n{end}\n c", f"<{end}>", "<|endoftext|", f"don't{end}'t \0{end}\0 d",
+        "<|ENDOFTEXT|>", f"  {end}", f"{end}  ", f"one two{end}three {end}four"]
+    for text in texts:
+        assert np.frombuffer(ids.encode(text), "<u4").tolist() == file.encode(text, add_special_tokens=False).ids, text[:80]
+
+
+def test_packing_rows_with_added_tokens(spark):
+    rows = [(1, "hello <|endoftext|> x", "en", "a", 1), (2, "<|endoftext|>" * 1500, "en", "a", 1)]
+    got = {(r.doc_id, r.start): (r.ids_crc32, r.doc_tokens) for r in packing.pack(frame(spark, rows)).collect()}
+    whole = np.array([31373, 220, 50256, 2124, 0], dtype="<u4").tobytes()
+    assert got[1, 0] == (zlib.crc32(whole), 5) and got[2, 1024][1] == 1501 and len(got) == 3
+
+
 def test_histogram_packing_places_every_length():
     rng = np.random.default_rng(2)
     for n in (1, 20, 3000):
