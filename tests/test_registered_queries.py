@@ -22,6 +22,25 @@ def con():
     return duck(FOLDER)
 
 
+@pytest.mark.parametrize("name", [f"{who}_active_daily_{v}_all_days" for who in ("user", "product") for v in ("v1", "v2")])
+def test_daily_facts_of_days_outside_the_month(spark, tmp_path, name):
+    """Events long before, within and long after the month all reach the facts."""
+    import shutil
+
+    from pyspark.sql import functions as F
+
+    shutil.copytree(FOLDER, tmp_path / "t")
+    events = spark.read.parquet(f"{FOLDER}/events.parquet")
+    shift = F.expr("CASE event_id % 3 WHEN 0 THEN INTERVAL '-400' DAY WHEN 1 THEN INTERVAL '0' DAY ELSE INTERVAL '90' DAY END")
+    (tmp_path / "t" / "events.parquet").unlink()
+    events.withColumn("ts", F.col("ts") + shift).toPandas().to_parquet(
+        tmp_path / "t" / "events.parquet", coerce_timestamps="us")
+    folder = str(tmp_path / "t")
+    assert compare(spark, duck(folder), name, entry.queries()[name], entry.oracle_sql()[name], folder) == ""
+    dates = [r.partition_date.year * 100 + r.partition_date.month for r in entry.queries()[name](spark, folder).collect()]
+    assert min(dates) < 202301 and max(dates) >= 202404
+
+
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, con, name):
     query, sql = entry.queries()[name], entry.oracle_sql().get(name)

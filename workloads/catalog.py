@@ -308,6 +308,10 @@ APP: dict[str, Query] = {
     "user_active_daily_v2": lambda s, d: _users_v2(s, d, RECENT),
     "product_active_daily_v1": lambda s, d: _devices_v1(s, d, RECENT),
     "product_active_daily_v2": lambda s, d: _devices_v2(s, d, RECENT),
+    "user_active_daily_v1_all_days": lambda s, d: _users_v1(s, d, views.all_days(s, d)),
+    "user_active_daily_v2_all_days": lambda s, d: _users_v2(s, d, views.all_days(s, d)),
+    "product_active_daily_v1_all_days": lambda s, d: _devices_v1(s, d, views.all_days(s, d)),
+    "product_active_daily_v2_all_days": lambda s, d: _devices_v2(s, d, views.all_days(s, d)),
     "user_product_pairings": _pairings_v1,
     "user_product_rolling": user_product_rolling,
     "retention_curve": retention_curve,

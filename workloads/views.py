@@ -3,13 +3,15 @@ with theirs. ``workloads.oracle`` states the same views in SQL."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.predicates import is_dev_build, platform_of
 from pulsegrid.functions.times import local_date, local_timestamp
 from pulsegrid.operators import landing
-from pulsegrid.operators.date_windows import backfill_window
+from pulsegrid.operators.date_windows import DateWindow, backfill_window
 
 DS = "2024-01-30"
 ALL_DAYS = backfill_window(DS, 29)
@@ -50,6 +52,13 @@ def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_days(spark: SparkSession, sf_dir: str) -> DateWindow:
+    """First to last day of the given events; empty if there are none."""
+    day = F.to_date("ts")
+    first, last = base_events(spark, sf_dir).agg(F.min(day), F.max(day)).first()
+    return DateWindow(first, last) if first else DateWindow(dt.date.max, dt.date.min)
+
+
 def flat_events(spark: SparkSession, sf_dir: str, text_times: bool = False) -> DataFrame:
     """The flat landing table of app events: a text ``dt``, sparse payload columns, and times as
     text if ``text_times``."""
