@@ -178,7 +178,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, modulus: int, remainder:
                     most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN,
                     most_bytes: int = MOST_BYTES) -> tuple[list[str], np.ndarray]:
     """Whole texts of up to ``most_toxic`` toxic and ``most_clean`` clean labelled documents outside
-    the fold, in the order of a hash of their id, as long as they come to ``most_bytes``."""
+    the fold, in the order of a hash of their id. Toxic texts take up to half of ``most_bytes``, clean
+    ones what is left; a text that does not fit any more is skipped, those behind it are not."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(
         ~held_out(F.col("doc_id"), modulus, remainder)).select(
         F.col("doc_id").alias("_id"), (F.col("toxic") == 1).alias("_toxic"), F.xxhash64("doc_id").alias("_hash"))
@@ -186,8 +187,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, modulus: int, remainder:
            first_by_hash(known.where("NOT _toxic"), "_hash", most_clean, "_id")]
     rows = staged(docs.join(ids[0].unionAll(ids[1]), F.col("doc_id") == F.col("_id")).select(
         "_hash", "_id", "_toxic", F.coalesce("text", F.lit("")).alias("text")), "sample")
-    upto = F.sum(F.octet_length("text")).over(W.orderBy("_hash", "_id", "text"))
-    found = rows.withColumn("upto", upto).where(F.col("upto") <= most_bytes).select("text", "_toxic").toPandas()
+    place = F.row_number().over(W.partitionBy("_toxic").orderBy("_hash", "_id", "text"))
+    placed = rows.withColumn("_place", place).where(
+        F.col("_place") <= F.when(F.col("_toxic"), most_toxic).otherwise(most_clean))
+    sizes = placed.select("_toxic", "_place", F.octet_length("text").alias("bytes")).orderBy("_place").collect()
+    left, skipped = most_bytes // 2, []
+    for toxic in (True, False):
+        used = 0
+        for row in sizes:
+            if row["_toxic"] == toxic:
+                fits = used + row["bytes"] <= left
+                used += row["bytes"] if fits else 0
+                skipped += [] if fits else [(toxic, row["_place"])]
+        left = most_bytes - used
+    if skipped:
+        unfit = docs.sparkSession.createDataFrame(skipped, "_toxic boolean, _place int")
+        placed = placed.join(unfit, ["_toxic", "_place"], "left_anti")
+    found = placed.select("_hash", "_toxic", "_place", "text").toPandas().sort_values(["_hash", "_toxic", "_place"])
     return found["text"].tolist(), found["_toxic"].to_numpy(dtype=bool)
 
 

@@ -167,3 +167,14 @@ def test_labels_of_the_fold_and_other_columns_teach_nothing(spark):
     scores = [{r.doc_id: r.score for r in quality_model.score(d, x).collect()}
               for d, x in ((docs, labels), (docs.withColumn("source", F.lit("z")), turned))]
     assert scores[0] == scores[1]
+
+
+def test_toxicity_sample_skips_what_does_not_fit_and_keeps_room_for_toxic(spark):
+    long, toxic = {3, 50}, set(range(1, 201, 10))
+    docs = frame(spark, [(i, ("t" if i in toxic else "c") * (100_000 if i in long else 1000), "en", "a", 1) for i in range(1, 201)])
+    labels = spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(1, 201)], "doc_id long, quality int, toxic int")
+    whole, flags = toxicity.labelled_sample(docs, labels, 5, 0)
+    texts, found = toxicity.labelled_sample(docs, labels, 5, 0, most_bytes=60_000)
+    assert found.sum() == flags.sum() > 10 and len(texts) == 60 and {len(t) for t in texts} == {1000}
+    assert all((t[0] == "t") == f for t, f in zip(texts, found))
+    assert toxicity.labelled_sample(docs, labels, 5, 0, most_bytes=10_000)[1].tolist().count(True) == 5
