@@ -151,17 +151,18 @@ def validate_records(lines: DataFrame, contract: Contract, raw: str = "value") -
     text = F.col(raw)
     record = F.from_json(text, contract.schema)
     parsed = _computed_once(lines, record)
-    judged = parsed.withColumn("_complaints", R.complaints_of(contract.rules()))
     # text that fails to parse leaves every field null; only such rows are parsed once more
     nothing = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in contract.schema.names])
     broken = nothing & F.expr(f"try_parse_json(`{raw}`)").isNull()
     shaped = F.coalesce(text.rlike(r"(?s)^\s*\{.*\}\s*\z"), F.lit(False))
-    code = F.when(~shaped, V.INVALID_TYPE).when(broken, V.INVALID_TYPE).when(
-        F.col("_complaints") != "", V.SCHEMA_VALIDATION_ERROR)
+    wrong = F.when(~shaped | broken, V.INVALID_TYPE)
+    judged = _computed_once(parsed, F.struct(
+        R.complaints_of(contract.rules()).alias("_complaints"), wrong.alias("_wrong")))
+    code = F.coalesce("_wrong", F.when(F.col("_complaints") != "", V.SCHEMA_VALIDATION_ERROR))
     message = F.when(F.col("error_code") == V.INVALID_TYPE, "not a JSON object").when(
         F.col("error_code").isNotNull(), F.to_json("errors"))
-    return (judged.withColumn("errors", R.complaint_list(F.col("_complaints")))
-            .withColumn("error_code", code).drop("_complaints")
+    errors = R.complaint_list(F.col("_complaints"))
+    return (judged.select(*parsed.columns, errors.alias("errors"), code.alias("error_code"))
             .withColumn("error_message", message))
 
 
@@ -169,8 +170,9 @@ def _computed_once(rows: DataFrame, record: Column) -> DataFrame:
     """Add the fields of ``record`` as columns that later filters do not evaluate again.
 
     A filter on a projected column is pushed down with the column's whole expression written out
-    at every use, which would parse a record once for every rule. It cannot be pushed below a
-    generator, and a generator of one row costs next to nothing.
+    at every use, which would parse a record once for every rule and, above a verdict, has the
+    optimizer infer further filters from all its branches. It cannot be pushed below a generator,
+    and a generator of one row costs next to nothing.
     """
     once = rows.select(*rows.columns, F.explode(F.array(record)).alias("_record"))
     return once.select(*rows.columns, "_record.*")
