@@ -178,7 +178,6 @@ def test_warc_reader_frames_and_verifies():
 # --- packing ----------------------------------------------------------------------------
 def check_pieces(pieces, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     left = {}
     for key, text in texts:
         ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4")
