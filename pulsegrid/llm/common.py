@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +55,22 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(text.cast("binary")) % modulus == remainder
 
 
+@contextmanager
+def small_batches(spark: SparkSession, records: int = 2000, size: int = 32 << 20) -> Iterator[None]:
+    """Arrow batches small enough that a batch of long texts fits a Python worker, for what runs
+    inside the block; the session's own settings are back after it."""
+    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(records),
+            "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    before = {key: spark.conf.get(key, None) for key in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Arrow batches small enough that a batch of long texts fits a Python worker. Results do not
     depend on it; settings made elsewhere are kept."""
