@@ -38,13 +38,9 @@ def smaller_than_next(text: np.ndarray) -> np.ndarray:
     the type of what follows them."""
     n = len(text)
     change = np.flatnonzero(text[:-1] != text[1:])
-    kind = np.ones(n, dtype=bool)
-    if len(change):
-        rises = text[change] < text[change + 1]
-        at = np.searchsorted(change, np.arange(n))
-        known = at < len(change)
-        kind[known] = rises[at[known]]
-    return kind
+    rises = text[change] < text[change + 1]
+    # what follows the last change has nothing behind it to be smaller than
+    return np.repeat(np.append(rises, True), np.diff(np.concatenate([[0], change + 1, [n]])))
 
 
 def directly_sorted(places: np.ndarray, packed: np.ndarray) -> np.ndarray:
@@ -58,13 +54,17 @@ def directly_sorted(places: np.ndarray, packed: np.ndarray) -> np.ndarray:
         tied = np.flatnonzero(np.concatenate([[False], equal]) | np.concatenate([equal, [False]]))
         if not len(tied):
             break
-        # runs of equal places keep their slots; within a run the next characters decide
+        # runs of equal places keep their slots; within a run the next characters decide, where they
+        # are not all the same
         run = np.cumsum(~np.concatenate([[False], equal]))[tied]
         own = places[tied]
         key = packed[own + k]
-        order = np.lexsort((key, run))
-        places[tied] = own[order]
-        run, key = run[order], key[order]
+        mixed = np.zeros(run[-1] + 1, dtype=bool)
+        mixed[run[1:][(run[1:] == run[:-1]) & (key[1:] != key[:-1])]] = True
+        some = np.flatnonzero(mixed[run])
+        order = some[np.lexsort((key[some], run[some]))]
+        places[tied[some]] = own[order]
+        key[some] = key[order]
         same = np.zeros(len(places), dtype=bool)
         same[tied[1:]] = (run[1:] == run[:-1]) & (key[1:] == key[:-1])
         equal = same[1:]
@@ -111,9 +111,8 @@ def suffix_array(text: np.ndarray, packed: np.ndarray) -> np.ndarray:
     return order
 
 
-def least_by_window(segments: list[bytes], value: np.ndarray, length: int) -> list[np.ndarray]:
-    """For every segment and each of its windows of ``length`` bytes the least ``value`` among the
-    segments that contain the same window anywhere."""
+def _least(segments: list[bytes], value: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Per place the least value and the segment, then where segments start and end."""
     text, starts = laid_out(segments)
     packed = words(text)
     ends = np.concatenate([starts[1:], [len(text)]]) - 1
@@ -129,4 +128,24 @@ def least_by_window(segments: list[bytes], value: np.ndarray, length: int) -> li
         group = np.concatenate([[True], ~same])
         sums = np.minimum.reduceat(value[owner[order]], np.flatnonzero(group))
         least[order] = sums[np.cumsum(group) - 1]
+    return least, owner, starts, ends
+
+
+def least_by_window(segments: list[bytes], value: np.ndarray, length: int) -> list[np.ndarray]:
+    """For every segment and each of its windows of ``length`` bytes the least ``value`` among the
+    segments that contain the same window anywhere."""
+    least, _, starts, ends = _least(segments, value, length)
     return [least[s:max(e - length + 1, s)] for s, e in zip(starts, ends)]
+
+
+def least_runs(segments: list[bytes], value: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """The same as runs of windows with one value: the segment's number, the first window, how many
+    windows, and the value."""
+    least, owner, starts, ends = _least(segments, value, length)
+    place = np.arange(len(least))
+    place = place[place + length <= ends[owner]]
+    own, least = owner[place], least[place]
+    new = np.ones(len(place), dtype=bool)
+    new[1:] = (own[1:] != own[:-1]) | (least[1:] != least[:-1])
+    first = np.flatnonzero(new)
+    return own[first], (place - starts[own])[first], np.diff(np.append(first, len(place))), least[first]

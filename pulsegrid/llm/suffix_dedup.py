@@ -12,8 +12,8 @@ up to ``LENGTH + LENGTH - GRAM`` bytes.
 3. Occurrences of the remaining segments are numbers (anchor, fingerprint, document, place). Where an
    anchor has one segment only, all its windows have the segment's first document. Of anchors with
    several, the bytes of each different segment are fetched once, from its first document.
-4. Segments are dealt by anchor. Each task sorts the suffixes of a few megabytes of segments in two
-   stages and reads the least document of every window from neighbours with common prefixes.
+4. Segments are dealt by anchor. Each task sorts the suffixes of a few hundred kilobytes of segments at a
+   time in two stages and reads the least document of every window from neighbours with common prefixes.
    Anchors with more than ``HOT`` different segments are not gathered: their windows are grouped
    one by one instead.
 5. Occurrences meet their segment's result and give spans, spans meet the texts.
@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.bitmap import among, bitmap, maybe_in, without
 from pulsegrid.llm.common import bound_batches, discard, staged
 from pulsegrid.llm.shingles import mixed
-from pulsegrid.llm.suffix_array import least_by_window
+from pulsegrid.llm.suffix_array import least_runs
 
 LENGTH, GRAM = 50, 20
 HOT = 4096
-TASK_BYTES = 4 << 20  # of segments in one suffix array
+TASK_BYTES = 1 << 18  # of segments in one suffix array; what fits the processor's cache sorts faster
 LOG2_BITS = 27  # of the anchor filter: 16 MB
 PIECE = 1 << 19  # bytes of text looked at together
 _U = np.uint64
@@ -138,9 +138,12 @@ def anchors(texts: DataFrame) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             for row, _, _, anchor, _ in batch_segments(_bytes(batch.column("text"))):
-                pair = np.unique(np.rec.fromarrays([anchor, row], names="a,r"))
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.ascontiguousarray(pair.a))),
-                                                  pa.array(ids[pair.r])], names=["anchor", "doc_id"])
+                order = np.lexsort((row, anchor))
+                anchor, row = anchor[order], row[order]
+                new = np.ones(len(row), dtype=bool)
+                new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(anchor[new])), pa.array(ids[row[new]])],
+                                                 names=["anchor", "doc_id"])
 
     return texts.select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long")
 
@@ -195,19 +198,19 @@ def segment_bytes(texts: DataFrame, first: DataFrame) -> DataFrame:
         run, "anchor long, segment long, many boolean, doc_id long, bytes binary")
 
 
-RESULT = "anchor long, segment long, shift long, least array<long>"
+RESULT = "anchor long, segment long, shift long, windows long, least long"
 
 
 def least_documents(segments: DataFrame) -> DataFrame:
-    """``anchor, segment, shift, least``: the least doc_id that has the window at each place of the
-    segment, from place ``shift`` on; only where it is less than the segment's own first document
-    or tells the occurrences of that apart from it."""
+    """``anchor, segment, shift, windows, least``: the least doc_id that has the windows of the
+    segment from place ``shift`` on, ``windows`` of them."""
 
     def flush(held: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if held:
             rows = pd.concat(held)
-            least = least_by_window(rows["bytes"].tolist(), rows["doc_id"].to_numpy(), LENGTH)
-            yield pd.DataFrame({"anchor": rows["anchor"], "segment": rows["segment"], "shift": 0, "least": least})
+            own, shift, windows, least = least_runs(rows["bytes"].tolist(), rows["doc_id"].to_numpy(), LENGTH)
+            yield pd.DataFrame({"anchor": rows["anchor"].to_numpy()[own], "segment": rows["segment"].to_numpy()[own],
+                                "shift": shift, "windows": windows, "least": least})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -241,36 +244,17 @@ def least_documents(segments: DataFrame) -> DataFrame:
         windows, "window binary, anchor long, segment long, doc_id long, shift long"), "windows")
     first = staged(single.groupBy("window").agg(F.min("doc_id").alias("least")), "windows")
     one_by_one = single.join(first, "window").select(
-        "anchor", "segment", "shift", F.array("least").alias("least"))
+        "anchor", "segment", "shift", F.lit(1).cast("long").alias("windows"), "least")
     return sorted_out.unionAll(one_by_one)
 
 
 def spans_of(found: DataFrame, least: DataFrame) -> DataFrame:
-    """``doc_id, spans``: the runs of bytes (from, to) to remove of each document, joined and in
-    order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            least = batch.column("least")
-            counts = np.diff(least.offsets.to_numpy())
-            row = np.repeat(np.arange(len(counts)), counts)
-            flat = least.flatten().to_numpy()
-            doc_id, start, shift = (batch.column(c).to_numpy() for c in ("doc_id", "start", "shift"))
-            at = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-            hit = flat < doc_id[row]
-            row, at = row[hit], (start[row] + shift[row] + at)[hit]
-            new = np.ones(len(row), dtype=bool)
-            new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
-            first = np.flatnonzero(new)
-            last = np.concatenate([first[1:], [len(row)]]) - 1
-            if len(first):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_id[row[first]]), pa.array(at[first]), pa.array(at[last] + LENGTH)],
-                    names=["doc_id", "low", "high"])
-
-    met = found.join(least, ["anchor", "segment"]).select("doc_id", "start", "shift", "least")
-    runs = met.mapInArrow(run, "doc_id long, low long, high long")
-    return runs.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("low", "high"))).alias("runs"))
+    """``doc_id, runs``: the runs of bytes (from, to) to remove of each document, in order; they may
+    overlap."""
+    low = F.col("start") + F.col("shift")
+    met = found.join(least, ["anchor", "segment"]).where(F.col("least") < F.col("doc_id"))
+    return met.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct(
+        low.alias("low"), (low + F.col("windows") + (LENGTH - 1)).alias("high")))).alias("runs"))
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -305,7 +289,7 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     alone, several = first_places(found)
     segments = staged(segment_bytes(searched, several), "segments")
     same = alone.select("anchor", "segment", F.lit(0).cast("long").alias("shift"),
-                        F.expr(f"array_repeat(x.doc_id, int(x.length) - {LENGTH - 1})").alias("least"))
+                        (F.col("x.length") - (LENGTH - 1)).alias("windows"), F.col("x.doc_id").alias("least"))
     least = staged(least_documents(segments).unionAll(same), "least")
     runs = staged(spans_of(found, least), "runs")
     discard(shared, found, segments, least)
