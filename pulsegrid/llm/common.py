@@ -30,17 +30,21 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = new_folder(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    out = spark.read.schema(frame.schema).parquet(path)
+    out.staged_path = path
+    return out
 
 
 def discard(*frames: DataFrame) -> None:
-    """Remove staged tables that nothing reads any more."""
+    """Remove what ``staged`` wrote and nothing reads any more; of a frame made from a staged one,
+    the folders of its files."""
     for frame in frames:
         jvm = frame.sparkSession._jvm
         conf = frame.sparkSession._jsc.hadoopConfiguration()
-        for parent in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
-            if "/llm-" in parent:
-                path = jvm.org.apache.hadoop.fs.Path(parent)
+        known = getattr(frame, "staged_path", None)
+        for folder in [known] if known else {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            if "/llm-" in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(conf).delete(path, True)
 
 

@@ -17,16 +17,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.chain import Chain
-from pulsegrid.llm.common import bound_batches, first_by_hash, held_out, staged
+from pulsegrid.llm.common import bound_batches, discard, first_by_hash, held_out, staged
 
 MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 1500, 4500, 32 << 20
 MOST_FORMS = 20_000
+SLICE = 1 << 20  # bytes of text tagged at once
 STEPS, RATE, L2 = 60, 0.3, 1e-4
 TOKEN = re.compile(r"\S+")
 EDGES = "\"'`.,;:!?()[]{}<>*_~-¡¿«»„“”…"
@@ -179,38 +181,72 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, modulus: int, remainder:
                     most_bytes: int = MOST_BYTES) -> tuple[list[str], np.ndarray]:
     """Whole texts of up to ``most_toxic`` toxic and ``most_clean`` clean labelled documents outside
     the fold, in the order of a hash of their id. Toxic texts take up to half of ``most_bytes``, clean
-    ones what is left; a text that does not fit any more is skipped, those behind it are not."""
+    ones what is left; a text that does not fit any more is skipped, those behind it are not. Of rows
+    that share an id one counts."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(
         ~held_out(F.col("doc_id"), modulus, remainder)).select(
         F.col("doc_id").alias("_id"), (F.col("toxic") == 1).alias("_toxic"), F.xxhash64("doc_id").alias("_hash"))
     ids = [first_by_hash(known.where("_toxic"), "_hash", most_toxic, "_id"),
            first_by_hash(known.where("NOT _toxic"), "_hash", most_clean, "_id")]
-    rows = staged(docs.join(ids[0].unionAll(ids[1]), F.col("doc_id") == F.col("_id")).select(
-        "_hash", "_id", "_toxic", F.coalesce("text", F.lit("")).alias("text")), "sample")
-    place = F.row_number().over(W.partitionBy("_toxic").orderBy("_hash", "_id", "text"))
-    placed = rows.withColumn("_place", place).where(
-        F.col("_place") <= F.when(F.col("_toxic"), most_toxic).otherwise(most_clean))
-    sizes = placed.select("_toxic", "_place", F.octet_length("text").alias("bytes")).orderBy("_place").collect()
-    left, skipped = most_bytes // 2, []
+    rows = docs.join(ids[0].unionAll(ids[1]), F.col("doc_id") == F.col("_id")).select(
+        "_hash", "_id", "_toxic", F.coalesce("text", F.lit("")).alias("text"))
+    rows = staged(rows.withColumn("_own", F.xxhash64("text")), "sample")
+    # numbers alone decide what fits; only then are texts fetched
+    sizes = rows.groupBy("_toxic", "_hash", "_id").agg(
+        F.min(F.struct("_own", F.octet_length("text").alias("bytes"))).alias("x")).orderBy("_hash", "_id").collect()
+    left, chosen = most_bytes // 2, []
     for toxic in (True, False):
         used = 0
         for row in sizes:
-            if row["_toxic"] == toxic:
-                fits = used + row["bytes"] <= left
-                used += row["bytes"] if fits else 0
-                skipped += [] if fits else [(toxic, row["_place"])]
+            if row["_toxic"] == toxic and used + row["x"]["bytes"] <= left:
+                used += row["x"]["bytes"]
+                chosen.append((row["_hash"], row["_id"], toxic, row["x"]["_own"]))
         left = most_bytes - used
-    if skipped:
-        unfit = docs.sparkSession.createDataFrame(skipped, "_toxic boolean, _place int")
-        placed = placed.join(unfit, ["_toxic", "_place"], "left_anti")
-    found = placed.select("_hash", "_toxic", "_place", "text").toPandas().sort_values(["_hash", "_toxic", "_place"])
+    keys = ["_hash", "_id", "_toxic", "_own"]
+    fits = docs.sparkSession.createDataFrame(
+        chosen, f"_hash long, _id {labels.schema['doc_id'].dataType.simpleString()}, _toxic boolean, _own long")
+    found = rows.join(fits, keys).groupBy(*keys).agg(F.first("text").alias("text")).toPandas()
+    found = found.sort_values(["_hash", "_id", "_toxic"])
+    discard(rows)
     return found["text"].tolist(), found["_toxic"].to_numpy(dtype=bool)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``SLICE`` bytes of text, as its tokens take many times
+    their bytes."""
+    sizes = pc.binary_length(batch.column(batch.schema.get_field_index("text"))).fill_null(0)
+    upto = np.cumsum(sizes.to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, before + SLICE, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def learn(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0, **bounds: int) -> Model:
     return fit(*labelled_sample(docs, labels, modulus, remainder, **bounds))
 
 
+def without_toxic(docs: DataFrame, model: Model, cut: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``cut``, all columns as they are.
+
+    Only texts go to Python and only a verdict comes back. Null and empty texts have no tokens and
+    stay (unless the model, for lack of telling forms, scores everything at ``cut`` or above);
+    repeated rows and null ids are judged row by row; an empty table gives no rows; columns of any
+    name stay.
+    """
+    bound_batches(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string(), from_pandas=True)], names=["text"])
+        kept = [model.scores(*model.tags([t or "" for t in part.column(0).to_pylist()])) < cut for part in slices(batch)]
+        return pd.Series(np.concatenate([np.zeros(0, dtype=bool), *kept]))
+
+    return docs.where(clean("text"))
+
+
 def score(docs: DataFrame, model: Model, cut: float = 0.5) -> DataFrame:
     """``docs`` plus ``score`` (0 to 1), ``predicted`` and ``spans`` (start and end as offsets in
     characters, and the largest marginal between them) of the toxic tokens.
@@ -239,7 +275,7 @@ def score(docs: DataFrame, model: Model, cut: float = 0.5) -> DataFrame:
         return out
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
             marginals, counts = model.tags(texts)
             scores = model.scores(marginals, counts)
