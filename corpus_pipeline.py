@@ -14,10 +14,12 @@ from pulsegrid.llm.common import new_folder, table
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the field tagger does not reject; it learns from the labels of ``sf_dir``."""
+    """Documents that the field tagger does not reject; it learns from the labels of ``sf_dir``.
+
+    Null and empty texts have no toxic token and stay; repeated rows and rows without an id are
+    judged row by row; without labels, or an empty table, nothing is rejected."""
     model = toxicity.learn(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    rows = docs.select("text", F.struct("*").alias("row"))
-    return toxicity.score(rows, model).where("predicted = 0").select("row.*")
+    return toxicity.without_toxic(docs, model)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,13 +33,19 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mixed_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it.
+
+    Null and empty texts have no words and are never taken; a null source is a source of its own;
+    repeated rows and rows without an id are documents like any others; an empty table stays empty."""
     rows = docs.select("doc_id", "source", "text", F.struct("*").alias("row"))
     return mixing.repeated(mixing.mix(mixing.with_size(rows))).select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents and their places in sequences.
+
+    Null and empty texts are documents of one id; repeated rows are packed each time; an empty table
+    gives no rows."""
     return packing.pack(docs)
 
 
