@@ -66,6 +66,14 @@ def session_sets(events: DataFrame, window: DateWindow) -> DataFrame:
 _TIES = ("client_firmware_version", "device_session_id", "bt_device_state")
 
 
+def crash_order(order_by: str) -> tuple[str, ...]:
+    """The columns that order a device's events."""
+    if order_by not in ("uptime", "event_time"):
+        raise ValueError(f"order_by is 'uptime' or 'event_time', not {order_by!r}")
+    first = "event_local_date" if order_by == "uptime" else "event_timestamp_ms"
+    return (first, "device_mono_time", *_TIES)
+
+
 def detect_crashes(events: DataFrame, order_by: str = "uptime", bucket: Column | None = None,
                    lookback: DataFrame | None = None) -> DataFrame:
     """Mark events whose uptime is below that of the device's preceding event.
@@ -78,16 +86,13 @@ def detect_crashes(events: DataFrame, order_by: str = "uptime", bucket: Column |
     A device is cut into buckets (a date, or an hour of event time) for the look back, and buckets by
     the second.
     """
+    order = crash_order(order_by)
     if order_by == "uptime":
-        order = ("event_local_date", "device_mono_time", *_TIES)
         bucket = F.col("event_local_date") if bucket is None else bucket
         finer = F.floor(F.col("device_mono_time") / 1000)
-    elif order_by == "event_time":
-        order = ("event_timestamp_ms", "device_mono_time", *_TIES)
+    else:
         bucket = F.floor(F.col("event_timestamp_ms") / 3_600_000) if bucket is None else bucket
         finer = F.floor(F.col("event_timestamp_ms") / 1000)
-    else:
-        raise ValueError(f"order_by is 'uptime' or 'event_time', not {order_by!r}")
     rows = events
     if lookback is not None:
         rows = events.withColumn("_own", F.lit(True)).unionByName(
@@ -138,13 +143,36 @@ def aggregate_crashes(marked: DataFrame, zero_fill: bool = False) -> DataFrame:
     return counts.fillna(0, list(_FLAGS.values())) if zero_fill else counts
 
 
+STATE_COLUMNS = ("device_component_guid", "event_timestamp_ms", "device_mono_time", "device_session_id",
+                 "bt_device_state", *_CARRIED, "client_firmware_version", "decode_success",
+                 "event_local_date")
+
+
+def last_events(events: DataFrame, order_by: str = "uptime") -> DataFrame:
+    """Every device's last event, with the columns that a crash of its next event is judged by. Devices
+    without a guid are one, as in the look-back; the aggregate combines ahead of the shuffle."""
+    last = F.max_by(F.struct(*STATE_COLUMNS), F.struct(*crash_order(order_by)))
+    return events.groupBy(F.col("device_component_guid").alias("_device")).agg(
+        last.alias("_last")).select("_last.*")
+
+
 def crash_counts(events: DataFrame, window: DateWindow, order_by: str = "uptime",
-                 zero_fill: bool = False) -> DataFrame:
-    """``detect_crashes`` and ``aggregate_crashes`` over the valid events of ``window``."""
+                 zero_fill: bool = False, carried: DataFrame | None = None) -> DataFrame:
+    """``detect_crashes`` and ``aggregate_crashes`` over the valid events of ``window``.
+
+    ``carried`` has the ``last_events`` before the window, so that its first events have predecessors;
+    the counts then are those of a run over all events.
+    """
     rows = valid_events(events, window)
+    if carried is None:
+        if order_by == "uptime":
+            return _crash_counts_by_day(rows, zero_fill)
+        return aggregate_crashes(detect_crashes(rows, order_by), zero_fill)
+    rows, carried = rows.select(*STATE_COLUMNS), carried.select(*STATE_COLUMNS)
     if order_by == "uptime":
-        return _crash_counts_by_day(rows, zero_fill)
-    return aggregate_crashes(detect_crashes(rows, order_by), zero_fill)
+        counts = _crash_counts_by_day(rows.unionByName(carried), zero_fill)
+        return counts.where(window.holds("event_local_date"))
+    return aggregate_crashes(detect_crashes(rows, order_by, lookback=carried), zero_fill)
 
 
 def _crash_counts_by_day(rows: DataFrame, zero_fill: bool) -> DataFrame:

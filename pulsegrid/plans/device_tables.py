@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,8 @@ from pulsegrid.functions.values import SUBJECT_TABLES
 from pulsegrid.operators import device_events, device_marts, device_reports
 from pulsegrid.operators.date_windows import DateWindow, as_date
 from pulsegrid.plans import schemas
-from pulsegrid.sources import exports, tables
+from pulsegrid.sources import exports, publish, scratch, tables
+from pulsegrid.sources.publish import BatchLedger
 from pulsegrid.sources.tables import WriteReport
 
 
@@ -32,26 +34,58 @@ class DeviceTables:
         for spec in self.specs.values():
             tables.create_table(self.spark, spec)
 
-    def ingest(self, records: DataFrame, registry: DataFrame, batch: str) -> dict[str, WriteReport]:
+    def ingest(self, records: DataFrame, registry: DataFrame, batch: str,
+               written: Callable[[str], None] = lambda table: None) -> dict[str, WriteReport]:
         """Decode raw records and append them to the event, invalid and subject tables.
 
         The decoded batch is written once and read back for each target, so payloads are decoded
         once and a lost executor does not send them through Python again. The event table keeps
-        undecodable rows too, as the invalid table does.
+        undecodable rows too, as the invalid table does. Rows carry ``batch`` as their
+        ``ingest_batch``. ``written`` is told each target once its rows are in.
         """
         self.create()
         rows = device_events.enrich(device_events.decode_payload(
-            device_events.flatten_raw(records), registry))
-        name = f"{self.database}.device_batch_{batch}"
+            device_events.flatten_raw(records), registry)).withColumn("ingest_batch", F.lit(batch))
+        name = f"{self.database}.device_batch_{re.sub('[^0-9A-Za-z]', '_', batch)}"
         with tables.staged(rows, name, ("decode_success", "event_name")) as decoded:
             valid, invalid = tables.split_valid_invalid(decoded)
-            reports = {
-                "events": tables.append_table(decoded, self.specs["events"]),
-                "invalid": tables.append_table(invalid, self.specs["invalid"]),
-            }
-            subjects = {kind: self.specs[kind] for kind in SUBJECT_TABLES}
-            routed = tables.route_by_type(valid, subjects)
-            return {**reports, **{k: routed[s.name] for k, s in subjects.items()}}
+            reports = {}
+            for target, part in (("events", decoded), ("invalid", invalid)):
+                reports[target] = tables.append_table(part, self.specs[target])
+                written(target)
+            for kind in SUBJECT_TABLES:
+                routed = tables.route_by_type(valid, {kind: self.specs[kind]})
+                reports[kind] = routed[self.specs[kind].name]
+                written(kind)
+            return reports
+
+    INGEST_TARGETS = ("events", "invalid", *SUBJECT_TABLES)
+
+    def ledger(self) -> BatchLedger:
+        """The ledger of batches, beside the tables."""
+        return BatchLedger(self.spark, f"{publish.location(self.spark, self.specs['events'].name)}_batches")
+
+    def ingest_once(self, records: DataFrame, registry: DataFrame, query: str, batch: int,
+                    written: Callable[[str], None] = lambda table: None) -> dict[str, WriteReport]:
+        """``ingest`` of a numbered batch whose rows are in all six tables exactly once, however often
+        it is begun.
+
+        The ledger tells a batch that is done, which is left alone, from one that was started: of that
+        any target may hold rows, so its rows are deleted first, which rewrites only the files that
+        hold some. Readers between a failure and the next run can see a batch in part.
+        """
+        self.create()
+        ledger, key = self.ledger(), f"{query}/{batch}"
+        state = ledger.state(query, batch)
+        if state == "done":
+            return {}
+        if state == "started":
+            for target in self.INGEST_TARGETS:
+                tables.delete_rows(self.spark, self.specs[target], F.col("ingest_batch") == key)
+        ledger.start(query, batch)
+        reports = self.ingest(records, registry, key, written)
+        ledger.done(query, batch)
+        return reports
 
     def session_counts(self, kind: str, window: DateWindow) -> WriteReport:
         """Write the session counts of a subject table into its own rows."""
@@ -67,9 +101,35 @@ class DeviceTables:
 
     def crash_counts(self, releases: DataFrame, window: DateWindow, order_by: str = "uptime"
                      ) -> WriteReport:
-        counts = device_marts.crash_counts(self.table("events"), window, order_by)
-        return tables.replace_window(
+        """Replace the window's crash counts; they equal those of one run over all dates.
+
+        The newest state before the window, with the events between the two, gives every device's
+        last event before it; without a state the events before the window do. A window that lies
+        before a stored state is run up to that state's date, since its events can be predecessors
+        of later ones; states inside it are replaced by one at its end.
+        """
+        spec, events = self.specs["crash_state"], self.table("events")
+        tables.create_table(self.spark, spec)
+        known = sorted(d for d, order in tables.partitions(self.spark, spec) if order == order_by)
+        before = [d for d in known if d < window.lo]
+        window = DateWindow(window.lo, max([window.hi, *known]))
+        between = DateWindow(before[-1] + dt.timedelta(days=1) if before else dt.date(1000, 1, 1),
+                             window.lo - dt.timedelta(days=1))
+        carried = device_marts.valid_events(events, between).select(*device_marts.STATE_COLUMNS)
+        if before:
+            state = self.table("crash_state").where(
+                (F.col("state_date") == F.lit(before[-1])) & (F.col("order_by") == order_by))
+            carried = carried.unionByName(state.select(*device_marts.STATE_COLUMNS))
+        carried = scratch.written(device_marts.last_events(carried, order_by), "carried")
+        counts = device_marts.crash_counts(events, window, order_by, carried=carried)
+        report = tables.replace_window(
             device_marts.with_firmware_release(counts, releases), self.specs["crash_counts"], window)
+        own = device_marts.valid_events(events, window).select(*device_marts.STATE_COLUMNS)
+        last = device_marts.last_events(own.unionByName(carried), order_by)
+        tables.replace_window(
+            last.withColumns({"state_date": F.lit(window.hi), "order_by": F.lit(order_by)}), spec,
+            window, {"order_by": order_by})
+        return report
 
     def reports(self, day: str | dt.date) -> dict[str, DataFrame]:
         on = F.col("event_local_date") == F.lit(as_date(day))

@@ -30,7 +30,7 @@ _DEVICE_EVENT = (
     "device_mono_time bigint, device_schema_name_raw string, product_sku string, "
     "product_model_name string, product_hw_revision string, payload_json string, "
     "decode_success boolean, event_local_timestamp timestamp, client_version_core string, "
-    "device_schema_name string, bt_device_state string, event_local_date date")
+    "device_schema_name string, bt_device_state string, ingest_batch string, event_local_date date")
 
 
 def _spec(database: str, name: str, columns: str, **layout) -> TableSpec:
@@ -145,4 +145,13 @@ def device(db: str) -> dict[str, TableSpec]:
             "product_model_name string, client_version_core string, "
             "firmware_version_format string, release_channel string, release_date date, "
             "event_local_date date", **layout),
+        "crash_state": _spec(
+            db, "dws_device_last_event",
+            "device_component_guid string, event_timestamp_ms bigint, device_mono_time bigint, "
+            "device_session_id string, bt_device_state string, client_variant string, "
+            "client_firmware_version string, client_version_core string, product_sku string, "
+            "product_model_name string, decode_success boolean, event_local_date date, "
+            "state_date date, order_by string",
+            partition_by=("state_date", "order_by"), sort_by=("device_component_guid",),
+            comment="The last event of every device up to a date, which the next window looks back to"),
     }

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,3 +23,16 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def kept(frame: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``written`` for the length of a block; the folder goes with it."""
+    spark = frame.sparkSession
+    path = new_folder(spark, name)
+    frame.write.parquet(path)
+    try:
+        yield spark.read.schema(frame.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -3,7 +3,8 @@
 Parquet tables know neither DELETE nor MERGE. A date window is replaced by a dynamic partition
 overwrite followed by dropping the window's partitions that got no rows. Old files stay until the
 write commits, so a lost executor or a failed job leaves the old rows in place, and a second run
-gives the same table.
+gives the same table. Merges and deletes rewrite only the files that hold rows they change
+(``publish``).
 """
 
 from __future__ import annotations
@@ -12,12 +13,14 @@ import datetime as dt
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.operators.date_windows import DateWindow, as_date
+from pulsegrid.sources import publish, scratch
 
 
 @dataclass(frozen=True)
@@ -40,9 +43,12 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class WriteReport:
+    """Rows written, partitions written and dropped, and the files that were rewritten one by one."""
+
     rows: int
     partitions: list[tuple]
     dropped: list[tuple]
+    files: list[str] = field(default_factory=list)
 
 
 def spec_of(frame: DataFrame, name: str, **layout) -> TableSpec:
@@ -128,22 +134,28 @@ def _insert(frame: DataFrame, spec: TableSpec, overwrite: bool) -> tuple[int, li
     partition is large and merges where it is small; a date with a third of the rows is written
     by many tasks.
     """
-    parts = list(spec.partition_by)
-    if parts:
-        frame = frame.hint("rebalance", *[F.col(p) for p in parts])
-    if parts or spec.sort_by:
-        frame = frame.sortWithinPartitions(*parts, *spec.sort_by)
     seen = Observation()
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    if parts:
-        metrics.append(F.collect_set(F.struct(*parts)).alias("partitions"))
-    frame = frame.observe(seen, *metrics)
+    frame = _laid_out(frame, spec).observe(seen, *[c.alias(n) for n, c in _metrics(spec).items()])
     with _dynamic_overwrite(frame.sparkSession):
         frame.write.insertInto(spec.name, overwrite=overwrite)
     written = seen.get
     return int(written["rows"]), [tuple(p) for p in written.get("partitions", [])]
 
 
+def _laid_out(frame: DataFrame, spec: TableSpec) -> DataFrame:
+    parts = list(spec.partition_by)
+    if parts:
+        frame = frame.hint("rebalance", *[F.col(p) for p in parts])
+    return frame.sortWithinPartitions(*parts, *spec.sort_by) if parts or spec.sort_by else frame
+
+
+def _metrics(spec: TableSpec) -> dict[str, Column]:
+    metrics = {"rows": F.count(F.lit(1))}
+    if spec.partition_by:
+        metrics["partitions"] = F.collect_set(F.struct(*spec.partition_by))
+    return metrics
+
+
 def append_table(frame: DataFrame, spec: TableSpec) -> WriteReport:
     create_table(frame.sparkSession, spec)
     rows, parts = _insert(conform(frame, spec), spec, overwrite=False)
@@ -201,21 +213,49 @@ def merge_update(source: DataFrame, spec: TableSpec, keys: Sequence[str], set_co
     """Set columns of matching rows from ``source`` (one row per key) in the window's partitions.
 
     Null keys match nothing. A key that ``source`` has twice fails the job before anything is
-    committed. Only the window's partitions are read and rewritten.
+    committed. Only files with a row that gets another value are rewritten; all others keep their
+    name and time, so a second run touches none.
     """
     spark = source.sparkSession
-    target = spark.table(spec.name).where(window.holds(spec.partition_by[0]))
+    publish.recover(spark, spec.name)
     refuse = F.raise_error(F.lit(f"several new values for a key of {spec.name}")).cast("boolean")
-    updates = source.dropna(subset=list(keys)).groupBy(*keys).agg(
+    updates = scratch.written(source.dropna(subset=list(keys)).groupBy(*keys).agg(
         *[F.first(c).alias(f"_new_{c}") for c in set_columns],
-        F.when(F.count(F.lit(1)) > 1, refuse).otherwise(True).alias("_hit"))
-    joined = target.join(updates, list(keys), "left")
+        F.when(F.count(F.lit(1)) > 1, refuse).otherwise(True).alias("_hit")), "updates")
+    target = spark.table(spec.name).where(window.holds(spec.partition_by[0]))
+    kinds = {c: spec.schema[c].dataType for c in set_columns}
+    differs = reduce(lambda a, b: a | b, [
+        ~F.col(c).eqNullSafe(F.col(f"_new_{c}").cast(kinds[c])) for c in set_columns])
+    files = publish.touched_files(
+        target.withColumn("_file", F.col(publish.FILE)).join(updates, list(keys)).where(differs), "_file")
+    joined = _rows_of(spark, spec, files).join(updates, list(keys), "left")
     merged = joined.select(*[
         F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
         if c in set_columns else F.col(c)
         for c in target.columns])
-    rows, parts = _insert(conform(merged, spec), spec, overwrite=True)
-    return WriteReport(rows, parts, [])
+    return _rewrite(conform(merged, spec), spec, files)
+
+
+def delete_rows(spark: SparkSession, spec: TableSpec, condition: Column) -> WriteReport:
+    """Delete the rows that meet ``condition``; only the files that hold one are rewritten."""
+    publish.recover(spark, spec.name)
+    gone = F.coalesce(condition, F.lit(False))
+    files = publish.touched_files(spark.table(spec.name).where(gone))
+    return _rewrite(conform(_rows_of(spark, spec, files).where(~gone), spec), spec, files)
+
+
+def _rows_of(spark: SparkSession, spec: TableSpec, files: Sequence[str]) -> DataFrame:
+    """All rows of some files of a table; a filter on the path keeps the scan from all others."""
+    return spark.table(spec.name).where(F.col(publish.FILE).isin(list(files)))
+
+
+def _rewrite(frame: DataFrame, spec: TableSpec, files: Sequence[str]) -> WriteReport:
+    """Put the rows of ``frame`` in place of some files of a table."""
+    if not files:
+        return WriteReport(0, [], [])
+    folder, seen = publish.stage(_laid_out(frame, spec), spec.name, spec.partition_by, _metrics(spec))
+    publish.publish(frame.sparkSession, spec.name, folder, files)
+    return WriteReport(int(seen["rows"]), [tuple(p) for p in seen.get("partitions", [])], [], list(files))
 
 
 def replace_keys(frame: DataFrame, spec: TableSpec, keys: Sequence[str], affected: DataFrame

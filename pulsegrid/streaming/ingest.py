@@ -19,6 +19,7 @@ from pulsegrid.operators import contracts, flatten
 from pulsegrid.operators.contracts import Contract
 from pulsegrid.operators.device_events import RAW_SCHEMA
 from pulsegrid.plans.device_tables import DeviceTables
+from pulsegrid.sources import scratch
 from pulsegrid.sources.readers import stream_new_files
 
 
@@ -32,26 +33,24 @@ def batch_writer(root: str, contract: Contract, registry: DataFrame | None = Non
     """Writer of one batch of text lines to ``root/records`` and ``root/quarantine``.
 
     ``query`` names the query whose batches are written; batches of different queries lie apart. The
-    judged batch is kept while both outputs are written; quarantine rows keep the raw text.
+    judged batch is written to the shared folder once and read back for both outputs, so an executor
+    that is lost takes none of it along; quarantine rows keep the raw text.
     """
     def write(lines: DataFrame, batch_id: int) -> None:
         judged = contracts.validate_records(lines, contract).withColumns(
             {"query_id": F.lit(query()), "batch_id": F.lit(batch_id).cast("long")})
-        judged.persist()
-        try:
-            good = contracts.valid_records(judged)
+        with scratch.kept(judged, "judged") as rows:
+            good = contracts.valid_records(rows)
             flat = (flatten.flatten_app(good, keep=("query_id", "batch_id")) if contract.stream == "app"
                     else flatten.flatten_device(good, registry, keep=("query_id", "batch_id")))
             flat = flat.withColumn("dt", F.date_format("event_timestamp", "yyyy-MM-dd"))
-            bad = contracts.failures(judged, keep=("query_id", "batch_id")).withColumn(
+            bad = contracts.failures(rows, keep=("query_id", "batch_id")).withColumn(
                 "stream_type", F.lit(contract.stream))
             dynamic = {"partitionOverwriteMode": "dynamic"}
             (flat.write.mode("overwrite").options(**dynamic).partitionBy("query_id", "batch_id", "dt")
              .parquet(f"{root}/records"))
             (bad.write.mode("overwrite").options(**dynamic).partitionBy("stream_type", "query_id", "batch_id")
              .json(f"{root}/quarantine"))
-        finally:
-            judged.unpersist()
 
     return write
 
@@ -77,16 +76,17 @@ def ingest_stream(spark: SparkSession, path: str, root: str, checkpoint: str, co
 
 
 def device_stream(spark: SparkSession, path: str, tables: DeviceTables, registry: DataFrame,
-                  checkpoint: str) -> StreamingQuery:
+                  checkpoint: str, written: Callable[[str], None] = lambda table: None
+                  ) -> StreamingQuery:
     """Decode raw device files not seen before into the event, invalid and subject tables, and stop.
 
-    Event tables are append-only as in the batch job: a batch that fails after its first append is
-    appended again by the next run, so readers that need exact counts dedupe on the event.
+    A batch that failed on its way through the tables is run again by the next query with this
+    checkpoint, and then replaces its own rows in all of them (``DeviceTables.ingest_once``).
     """
     records = stream_new_files(spark, path, RAW_SCHEMA)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tables.ingest(batch, registry, f"stream_{batch_id}")
+        tables.ingest_once(batch, registry, query_id(spark, checkpoint), batch_id, written)
 
     return (records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
