@@ -8,10 +8,35 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.values import UNKNOWN
 
 
+_PERSON = ("client_id", "client_variant", "product_name")
+
+
+def _seen(user_daily: DataFrame, pairings: DataFrame, date: str, name_before_grouping: bool) -> DataFrame:
+    """``report_date`` and ``_PERSON``, once each; users without a pairing have no product name, or
+    that of the unknown product."""
+    clients = user_daily.select(
+        F.col(date).alias("report_date"), "client_variant", "client_id").distinct()
+    name = F.coalesce("product_name", F.lit(UNKNOWN)) if name_before_grouping else F.col("product_name")
+    names = pairings.select("client_id", "client_variant", name.alias("product_name")).distinct()
+    return clients.join(names, ["client_id", "client_variant"], "left").withColumn(
+        "product_name", name).select("report_date", *_PERSON)
+
+
+def first_seen_of(user_daily: DataFrame, pairings: DataFrame, before: DataFrame,
+                  date: str = "event_local_date", name_before_grouping: bool = False) -> DataFrame:
+    """``_PERSON`` and ``first_date`` of those that ``before``, the state of earlier dates, lacks."""
+    seen = _seen(user_daily, pairings, date, name_before_grouping).select(
+        *_PERSON, F.col("report_date").alias("first_date"))
+    both = seen.withColumn("_old", F.lit(False)).unionByName(
+        before.select(*_PERSON, "first_date").withColumn("_old", F.lit(True)))
+    return both.groupBy(*_PERSON).agg(
+        F.min("first_date").alias("first_date"), F.max("_old").alias("_old")).where("NOT _old").drop("_old")
+
+
 def daily_active_users(user_daily: DataFrame, product_daily: DataFrame, pairings: DataFrame,
                        products: DataFrame, date: str = "event_local_date",
-                       name_before_grouping: bool = False,
-                       carry_forward: bool = False) -> DataFrame:
+                       name_before_grouping: bool = False, carry_forward: bool = False,
+                       first_seen: DataFrame | None = None) -> DataFrame:
     """One row per report date, product name and variant.
 
     ``date`` is the report date in both fact tables: ``partition_date`` for the first table
@@ -23,18 +48,22 @@ def daily_active_users(user_daily: DataFrame, product_daily: DataFrame, pairings
     variant have no new users and no total, since nulls never join. ``accumulated_users`` is 0 on
     dates without new users unless ``carry_forward``, which repeats the last total instead.
 
+    ``first_seen`` is the state of earlier dates: who was first seen when with which product (the
+    columns of ``first_seen_of``). With it the facts need to cover the report dates only, and those
+    dates' rows equal the ones of a run over all facts.
+
     Everything after the first distinct works on one row per client, product and date; the grid
     of dates, products and variants that follows is small.
     """
-    clients = user_daily.select(
-        F.col(date).alias("report_date"), "client_variant", "client_id").distinct()
-    name = F.coalesce("product_name", F.lit(UNKNOWN)) if name_before_grouping else F.col("product_name")
-    names = pairings.select("client_id", "client_variant", name.alias("product_name")).distinct()
-    seen = clients.join(names, ["client_id", "client_variant"], "left").withColumn("product_name", name)
+    seen = _seen(user_daily, pairings, date, name_before_grouping).withColumn("_own", F.lit(True))
+    if first_seen is not None:
+        seen = seen.unionByName(first_seen.select(
+            F.col("first_date").alias("report_date"), *_PERSON).withColumn("_own", F.lit(False)))
     history = Window.partitionBy("client_id", "client_variant", "product_name")
     seen = seen.withColumn("_is_new", F.col("report_date") == F.min("report_date").over(history))
     grid = seen.groupBy("report_date", "product_name", "client_variant").agg(
-        F.count("client_id").alias("dau_count"),
+        F.count(F.when(F.col("_own"), F.col("client_id"))).alias("dau_count"),
+        F.max("_own").alias("_own"),
         F.count_if(F.col("_is_new") & F.col("client_id").isNotNull()).alias("_new"),
     )
     grid = grid.withColumn("product_name", F.coalesce("product_name", F.lit(UNKNOWN)))
@@ -46,6 +75,7 @@ def daily_active_users(user_daily: DataFrame, product_daily: DataFrame, pairings
     grid = (
         grid.withColumn("_total", F.sum("_new").over(running))
         .withColumn("_new", F.sum("_new").over(Window.partitionBy(*slice_)))
+        .where("_own").drop("_own")
     )
     shows_total = has_variant if carry_forward else has_variant & (F.col("_new") > 0)
 

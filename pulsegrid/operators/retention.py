@@ -44,6 +44,12 @@ def retention_curve(user_daily: DataFrame, window: DateWindow) -> DataFrame:
         .groupBy(*cohort, "partition_date")
         .agg(F.count(F.lit(1)).alias("retained_users"), F.max("_affected").alias("_affected"))
     )
+    return curve_of_cells(grid)
+
+
+def curve_of_cells(grid: DataFrame) -> DataFrame:
+    """Curves from counts per cohort and date; cohorts without an ``_affected`` cell are left out."""
+    cohort = ("cohort_date", "client_name", "product_id")
     whole = Window.partitionBy(*cohort)
     first_day = F.col("partition_date") == F.col("cohort_date")
     grid = (

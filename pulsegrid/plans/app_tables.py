@@ -11,41 +11,49 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.values import EVENT_REGISTRY, FIRST_PARTITION_DATE, LEGACY_TABLE, RETENTION_DAYS
-from pulsegrid.operators import daily_activity, landing, pairings, retention
+from pulsegrid.operators import activity, audience, daily_activity, landing, pairings, retention
 from pulsegrid.operators.date_windows import DateWindow, backfill_window, event_window
 from pulsegrid.plans import schemas
-from pulsegrid.sources import tables
+from pulsegrid.sources import scratch, tables
 from pulsegrid.sources.tables import WriteReport
 
 
 class AppTablesV1:
     """First generation: one landing table, facts by ingest date."""
 
-    def __init__(self, spark: SparkSession, database: str):
+    def __init__(self, spark: SparkSession, database: str, floor: str | dt.date = FIRST_PARTITION_DATE):
         self.spark = spark
         self.specs = schemas.app_v1(database)
+        self.floor = floor
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self.specs[name].name)
 
+    def _window(self, ds, days: int) -> DateWindow:
+        return backfill_window(ds, days, self.floor)
+
     def load(self, flat: DataFrame, ds: str | dt.date, days: int, received_at: Column) -> WriteReport:
         """Refill staging from the landing table and replace the window's deduplicated events.
 
-        Both steps use one window; deleting a window other than the one loaded loses rows.
+        Both steps use one window; deleting a window other than the one loaded loses rows. Rows that
+        lack a column the event table needs go to ``events_rejected`` instead, with its name.
         """
-        window = backfill_window(ds, days)
+        window = self._window(ds, days)
         tables.full_refresh(landing.load_app_events(flat, window, received_at), self.specs["staging"])
-        return tables.replace_window(
-            landing.first_copy(self.table("staging")), self.specs["events"], window)
+        spec = self.specs["events"]
+        with scratch.kept(landing.first_copy(self.table("staging")), "first-copies") as rows:
+            good, bad = tables.split_required(rows, spec)
+            tables.replace_window(bad, self.specs["events_rejected"], window)
+            return tables.replace_window(good, spec, window)
 
     def user_daily(self, ds: str | dt.date, days: int) -> WriteReport:
-        window = backfill_window(ds, days)
+        window = self._window(ds, days)
         return tables.replace_window(
             daily_activity.user_daily_by_ingest_date(self.table("events"), window),
             self.specs["user_daily"], window)
 
     def product_daily(self, ds: str | dt.date, days: int) -> WriteReport:
-        window = backfill_window(ds, days)
+        window = self._window(ds, days)
         return tables.replace_window(
             daily_activity.product_daily_with_catalogue_names(self.table("events"), window),
             self.specs["product_daily"], window)
@@ -54,25 +62,49 @@ class AppTablesV1:
         return tables.full_refresh(
             pairings.latest_pairings(self.table("user_daily"), products), self.specs["pairings"])
 
+    def activity(self, ds: str | dt.date, days: int) -> WriteReport:
+        """Replace the window's days in the activity bits; all days up to it if there are none yet."""
+        spec, window = self.specs["activity"], self._window(ds, days)
+        tables.create_table(self.spark, spec)
+        if not tables.partitions(self.spark, spec):
+            first = self.table("user_daily").agg(F.min("partition_date")).first()[0]
+            window = DateWindow(min(first or window.lo, window.lo), window.hi)
+        reached = activity.months(window)
+        bits = activity.replace_days(self.table("activity").where(reached.holds("month")),
+                                     activity.day_bits(self.table("user_daily"), window), window)
+        return tables.replace_window(bits, spec, reached)
+
     def retention(self, ds: str | dt.date, days: int) -> WriteReport:
-        """Replace the curves of the cohorts that had activity in the window.
+        """Bring the activity bits up to date, then replace the curves the window can have changed.
 
-        Late facts can move a client to an earlier cohort. Stored cohorts that a client active in
-        the window may have left are computed again too, and go if nobody is left in them.
+        These are the cohorts with activity in the window, with a stored figure in it, and, as late
+        facts can move a client to an earlier cohort, stored cohorts that a client active in the
+        window may have left; cohorts nobody is left in go. Facts are read for the window alone: all
+        other days come from the bits.
         """
-        spec, window = self.specs["retention"], backfill_window(ds, days)
+        spec, window = self.specs["retention"], self._window(ds, days)
         keys = ("cohort_date", "client_name", "product_id")
         tables.create_table(self.spark, spec)
-        users, whole = self.table("user_daily"), DateWindow(dt.date(1900, 1, 1), window.hi)
-        stored = self.spark.table(spec.name).select(*keys).distinct()
-        left = stored.join(retention.visited_cohorts(users, window), list(keys), "left_semi").unionByName(
-            stored.where(window.holds("cohort_date")))
-        active = retention.retention_curve(users, window).select(*keys)
-        with tables.staged(active.unionByName(left).distinct(), f"{spec.name}_affected") as affected:
-            fresh = retention.retention_curve(users, whole).join(affected, list(keys), "left_semi")
+        self.activity(ds, days)
+        bits = self.table("activity").where(F.col("month") <= F.lit(window.hi))
+        stored = self.spark.table(spec.name).select(*keys, "partition_date")
+        touched = stored.where(window.holds("cohort_date") | window.holds("partition_date")).select(*keys)
+        left = stored.select(*keys).distinct().join(
+            activity.visited_cohorts(bits, window), list(keys), "left_semi")
+        curve = activity.retention_curve(bits, window)
+        with tables.staged(curve.select(*keys).unionByName(left).unionByName(touched).distinct(),
+                           f"{spec.name}_affected") as affected:
+            fresh = activity.retention_curve(bits, DateWindow(dt.date(1900, 1, 1), window.hi)).join(
+                affected, list(keys), "left_semi")
             with tables.staged(fresh, f"{spec.name}_fresh", ("cohort_date",)) as new:
                 return tables.replace_keys(new, spec, keys, affected)
 
+    def daily_active(self, products: DataFrame, ds: str | dt.date, days: int) -> WriteReport:
+        """Replace the window's daily active users; see ``_daily_active``."""
+        return _daily_active(
+            self.spark, self.specs, self.table("user_daily"), self.table("product_daily"),
+            self.table("pairings"), products, self._window(ds, days), "partition_date", True)
+
     def run(self, flat: DataFrame, products: DataFrame, ds: str | dt.date, days: int,
             received_at: Column) -> dict[str, WriteReport]:
         return {
@@ -160,6 +192,17 @@ class AppTablesV2:
         replaced = window.earlier(max(RETENTION_DAYS)) if settled else window
         return tables.replace_window(rows, self.specs["retention"], replaced)
 
+    def daily_active(self, products: DataFrame, ds: str | dt.date, days: int = 1) -> WriteReport:
+        """Replace the daily active users of the window's local dates; see ``_daily_active``.
+
+        A local date's facts arrive on it or on the day before."""
+        window = self._window(ds, days)
+        arrived = window.earlier(1).holds("partition_date")
+        return _daily_active(
+            self.spark, self.specs, self.table("user_daily").where(arrived),
+            self.table("product_daily").where(arrived), self.current_pairings(), products, window,
+            "event_local_date", False)
+
     def backfill(self, read: Callable[[str], DataFrame], products: DataFrame, ds: str | dt.date,
                  days: int = 1, legacy: DataFrame | None = None, event: str | None = None,
                  per_event: Mapping[str, int] | None = None, settled: bool = True
@@ -174,6 +217,32 @@ class AppTablesV2:
         }
 
 
+def _daily_active(spark: SparkSession, specs: Mapping[str, tables.TableSpec], users: DataFrame,
+                  devices: DataFrame, pairs: DataFrame, products: DataFrame, window: DateWindow,
+                  date: str, name_before_grouping: bool) -> WriteReport:
+    """Replace the window's rows of the daily-active table, from its own facts and the state of who was
+    seen before.
+
+    The state has a row per client and product, under its first date; a window replaces the state of
+    its own dates and reads that of the dates before, so runs are repeatable. A window that ends
+    before the state does is refused: it can make first dates earlier and totals larger on all later
+    dates, so these have to be in the window too.
+    """
+    state = specs["first_seen"]
+    tables.create_table(spark, state)
+    stored = [p[0] for p in tables.partitions(spark, state) if p[0]]
+    if max(stored, default=window.hi) > window.hi:
+        raise ValueError(f"{state.name} has later dates than {window.hi}: run up to {max(stored)}")
+    before = spark.table(state.name).where(F.col("first_date") < F.lit(window.lo))
+    own, own_devices = users.where(window.holds(date)), devices.where(window.holds(date))
+    rows = audience.daily_active_users(
+        own, own_devices, pairs, products, date, name_before_grouping, first_seen=before)
+    report = tables.replace_window(rows, specs["daily_active"], window)
+    tables.replace_window(
+        audience.first_seen_of(own, pairs, before, date, name_before_grouping), state, window)
+    return report
+
+
 def export_user_active(retention_table: DataFrame, ds: str | dt.date) -> DataFrame:
     """The day's rows of the retention table, as exported to the reporting database."""
     return _export(retention_table, ds, (

@@ -43,6 +43,10 @@ def app_v1(db: str) -> dict[str, TableSpec]:
         "events": _spec(db, "app_events", _EVENT_V1, partition_by=("partition_date",),
                         required=_EVENT_V1_REQUIRED, sort_by=("event_name", "client_id"),
                         comment="One row per event_guid of a load"),
+        "events_rejected": _spec(
+            db, "app_events_rejected", _EVENT_V1.replace(
+                ", partition_date date", ", missing string, partition_date date"),
+            partition_by=("partition_date",), comment="Rows that lack a column the events need"),
         "user_daily": _spec(
             db, "dwd_user_active_daily",
             "client_id string, client_name string, client_variant string, client_version string, "
@@ -75,6 +79,29 @@ def app_v1(db: str) -> dict[str, TableSpec]:
             partition_by=("cohort_date",), sort_by=("partition_date", "client_name"),
             required=("cohort_date", "partition_date", "days_since_cohort", "client_name"),
             defaults={"cohort_size": 0, "retained_users": 0}, comment="Retention curves"),
+        "activity": _spec(
+            db, "dws_user_activity_bits",
+            "client_id string, client_name string, product_id string, days bigint, month date",
+            partition_by=("month",), sort_by=("client_id",),
+            comment="Active days of a month as bits, per client, app and product"),
+        **_audience(db, ""),
+    }
+
+
+def _audience(db: str, suffix: str) -> dict[str, TableSpec]:
+    return {
+        "daily_active": _spec(
+            db, f"dws_daily_active_users{suffix}",
+            "product_name string, product_category string, lifecycle_status string, "
+            "client_variant string, dau_count bigint, new_users bigint, new_products_active bigint, "
+            "accumulated_users bigint, report_date date",
+            partition_by=("report_date",), sort_by=("product_name",),
+            comment="Daily active, new and accumulated users"),
+        "first_seen": _spec(
+            db, f"dws_user_first_seen{suffix}",
+            "client_id string, client_variant string, product_name string, first_date date",
+            partition_by=("first_date",), sort_by=("client_id",),
+            comment="First date of every client with a product"),
     }
 
 
@@ -114,6 +141,7 @@ def app_v2(db: str) -> dict[str, TableSpec]:
             "product_name string, client_variant string, d0_users int, d1_users int, d2_users int, "
             "d3_users int, d7_users int, d1_retention_rate double, d7_retention_rate double, "
             "partition_date date, cohort_date date", partition_by=("cohort_date",)),
+        **_audience(db, "_v2"),
     }
 
 

@@ -399,6 +399,14 @@ def split_valid_invalid(frame: DataFrame, flag: str = "decode_success"
     return frame.where(ok), frame.where(~ok)
 
 
+def split_required(frame: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(rows that ``spec`` takes, the others with ``missing``, the names of the columns they lack)."""
+    lacking = F.concat_ws(",", *[
+        F.when(F.col(c).isNull(), F.lit(c)) for c in spec.required if c not in spec.defaults])
+    marked = frame.withColumn("missing", lacking)
+    return marked.where("missing = ''").drop("missing"), marked.where("missing != ''")
+
+
 def route_by_type(frame: DataFrame, routes: Mapping[str, TableSpec], column: str = "event_name"
                   ) -> dict[str, WriteReport]:
     """Append the rows of every routed type to its table; other types are left out."""

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.functions.values import CLIENT_NAMES, SUBJECT_TABLES
+from pulsegrid.functions.values import CLIENT_NAMES, EVENT_REGISTRY, SUBJECT_TABLES
 from pulsegrid.operators import (
     audience,
     contracts,
@@ -23,16 +24,12 @@ from pulsegrid.operators import (
     quality,
     retention,
 )
-from pulsegrid.operators.date_windows import DateWindow, as_date, backfill_window, event_window
+from pulsegrid.operators.date_windows import DateWindow, event_window
 from pulsegrid.session import use_defaults
 from workloads import records, table_jobs, views
-from workloads.views import ALL_DAYS, DS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-RECENT = backfill_window(DS, 20)
-LAST_DAYS = backfill_window(DS, 3)
-
 
 def neutral(frame: DataFrame) -> DataFrame:
     """Result types that any client reads alike: UTC timestamps without zone, doubles, bigints."""
@@ -49,7 +46,7 @@ def neutral(frame: DataFrame) -> DataFrame:
 # --- app tables -------------------------------------------------------------------------
 def app_events_load(spark, sf):
     flat = views.flat_events(spark, sf, text_times=True)
-    return landing.load_app_events(flat, ALL_DAYS, F.col("received_at"))
+    return landing.load_app_events(flat, views.all_days(spark, sf), F.col("received_at"))
 
 
 def app_events_first_copy(spark, sf):
@@ -57,28 +54,32 @@ def app_events_first_copy(spark, sf):
 
 
 def app_events_union(spark, sf):
-    """Session starts with a longer window of their own, then the legacy log."""
+    """Every event table with the window of its event type, then the legacy log."""
+    days = views.all_days(spark, sf)
+    span = (days.hi - days.lo).days
     return landing.union_events(
         lambda name: views.event_table(spark, sf, name),
-        lambda name: event_window(name, DS, 20, {"nova_session_start": 29}),
-        "analytics_source", views.legacy_log(spark, sf), RECENT)
+        lambda name: event_window(name, days.hi, 0, {n: span for n in EVENT_REGISTRY}, floor=days.lo),
+        "analytics_source", views.legacy_log(spark, sf), days)
 
 
-def _users_v1(spark, sf, window=ALL_DAYS):
-    return daily_activity.user_daily_by_ingest_date(views.app_ods(spark, sf, window), window)
+def _users_v1(spark, sf):
+    days = views.all_days(spark, sf)
+    return daily_activity.user_daily_by_ingest_date(views.app_ods(spark, sf, days), days)
 
 
-def _users_v2(spark, sf, window=ALL_DAYS):
-    return daily_activity.user_daily_by_local_date(views.app_events(spark, sf), window)
+def _users_v2(spark, sf):
+    return daily_activity.user_daily_by_local_date(
+        views.app_events(spark, sf), views.all_days(spark, sf))
 
 
-def _devices_v1(spark, sf, window=ALL_DAYS):
-    return daily_activity.product_daily_with_catalogue_names(
-        views.app_ods(spark, sf, window), window)
+def _devices_v1(spark, sf):
+    days = views.all_days(spark, sf)
+    return daily_activity.product_daily_with_catalogue_names(views.app_ods(spark, sf, days), days)
 
 
-def _devices_v2(spark, sf, window=ALL_DAYS):
-    return daily_activity.product_daily(views.app_events(spark, sf), window)
+def _devices_v2(spark, sf):
+    return daily_activity.product_daily(views.app_events(spark, sf), views.all_days(spark, sf))
 
 
 def _pairings_v1(spark, sf):
@@ -88,7 +89,7 @@ def _pairings_v1(spark, sf):
 def _pairings_v2(spark, sf):
     """Pairings of all days, as a state table holds them."""
     events = views.app_events(spark, sf).where(
-        daily_activity.device_rows(ALL_DAYS) & F.col("client_variant").isNotNull()
+        daily_activity.device_rows(views.all_days(spark, sf)) & F.col("client_variant").isNotNull()
         & (F.trim("client_id") != ""))
     seen = events.select("client_variant", "client_id", "product_guid").distinct()
     names = views.products(spark, sf).select("product_guid", "product_name")
@@ -97,20 +98,26 @@ def _pairings_v2(spark, sf):
 
 
 def user_product_rolling(spark, sf):
-    """All days: those up to the 28th in one pass, two more rolled one after the other."""
-    events, products = views.app_events(spark, sf), views.products(spark, sf)
-    state = pairings.window_pairings(events, products, DateWindow(ALL_DAYS.lo, as_date("2024-01-28")))
-    for day in ("2024-01-29", DS):
+    """All days: those up to the last but two in one pass, two more rolled one after the other."""
+    events, products, days = views.app_events(spark, sf), views.products(spark, sf), views.all_days(spark, sf)
+    state = pairings.window_pairings(
+        events, products, DateWindow(days.lo, days.hi - dt.timedelta(days=2)))
+    for day in (days.hi - dt.timedelta(days=1), days.hi):
         state = pairings.roll_pairings(pairings.days_pairings(events, products, day), state, day)
     return state
 
 
 def retention_curve(spark, sf):
-    return retention.retention_curve(_users_v1(spark, sf), LAST_DAYS)
+    """Curves of the cohorts with activity in the last four days."""
+    last = views.all_days(spark, sf).hi
+    return retention.retention_curve(
+        _users_v1(spark, sf), DateWindow(last - dt.timedelta(days=3), last))
 
 
 def retention_d0_d7(spark, sf):
-    return retention.retention_by_day(_users_v2(spark, sf), _pairings_v2(spark, sf), RECENT)
+    days = views.all_days(spark, sf)
+    local = DateWindow(days.lo, days.hi + dt.timedelta(days=1))  # local dates may be a day ahead
+    return retention.retention_by_day(_users_v2(spark, sf), _pairings_v2(spark, sf), local, ds=days.hi)
 
 
 def daily_active_users_v1(spark, sf):
@@ -132,49 +139,49 @@ def _valid(spark, sf):
 
 def session_reboot_count(spark, sf):
     return device_marts.session_event_counts(
-        views.device_subject(spark, sf, "reboot_info"), ALL_DAYS, "single_session_reboot_cnt")
+        views.device_subject(spark, sf, "reboot_info"), views.all_local_days(spark, sf), "single_session_reboot_cnt")
 
 
 def session_shutdown_count(spark, sf):
     return device_marts.session_event_counts(
-        views.device_subject(spark, sf, "shutdown_reason"), ALL_DAYS, "single_session_shutdown_cnt")
+        views.device_subject(spark, sf, "shutdown_reason"), views.all_local_days(spark, sf), "single_session_shutdown_cnt")
 
 
 def session_sets_daily(spark, sf):
-    return device_marts.session_sets(_valid(spark, sf), ALL_DAYS)
+    return device_marts.session_sets(_valid(spark, sf), views.all_local_days(spark, sf))
 
 
 def crash_counts_daily(spark, sf):
     return device_marts.with_firmware_release(
-        device_marts.crash_counts(_valid(spark, sf), ALL_DAYS), views.firmware_releases(spark, sf))
+        device_marts.crash_counts(_valid(spark, sf), views.all_local_days(spark, sf)), views.firmware_releases(spark, sf))
 
 
 def crash_counts_by_event_time(spark, sf):
-    return device_marts.crash_counts(_valid(spark, sf), ALL_DAYS, "event_time")
+    return device_marts.crash_counts(_valid(spark, sf), views.all_local_days(spark, sf), "event_time")
 
 
 def crash_records(spark, sf):
-    return device_marts.crash_records(_valid(spark, sf), ALL_DAYS, "event_time").select(
+    return device_marts.crash_records(_valid(spark, sf), views.all_local_days(spark, sf), "event_time").select(
         "event_id", "event_local_date", "device_component_guid", "device_session_id",
         "client_firmware_version", "device_mono_time", "prev_mono_time", "prev_bt_device_state",
         "panic_user_experience_ind", "panic_product_experience_ind")
 
 
 def session_crash_sets(spark, sf):
-    return device_marts.session_crash_sets(_valid(spark, sf), ALL_DAYS, "event_time")
+    return device_marts.session_crash_sets(_valid(spark, sf), views.all_local_days(spark, sf), "event_time")
 
 
 def connectivity_duration(spark, sf):
-    return device_marts.connectivity_duration(_valid(spark, sf), ALL_DAYS, bucket_ms=10)
+    return device_marts.connectivity_duration(_valid(spark, sf), views.all_local_days(spark, sf), bucket_ms=10)
 
 
 def report_crash_rate(spark, sf):
-    return device_reports.crash_rate(device_marts.crash_counts(_valid(spark, sf), ALL_DAYS))
+    return device_reports.crash_rate(device_marts.crash_counts(_valid(spark, sf), views.all_local_days(spark, sf)))
 
 
 def report_crash_count_daily(spark, sf):
     return device_reports.crash_count_daily(
-        device_marts.crash_counts(_valid(spark, sf), ALL_DAYS, "event_time"))
+        device_marts.crash_counts(_valid(spark, sf), views.all_local_days(spark, sf), "event_time"))
 
 
 def report_connectivity_rate_daily(spark, sf):
@@ -182,7 +189,7 @@ def report_connectivity_rate_daily(spark, sf):
 
 
 def report_ota_rate(spark, sf):
-    updates = views.device_subject(spark, sf, "ota_status").where(ALL_DAYS.holds("event_local_date"))
+    updates = views.device_subject(spark, sf, "ota_status").where(views.all_local_days(spark, sf).holds("event_local_date"))
     return device_reports.ota_rate(updates)
 
 
@@ -260,11 +267,11 @@ def dim_date(spark, sf):
 
 
 def dim_device_model(spark, sf):
-    return dimensions.device_models(views.app_ods(spark, sf), DS)
+    return dimensions.device_models(views.app_ods(spark, sf), views.all_days(spark, sf).hi)
 
 
 def dim_product_lifecycle(spark, sf):
-    return dimensions.with_lifecycle(views.products(spark, sf), DS)
+    return dimensions.with_lifecycle(views.products(spark, sf), views.all_days(spark, sf).hi)
 
 
 def dim_product_active(spark, sf):
@@ -276,7 +283,7 @@ def check_non_null(spark, sf):
         _devices_v1(spark, sf), "dwd_product_active_daily", ["product_id", "product_name", "client_variant"]
     ).unionByName(quality.check_export_rows(
         _users_v1(spark, sf).withColumn("business_date", F.col("partition_date")),
-        "dwd_user_active_daily", DS))
+        "dwd_user_active_daily", views.all_days(spark, sf).hi))
 
 
 def check_schema_tests(spark, sf):
@@ -293,8 +300,10 @@ DIMENSIONS_AND_CHECKS: dict[str, Query] = {
     "dim_device_model": dim_device_model,
     "dim_product_lifecycle": dim_product_lifecycle,
     "dim_product_active": dim_product_active,
-    "check_non_zero": lambda s, d: quality.check_non_zero(views.app_ods(s, d), "events", DS),
-    "check_day_ratio": lambda s, d: quality.check_day_ratio(views.app_ods(s, d), "events", DS),
+    "check_non_zero": lambda s, d: quality.check_non_zero(
+        views.app_ods(s, d), "events", views.all_days(s, d).hi),
+    "check_day_ratio": lambda s, d: quality.check_day_ratio(
+        views.app_ods(s, d), "events", views.all_days(s, d).hi),
     "check_report_rows": lambda s, d: quality.check_report_rows(
         _devices_v1(s, d), "dwd_product_active_daily", "2024-02-01"),
     "check_non_null": check_non_null,
@@ -304,14 +313,14 @@ APP: dict[str, Query] = {
     "app_events_load": app_events_load,
     "app_events_first_copy": app_events_first_copy,
     "app_events_union": app_events_union,
-    "user_active_daily_v1": lambda s, d: _users_v1(s, d, RECENT),
-    "user_active_daily_v2": lambda s, d: _users_v2(s, d, RECENT),
-    "product_active_daily_v1": lambda s, d: _devices_v1(s, d, RECENT),
-    "product_active_daily_v2": lambda s, d: _devices_v2(s, d, RECENT),
-    "user_active_daily_v1_all_days": lambda s, d: _users_v1(s, d, views.all_days(s, d)),
-    "user_active_daily_v2_all_days": lambda s, d: _users_v2(s, d, views.all_days(s, d)),
-    "product_active_daily_v1_all_days": lambda s, d: _devices_v1(s, d, views.all_days(s, d)),
-    "product_active_daily_v2_all_days": lambda s, d: _devices_v2(s, d, views.all_days(s, d)),
+    "user_active_daily_v1": _users_v1,
+    "user_active_daily_v2": _users_v2,
+    "product_active_daily_v1": _devices_v1,
+    "product_active_daily_v2": _devices_v2,
+    "user_active_daily_v1_all_days": _users_v1,
+    "user_active_daily_v2_all_days": _users_v2,
+    "product_active_daily_v1_all_days": _devices_v1,
+    "product_active_daily_v2_all_days": _devices_v2,
     "user_product_pairings": _pairings_v1,
     "user_product_rolling": user_product_rolling,
     "retention_curve": retention_curve,

@@ -52,10 +52,10 @@ def dimension_sql() -> dict[str, str]:
             GROUP BY ALL
           )""", select="""
           SELECT *, row_number() OVER (ORDER BY platform, manufacturer, device_model_name)::INTEGER
-            AS device_model_key, last_seen_date >= DATE '2024-01-30' - 90 AS is_active
+            AS device_model_key, last_seen_date >= @last - 90 AS is_active
           FROM named"""),
         "dim_product_lifecycle": with_(O._PRODUCTS, select="""
-          SELECT *, date_diff('month', launch_date, DATE '2024-01-30') AS months_since_launch,
+          SELECT *, date_diff('month', launch_date, @last) AS months_since_launch,
             CASE WHEN is_active THEN 'Active' ELSE 'End of Life' END AS lifecycle_status
           FROM products"""),
         "dim_product_active": with_(O._PRODUCTS, select="SELECT * FROM products WHERE is_active"),
@@ -105,7 +105,7 @@ def table_sql() -> dict[str, str]:
         coalesce(p.product_name, 'Unknown') AS product_name
       FROM active a LEFT JOIN pair2 p
         ON a.client_id = p.client_id AND a.client_variant = p.client_variant
-      WHERE a.event_local_date >= DATE '2024-01-09' AND a.event_local_date <= DATE '2024-01-30'
+      WHERE a.event_local_date >= (@first - 7) AND a.event_local_date <= @last
     ), counted AS (
       SELECT c.cohort_date, c.product_name, c.client_variant, count(DISTINCT c.client_id) AS d0_users,
         count(DISTINCT c.client_id) FILTER (EXISTS (SELECT 1 FROM active x WHERE
@@ -119,22 +119,22 @@ def table_sql() -> dict[str, str]:
       FROM d0 c GROUP BY ALL
     ), due AS (
       SELECT cohort_date, product_name, client_variant, d0_users,
-        CASE WHEN cohort_date + 1 <= DATE '2024-01-30' THEN d1 END AS d1_users,
-        CASE WHEN cohort_date + 2 <= DATE '2024-01-30' THEN d2 END AS d2_users,
-        CASE WHEN cohort_date + 3 <= DATE '2024-01-30' THEN d3 END AS d3_users,
-        CASE WHEN cohort_date + 7 <= DATE '2024-01-30' THEN d7 END AS d7_users
+        CASE WHEN cohort_date + 1 <= @last THEN d1 END AS d1_users,
+        CASE WHEN cohort_date + 2 <= @last THEN d2 END AS d2_users,
+        CASE WHEN cohort_date + 3 <= @last THEN d3 END AS d3_users,
+        CASE WHEN cohort_date + 7 <= @last THEN d7 END AS d7_users
       FROM counted
     )
     SELECT *, round(CAST(d1_users AS DOUBLE) / d0_users, 4) AS d1_retention_rate,
       round(CAST(d7_users AS DOUBLE) / d0_users, 4) AS d7_retention_rate,
-      DATE '2024-01-30' AS partition_date
+      @last AS partition_date
     FROM due"""
-    window16 = O._EVENTS2.replace("FROM flat\n)", """FROM flat WHERE partition_date >= DATE '2024-01-16'
+    window16 = O._EVENTS2.replace("FROM flat\n)", """FROM flat WHERE partition_date >= @first
   UNION ALL
   SELECT 'v4-' || event_id, ts, CAST(ts + INTERVAL 7 HOUR AS DATE), CAST(uid AS VARCHAR), 'nova-ios',
     'prod', '2.9.0', 'b1', 'iOS', NULL, NULL, CAST(ts AS DATE), NULL, NULL,
     coalesce(CASE WHEN k % 3 = 0 THEN NULL ELSE k % 3 = 1 END, FALSE)
-  FROM base WHERE value > 100 AND event_id % 5 <> 0 AND CAST(ts AS DATE) >= DATE '2024-01-16'
+  FROM base WHERE value > 100 AND event_id % 5 <> 0 AND CAST(ts AS DATE) >= @first
 )""")
     ingest = OR._decoded() + " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, event_name, decode_success, count(*) AS n_rows FROM decoded "
@@ -153,24 +153,42 @@ def table_sql() -> dict[str, str]:
       UNION ALL SELECT error_code, count(*) FROM judged WHERE error_code IS NOT NULL GROUP BY 1"""
     return {
         "app_v1_tables": every_cohort,
-        "window_replace": with_(O._EVENTS2, O._user2("DATE '2024-01-10'"), select="""
-          SELECT * FROM user2 WHERE partition_date < DATE '2024-01-27'
-            OR (partition_date = DATE '2024-01-29' AND client_platform = 'iOS')"""),
+        "retention_day_by_day": every_cohort,
+        "daily_active_table_v1": app["daily_active_users_v1"],
+        "daily_active_table_v2": app["daily_active_users_v2"],
+        "device_stream_retry": ingest,
+        "crash_table_by_uptime": app["crash_counts_daily"],
+        "crash_table_by_event_time": app["crash_counts_daily"].replace(O._BY_UPTIME, O._BY_TIME),
+        "app_v1_rejected": with_(O._ODS1, select="""
+          SELECT partition_date, concat_ws(',', CASE WHEN event_guid IS NULL THEN 'event_guid' END,
+            CASE WHEN client_name IS NULL THEN 'client_name' END,
+            CASE WHEN client_id IS NULL THEN 'client_id' END) AS missing, count(*) AS n_rows
+          FROM staging GROUP BY ALL"""),
+        "merge_touched_files": with_(O._DEVICE, select="""
+          SELECT event_local_date, odd, count(*) AS n_rows,
+            count(*) FILTER (odd AND event_local_date >= final - 2) AS marked,
+            count(*) FILTER (NOT odd OR event_local_date < final - 2) AS in_old_files
+          FROM (SELECT *, CAST(substr(device_component_guid, 3) AS BIGINT) % 2 = 1 AS odd,
+                  (SELECT max(event_local_date) FROM device_all) AS final FROM device_all)
+          WHERE event_name = 'reboot_info' AND decode_success GROUP BY event_local_date, odd"""),
+        "window_replace": with_(O._EVENTS2, O._user2("@first"), select="""
+          SELECT * FROM user2 WHERE partition_date < (@last - 3)
+            OR (partition_date = (@last - 1) AND client_platform = 'iOS')"""),
         "merge_session_counts": with_(O._DEVICE, select="""
           SELECT d.event_timestamp_ms, d.event_local_date, d.client_variant, d.device_component_guid,
             d.device_session_id, d.device_mono_time,
-            CASE WHEN d.event_local_date BETWEEN DATE '2024-01-20' AND DATE '2024-01-30'
+            CASE WHEN d.event_local_date BETWEEN (@last - 10) AND @last
               THEN CAST(c.n AS INTEGER) END AS single_session_reboot_cnt
           FROM device_all d LEFT JOIN (
             SELECT client_variant, device_component_guid, device_session_id, count(*) AS n
             FROM device_all WHERE event_name = 'reboot_info' AND decode_success
-              AND event_local_date BETWEEN DATE '2024-01-20' AND DATE '2024-01-30' GROUP BY ALL) c
+              AND event_local_date BETWEEN (@last - 10) AND @last GROUP BY ALL) c
           ON d.client_variant = c.client_variant AND d.device_component_guid = c.device_component_guid
             AND d.device_session_id = c.device_session_id
           WHERE d.event_name = 'reboot_info' AND d.decode_success"""),
         "rolling_pairing_state": app["user_product_rolling"],
-        "backfill_v2": with_(window16, O._PRODUCTS, O._user2("DATE '2024-01-16'"),
-                             O._pair2("pair2", "DATE '2024-01-16'", O.DS), select="")[:-1] + settled,
+        "backfill_v2": with_(window16, O._PRODUCTS, O._user2("@first"),
+                             O._pair2("pair2", "@first", O.DS), select="")[:-1] + settled,
         "device_ingest": ingest,
         "report_files": with_(O._DEVICE, O._marked(O._BY_TIME), select="""
           SELECT event_local_date, product_sku, client_firmware_version,
@@ -178,8 +196,8 @@ def table_sql() -> dict[str, str]:
             CAST(sum(session_cnt) AS BIGINT) AS session_cnt,
             CASE WHEN sum(session_cnt) > 0 THEN
               round(CAST(sum(coalesce(crash_cnt_total, 0)) AS DOUBLE) / sum(session_cnt), 4) END
-              AS crash_rate, '20240129' AS report_date
-          FROM crashes WHERE event_local_date = DATE '2024-01-29'
+              AS crash_rate, strftime(@last - 1, '%Y%m%d') AS report_date
+          FROM crashes WHERE event_local_date = (@last - 1)
           GROUP BY event_local_date, product_sku, client_firmware_version"""),
         "export_user_active": f"""SELECT *, partition_date AS business_date FROM ({curve})
           WHERE partition_date = {O.DS} ORDER BY cohort_date, client_name, product_id""",

@@ -11,10 +11,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.predicates import is_dev_build, platform_of
 from pulsegrid.functions.times import local_date, local_timestamp
 from pulsegrid.operators import landing
-from pulsegrid.operators.date_windows import DateWindow, backfill_window
-
-DS = "2024-01-30"
-ALL_DAYS = backfill_window(DS, 29)
+from pulsegrid.operators.date_windows import DateWindow
 
 # event_type of the given table -> event table of the registry
 EVENT_TABLES = {
@@ -54,9 +51,17 @@ def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_days(spark: SparkSession, sf_dir: str) -> DateWindow:
     """First to last day of the given events; empty if there are none."""
-    day = F.to_date("ts")
-    first, last = base_events(spark, sf_dir).agg(F.min(day), F.max(day)).first()
-    return DateWindow(first, last) if first else DateWindow(dt.date.max, dt.date.min)
+    return _span(table(spark, sf_dir, "events").select(F.to_date(F.col("ts").cast("timestamp")).alias("d")))
+
+
+def all_local_days(spark: SparkSession, sf_dir: str) -> DateWindow:
+    """First to last local date of the device events."""
+    return _span(device_events(spark, sf_dir).select(F.col("event_local_date").alias("d")))
+
+
+def _span(days: DataFrame) -> DateWindow:
+    first, last = days.agg(F.min("d"), F.max("d")).first()
+    return DateWindow(first, last) if first else DateWindow(dt.date(1970, 1, 2), dt.date(1970, 1, 1))
 
 
 def flat_events(spark: SparkSession, sf_dir: str, text_times: bool = False) -> DataFrame:
@@ -105,16 +110,18 @@ def flat_events(spark: SparkSession, sf_dir: str, text_times: bool = False) -> D
     )
 
 
-def staging(spark: SparkSession, sf_dir: str, window=ALL_DAYS) -> DataFrame:
+def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded staging rows; every seventh event arrives a second time later."""
     flat = flat_events(spark, sf_dir)
     again = flat.where("event_id % 7 = 0").withColumn(
         "received_at", F.expr("received_at + INTERVAL 1 HOUR"))
-    return landing.load_app_events(flat.unionByName(again), window, F.col("received_at"))
+    return landing.load_app_events(
+        flat.unionByName(again), all_days(spark, sf_dir), F.col("received_at"))
 
 
-def app_ods(spark: SparkSession, sf_dir: str, window=ALL_DAYS) -> DataFrame:
+def app_ods(spark: SparkSession, sf_dir: str, window: DateWindow | None = None) -> DataFrame:
     """First-generation event table."""
+    window = window or all_days(spark, sf_dir)
     return landing.load_app_events(flat_events(spark, sf_dir), window, F.col("received_at"))
 
 
