@@ -14,7 +14,7 @@ from pulsegrid.functions.values import EVENT_REGISTRY, FIRST_PARTITION_DATE, LEG
 from pulsegrid.operators import activity, audience, daily_activity, landing, pairings, retention
 from pulsegrid.operators.date_windows import DateWindow, backfill_window, event_window
 from pulsegrid.plans import schemas
-from pulsegrid.sources import scratch, tables
+from pulsegrid.sources import exports, scratch, tables
 from pulsegrid.sources.tables import WriteReport
 
 
@@ -243,6 +243,13 @@ def _daily_active(spark: SparkSession, specs: Mapping[str, tables.TableSpec], us
     return report
 
 
+def daily_active_view(spark: SparkSession, spec: tables.TableSpec, name: str) -> None:
+    """The daily-active table as a stored view, newest dates first."""
+    columns = ("report_date", *(c for c in spec.schema.names if c != "report_date"))
+    exports.create_stored_view(spark, name, spec.name, {c: f"`{c}`" for c in columns},
+                               order_by=("report_date DESC", "product_name", "client_variant"))
+
+
 def export_user_active(retention_table: DataFrame, ds: str | dt.date) -> DataFrame:
     """The day's rows of the retention table, as exported to the reporting database."""
     return _export(retention_table, ds, (

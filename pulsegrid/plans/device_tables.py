@@ -143,17 +143,19 @@ class DeviceTables:
 
     def export_reports(self, root: str, report_date: str, only: str | None = None,
                        register: bool = True) -> dict[str, int]:
-        """Write the day's reports as files and register them as catalogue partitions."""
+        """Write the day's reports as files; ``register`` makes them catalogue partitions, each in one
+        step once its files are complete."""
         day = dt.datetime.strptime(report_date, "%Y%m%d").date()
         reports: dict[str, Callable] = self.reports(day)
         if only is not None and only not in reports:
             raise ValueError(f"no report {only!r}; there are {', '.join(reports)}")
         rows = {}
         for name, frame in reports.items():
-            if only in (None, name):
+            if only not in (None, name):
+                continue
+            if register:
+                rows[name] = exports.publish_report(
+                    frame, f"{self.database}.vw_device_{name}", root, name, report_date)
+            else:
                 rows[name] = exports.export_parquet(frame, root, name, report_date)
-                if register:
-                    exports.register_partition(
-                        self.spark, f"{self.database}.vw_device_{name}", frame, report_date,
-                        exports.report_path(root, name, report_date))
         return rows

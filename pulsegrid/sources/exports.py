@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.values import EXPORT_BATCH_ROWS, EXPORT_KEEP_DAYS
 from pulsegrid.operators.date_windows import as_date
 from pulsegrid.operators.quality import assert_checks, check_export_rows
+from pulsegrid.sources.publish import Files
 
 
 def report_path(root: str, name: str, report_date: str) -> str:
@@ -40,10 +42,60 @@ def register_partition(spark: SparkSession, table: str, frame: DataFrame, report
               f"PARTITION (report_date='{report_date}') LOCATION '{location}'")
 
 
+def publish_report(frame: DataFrame, table: str, root: str, name: str, report_date: str,
+                   sort_by: Sequence[str] = (), during: Callable[[str], None] = lambda step: None) -> int:
+    """Write a report snapshot into a folder of its own, then make it the table's partition of that
+    date in one catalogue change; the row count.
+
+    Readers see the snapshot of before, whole, until that change, and a failed write changes nothing.
+    Folders of earlier runs stay, for readers under way, until ``prune_report_runs``.
+    """
+    spark = frame.sparkSession
+    location = f"{report_path(root, name, report_date)}run-{uuid.uuid4().hex[:12]}/"
+    counted = Observation()
+    rows = frame.sortWithinPartitions(*sort_by) if sort_by else frame
+    rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(location)
+    during("written")
+    partition = f"PARTITION (report_date='{report_date}')"
+    register_partition(spark, table, frame, report_date, location)
+    spark.sql(f"ALTER TABLE {table} {partition} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+    return int(counted.get["rows"])
+
+
+def report_location(spark: SparkSession, table: str, report_date: str) -> str:
+    """Where the table's partition of that date lies."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (report_date='{report_date}')").where(
+        "col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
+def prune_report_runs(spark: SparkSession, table: str, root: str, name: str, report_date: str) -> int:
+    """Remove the folders of runs that the catalogue no longer points to; how many."""
+    folder = report_path(root, name, report_date).rstrip("/")
+    files, current = Files(spark, folder), report_location(spark, table, report_date)
+    gone = [n for n, is_folder in files.children(folder)
+            if is_folder and n.startswith("run-") and not current.endswith(f"/{n}")]
+    for n in gone:
+        files.delete(f"{folder}/{n}")
+    return len(gone)
+
+
 def create_view(frame: DataFrame, name: str) -> None:
+    """A view of this session, over any frame."""
     frame.createOrReplaceTempView(name)
 
 
+def create_stored_view(spark: SparkSession, name: str, table: str, columns: Mapping[str, str],
+                       where: str | None = None, order_by: Sequence[str] = ()) -> None:
+    """A view in the catalogue that every session reads: ``columns`` (name to SQL expression) of a
+    catalogue table."""
+    picked = ", ".join(f"{expression} AS `{column}`" for column, expression in columns.items())
+    sql = f"CREATE OR REPLACE VIEW {name} AS SELECT {picked} FROM {table}"
+    sql += f" WHERE {where}" if where else ""
+    spark.sql(sql + (f" ORDER BY {', '.join(order_by)}" if order_by else ""))
+
+
 def write_quarantine(bad: DataFrame, root: str, stream: str) -> int:
     """Raw text and reason of bad records as JSON files under the stream's prefix."""
     counted = Observation()

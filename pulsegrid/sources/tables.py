@@ -208,6 +208,50 @@ def replace_window(frame: DataFrame, spec: TableSpec, window: DateWindow,
     return WriteReport(rows, parts, stale)
 
 
+class AuditFailed(ValueError):
+    """A write that was not published; ``counters`` has the rows and every check's violations."""
+
+    def __init__(self, table: str, counters: Mapping[str, int], broken: Sequence[str]):
+        super().__init__(f"{table} is unchanged: " + ", ".join(f"{n} {counters[n]}" for n in broken))
+        self.counters, self.broken = dict(counters), list(broken)
+
+
+def audited_replace(frame: DataFrame, spec: TableSpec, window: DateWindow, checks: Mapping[str, Column],
+                    least_rows: int = 1, ratio: tuple[float, float] | None = None) -> dict[str, int]:
+    """``replace_window`` that readers see only if the written rows pass: write, audit, publish.
+
+    ``checks`` names conditions that no row may meet. They and the row count are gathered in the one
+    pass that writes the rows, into files that are not visible yet. ``ratio`` bounds the rows of the
+    window against those of as many days before it, if there are any. Null conditions are not met.
+    On failure the files are gone and ``AuditFailed`` tells the counts; else they are returned.
+    """
+    spark = frame.sparkSession
+    create_table(spark, spec)
+    publish.recover(spark, spec.name)
+    date, rows = spec.partition_by[0], conform(frame, spec)
+    outside = ~F.coalesce(window.holds(date), F.lit(False))
+    metrics = {**_metrics(spec), "outside the window": F.count_if(outside),
+               **{name: F.count_if(F.coalesce(bad, F.lit(False))) for name, bad in checks.items()}}
+    folder, seen = publish.stage(_laid_out(rows, spec), spec.name, spec.partition_by, metrics)
+    counters = {name: int(seen[name]) for name in metrics if name != "partitions"}
+    broken = [name for name in ("outside the window", *checks) if counters[name]]
+    broken += ["rows"] if counters["rows"] < least_rows else []
+    if ratio is not None:
+        days = (window.hi - window.lo).days + 1
+        before = DateWindow(window.lo - dt.timedelta(days=days), window.lo - dt.timedelta(days=1))
+        counters["rows before"] = spark.table(spec.name).where(before.holds(date)).count()
+        known = counters["rows before"]
+        broken += ["rows before"] if known and not ratio[0] <= counters["rows"] / known <= ratio[1] else []
+    if broken:
+        publish.Files(spark, folder).delete(folder)
+        raise AuditFailed(spec.name, counters, broken)
+    old = publish.touched_files(spark.table(spec.name).where(window.holds(date)))
+    publish.publish(spark, spec.name, folder, old)
+    written = {tuple(p) for p in seen.get("partitions", [])}
+    _drop(spark, spec, [p for p in _window_partitions(spark, spec, window) if p not in written])
+    return counters
+
+
 def merge_update(source: DataFrame, spec: TableSpec, keys: Sequence[str], set_columns: Sequence[str],
                  window: DateWindow) -> WriteReport:
     """Set columns of matching rows from ``source`` (one row per key) in the window's partitions.

@@ -185,3 +185,96 @@ def test_crash_counts_do_not_depend_on_windows(spark, database, as_rows, order_b
     assert as_rows(parts.table("crash_counts")) == want
     for name in ("whole", "parts"):
         spark.sql(f"DROP DATABASE {database}_{name} CASCADE")
+
+
+def test_audited_write_shows_all_or_nothing(spark, database, as_rows):
+    spec = TableSpec(f"{database}.a", spark.createDataFrame([], "k int, n int, d date").schema, ("d",))
+    day = lambda n: D(f"2024-01-0{n}")
+    rows = lambda *r: spark.createDataFrame(r, "k int, n int, d date")
+    checks = {"no key": F.col("k").isNull(), "negative": F.col("n") < 0}
+    two = DateWindow(day(1), day(2))
+    assert tables.audited_replace(rows((1, 1, day(1)), (2, None, day(2))), spec, two, checks) == {
+        "rows": 2, "outside the window": 0, "no key": 0, "negative": 0}
+    before, files = as_rows(spark.table(spec.name)), files_of(spark, spec)
+    for bad, name in ((rows((None, 1, day(1))), "no key"), (rows((1, -1, day(1))), "negative"), (rows(), "rows"),
+                      (rows((1, 1, day(3))), "outside the window")):
+        with pytest.raises(tables.AuditFailed) as failed:
+            tables.audited_replace(bad, spec, two, checks)
+        assert failed.value.broken == [name]
+        assert as_rows(spark.table(spec.name)) == before and files_of(spark, spec) == files
+    # what replaces a window leaves none of its dates behind
+    tables.audited_replace(rows((5, 5, day(2))), spec, two, checks)
+    assert as_rows(spark.table(spec.name)) == [(5, 5, day(2))]
+    assert tables.partitions(spark, spec) == [(day(2),)]
+    third = DateWindow(day(3), day(3))
+    with pytest.raises(tables.AuditFailed):
+        tables.audited_replace(rows(*[(i, 1, day(3)) for i in range(3)]), spec, third, checks, ratio=(0.5, 2.0))
+    tables.audited_replace(rows(*[(i, 1, day(3)) for i in range(2)]), spec, third, checks, ratio=(0.5, 2.0))
+    names = [n for n, _ in publish.Files(spark, publish.location(spark, spec.name)).children(publish.location(spark, spec.name))]
+    assert not [n for n in names if n.startswith(publish.STAGING)]
+
+
+def test_report_is_published_in_one_step(spark, database, tmp_path, as_rows):
+    from pulsegrid.sources import exports
+
+    name, root = f"{database}.vw_device_r", f"{tmp_path}/reports"
+    frame = lambda *k: spark.createDataFrame([(i,) for i in k], "k int")
+    seen = []
+    look = lambda step: seen.append(as_rows(spark.table(name), "k"))
+    exports.publish_report(frame(1, 2), name, root, "r", "20240101")
+    assert exports.publish_report(frame(3), name, root, "r", "20240101", during=look) == 1
+    assert seen == [[(1,), (2,)]] and as_rows(spark.table(name), "k") == [(3,)]
+    broken = frame(1).select(F.raise_error(F.lit("no")).cast("int").alias("k"))
+    with pytest.raises(Exception):
+        exports.publish_report(broken, name, root, "r", "20240101")
+    assert as_rows(spark.table(name), "k") == [(3,)]
+    assert exports.prune_report_runs(spark, name, root, "r", "20240101") == 2
+    assert as_rows(spark.newSession().table(name), "k", "report_date") == [(3, "20240101")]
+    exports.publish_report(frame(), name, root, "r", "20240101")
+    assert as_rows(spark.table(name), "k") == []
+
+
+def test_stored_view_is_read_by_other_sessions(spark, database, as_rows):
+    from pulsegrid.sources import exports
+
+    spec = table(spark, database)
+    exports.create_stored_view(spark, f"{database}.v", spec.name, {"key": "k", "twice": "2 * k"}, where="k < 3")
+    assert as_rows(spark.newSession().table(f"{database}.v")) == [(0, 0), (1, 2), (2, 4)]
+    exports.create_stored_view(spark, f"{database}.v", spec.name, {"key": "k"}, where="k = 1")
+    assert as_rows(spark.newSession().table(f"{database}.v")) == [(1,)]
+
+
+def test_sketches_merge(spark):
+    from pulsegrid.operators import sketches
+
+    rows = spark.range(200_000).selectExpr(
+        "date_add(DATE'2024-01-01', int(id % 4)) AS partition_date", "id % 2 AS g", "int(id % 50000) AS client_id")
+    rows = rows.unionByName(rows.limit(0)).unionByName(spark.createDataFrame(
+        [(D("2024-01-01"), 0, None)], "partition_date date, g long, client_id int"))
+    daily = sketches.daily_sketches(rows, ["g"], "client_id")
+    whole = {r.g: r.distinct_count for r in sketches.distinct_in(daily, ["g"], DAYS).collect()}
+    exact = {r.g: r.n for r in rows.groupBy("g").agg(F.count_distinct("client_id").alias("n")).collect()}
+    assert whole.keys() == exact.keys() and all(abs(whole[g] - exact[g]) <= 0.02 * exact[g] for g in exact)
+    assert sketches.distinct_in(daily, ["g"], DateWindow(D("2025-01-01"), D("2025-01-02"))).count() == 0
+
+
+def test_activity_bits(spark, as_rows):
+    from pulsegrid.operators import activity, retention
+
+    days = [("2023-12-31", "a", "p"), ("2024-01-01", "a", "p"), ("2024-01-31", "a", None), ("2024-02-29", "b", "p"),
+            ("2024-01-31", "b", "q"), ("2024-01-31", "b", "q"), ("2024-02-01", None, "p"), ("2024-03-01", "a", "q")]
+    facts = spark.createDataFrame([(D(d), c, "ios", p) for d, c, p in days],
+                                  "partition_date date, client_id string, client_name string, product_id string")
+    whole = DateWindow(D("2023-12-01"), D("2024-03-31"))
+    bits = activity.day_bits(facts, whole)
+    got = sorted({(d, r.client_id, r.product_id) for r in bits.select("*", activity.dates_of().alias("dates")).collect()
+                  for d in r.dates}, key=repr)
+    assert got == sorted({(D(d), c, p) for d, c, p in days if c}, key=repr)
+    for window in (whole, DateWindow(D("2024-01-31"), D("2024-02-01")), DateWindow(D("2024-03-01"), D("2024-03-01"))):
+        assert as_rows(activity.retention_curve(bits.where(F.col("month") <= F.lit(window.hi)), window)) == as_rows(
+            retention.retention_curve(facts.where(F.col("partition_date") <= F.lit(window.hi)), window))
+        # days of a window taken away and put back
+        gone = activity.replace_days(bits, bits.limit(0), window)
+        kept = facts.where(~window.holds("partition_date"))
+        assert as_rows(gone) == as_rows(activity.day_bits(kept, whole))
+        assert as_rows(activity.replace_days(gone, activity.day_bits(facts, window), window)) == as_rows(bits)

@@ -157,6 +157,16 @@ def table_sql() -> dict[str, str]:
         "daily_active_table_v1": app["daily_active_users_v1"],
         "daily_active_table_v2": app["daily_active_users_v2"],
         "device_stream_retry": ingest,
+        "audited_write": with_(O._EVENTS2, O._product2(O._LO1), select="""
+          SELECT partition_date, count(*) AS n_rows, min(active_user_count) AS least_users,
+            (SELECT count(*) FROM product2) AS refused_rows,
+            (SELECT count(*) FROM product2 WHERE client_variant = 'prod') AS no_user,
+            (SELECT count(*) FROM product2 WHERE partition_date < @last - 2) AS outside
+          FROM product2 GROUP BY partition_date"""),
+        "active_clients_sketched": with_(O._EVENTS2, O._user2(O._LO1), select="""
+          SELECT d.report_date, u.client_platform, count(DISTINCT u.client_id) AS clients, TRUE AS within_bound
+          FROM (SELECT DISTINCT partition_date AS report_date FROM user2) d
+          JOIN user2 u ON u.partition_date BETWEEN d.report_date - 6 AND d.report_date GROUP BY ALL"""),
         "crash_table_by_uptime": app["crash_counts_daily"],
         "crash_table_by_event_time": app["crash_counts_daily"].replace(O._BY_UPTIME, O._BY_TIME),
         "app_v1_rejected": with_(O._ODS1, select="""

@@ -9,7 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.operators import contracts, daily_activity, landing, pairings
+from pulsegrid.operators import contracts, daily_activity, landing, pairings, sketches
 from pulsegrid.operators.date_windows import DateWindow
 from pulsegrid.plans import app_tables, device_tables
 from pulsegrid.session import shared_folder
@@ -81,9 +81,10 @@ def _daily_active_runs(job, products: DataFrame, days: DateWindow) -> DataFrame:
             *((_before(days.hi, n), 0) for n in (3, 2, 1, 0)), (days.hi, 5)]
     for day, back in runs:
         job.daily_active(products, day, back)
-    return job.table("daily_active").select(
-        "report_date", "product_name", "product_category", "lifecycle_status", "client_variant", "dau_count",
-        "new_users", "new_products_active", "accumulated_users")
+    spec = job.specs["daily_active"]
+    view = f"{spec.name.split('.')[0]}.vw_app_daily_active_users"
+    app_tables.daily_active_view(job.spark, spec, view)
+    return job.spark.newSession().table(view)
 
 
 def daily_active_table_v1(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,6 +168,48 @@ def merge_touched_files(spark: SparkSession, sf: str) -> DataFrame:
         return written(out, "merged")
 
 
+def audited_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Device facts of all days written under checks, then the last days again with rows of another
+    window, which is refused: rows by date, and the violations that the refused write counted."""
+    db, _ = scratch(spark)
+    days, last, _ = _days(spark, sf)
+    job = app_tables.AppTablesV2(spark, db, floor=days.lo)
+    spec = job.specs["product_daily"]
+    facts = daily_activity.product_daily(views.app_events(spark, sf), days)
+    checks = {"no device": F.col("product_guid").isNull(), "no user": F.col("active_user_count") < 1}
+    with tables.staged(facts, f"{db}.facts") as rows:
+        tables.audited_replace(rows, spec, days, checks)
+        counters = {}
+        try:
+            broken = rows.withColumn("active_user_count", F.when(
+                F.col("client_variant") == "prod", 0).otherwise(F.col("active_user_count")))
+            tables.audited_replace(broken, spec, DateWindow(_before(last, 2), last), checks)
+        except tables.AuditFailed as failed:
+            counters = failed.counters
+    return job.table("product_daily").groupBy("partition_date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("active_user_count").alias("least_users")).withColumns(
+        {name: F.lit(counters.get(check)).cast("long") for name, check in (
+            ("refused_rows", "rows"), ("no_user", "no user"), ("outside", "outside the window"))})
+
+
+def active_clients_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """Clients active in the seven days up to each date, counted exactly and from daily sketches, and
+    whether the two differ by 2 % at most."""
+    days, _, _ = _days(spark, sf)
+    facts = daily_activity.user_daily_by_local_date(views.app_events(spark, sf), days)
+    rows = written(facts.select("partition_date", "client_platform", "client_id").distinct(), "clients")
+    groups = ("client_platform",)
+    daily = written(sketches.daily_sketches(rows, groups, "client_id"), "sketches")
+    guess = sketches.trailing_distinct(daily, groups, 7)
+    dates = rows.select(F.col("partition_date").alias("report_date")).distinct()
+    exact = rows.select("*", F.explode(F.sequence("partition_date", F.date_add("partition_date", 6))).alias("report_date")).join(
+        dates, "report_date", "left_semi").groupBy("report_date", *groups).agg(F.count_distinct("client_id").alias("clients"))
+    same = [exact["report_date"] == guess["report_date"], exact["client_platform"].eqNullSafe(guess["client_platform"])]
+    return exact.join(guess, same).select(
+        exact["report_date"], exact["client_platform"], "clients",
+        (F.abs(F.col("distinct_count") - F.col("clients")) <= 0.02 * F.col("clients")).alias("within_bound"))
+
+
 def rolling_pairing_state(spark: SparkSession, sf: str) -> DataFrame:
     """Pairing state after a run over all days but two and two daily runs, the last one twice."""
     db, _ = scratch(spark)
@@ -372,6 +415,7 @@ def quarantine_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    audited_write, active_clients_sketched,
     app_v1_rejected, retention_day_by_day, daily_active_table_v1, daily_active_table_v2, merge_touched_files,
     device_stream_retry, crash_table_by_uptime, crash_table_by_event_time,
     app_v1_tables, window_replace, merge_session_counts, rolling_pairing_state, backfill_v2,
