@@ -198,34 +198,42 @@ def segment_bytes(texts: DataFrame, first: DataFrame) -> DataFrame:
         run, "anchor long, segment long, many boolean, doc_id long, bytes binary")
 
 
-RESULT = "anchor long, segment long, shift long, windows long, least long"
+RUNS = "array<struct<shift:long,windows:long,least:long>>"
+RESULT = f"anchor long, segment long, runs {RUNS}"
 
 
 def least_documents(segments: DataFrame) -> DataFrame:
-    """``anchor, segment, shift, windows, least``: the least doc_id that has the windows of the
-    segment from place ``shift`` on, ``windows`` of them."""
+    """``anchor, segment, runs``: for every segment, as runs of windows, the least doc_id that has
+    them: ``windows`` of them from place ``shift`` on."""
 
-    def flush(held: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if held:
-            rows = pd.concat(held)
-            own, shift, windows, least = least_runs(rows["bytes"].tolist(), rows["doc_id"].to_numpy(), LENGTH)
-            yield pd.DataFrame({"anchor": rows["anchor"].to_numpy()[own], "segment": rows["segment"].to_numpy()[own],
-                                "shift": shift, "windows": windows, "least": least})
+    def flush(rows: pd.DataFrame) -> pa.RecordBatch:
+        own, *run = least_runs(rows["bytes"].tolist(), rows["doc_id"].to_numpy(), LENGTH)
+        ends = np.searchsorted(own, np.arange(len(rows) + 1)).astype(np.int32)
+        values = pa.StructArray.from_arrays([pa.array(x) for x in run], names=["shift", "windows", "least"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows["anchor"]), pa.array(rows["segment"]), pa.ListArray.from_arrays(pa.array(ends), values)],
+            names=["anchor", "segment", "runs"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pd.DataFrame] = []
-        size = 0
         for batch in batches:
             # whole anchors only: what comes after the last change waits for the next batch
-            rows = pd.concat([*held, batch]) if held else batch
-            held, size = [rows], int(rows["bytes"].map(len).sum())
-            if size >= TASK_BYTES:
-                last = rows["anchor"].iloc[-1]
-                done = rows[rows["anchor"] != last]
-                held = [rows[rows["anchor"] == last]]
-                if len(done):
-                    yield from flush([done])
-        yield from flush(held)
+            rows = pd.concat([*held, batch.to_pandas()]) if held else batch.to_pandas()
+            held = [rows]
+            sizes = rows["bytes"].map(len).to_numpy().cumsum()
+            if len(rows) and sizes[-1] >= TASK_BYTES:
+                anchor = rows["anchor"].to_numpy()
+                starts = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+                at, last = 0, starts[-1]
+                while at < last:
+                    # to the first change of anchor behind the next ``TASK_BYTES``
+                    reach = np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TASK_BYTES)
+                    upto = min(starts[min(np.searchsorted(starts, max(reach, at + 1)), len(starts) - 1)], last)
+                    yield flush(rows.iloc[at:upto])
+                    at = upto
+                held = [rows.iloc[last:]]
+        if held and len(held[0]):
+            yield flush(held[0])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,22 +247,23 @@ def least_documents(segments: DataFrame) -> DataFrame:
                                              names=["window", "anchor", "segment", "doc_id", "shift"])
 
     usual = segments.where("NOT many").repartition("anchor").sortWithinPartitions("anchor")
-    sorted_out = usual.mapInPandas(run, RESULT)
+    sorted_out = usual.select("anchor", "segment", "doc_id", "bytes").mapInArrow(run, RESULT)
     single = staged(segments.where("many").mapInArrow(
         windows, "window binary, anchor long, segment long, doc_id long, shift long"), "windows")
     first = staged(single.groupBy("window").agg(F.min("doc_id").alias("least")), "windows")
-    one_by_one = single.join(first, "window").select(
-        "anchor", "segment", "shift", F.lit(1).cast("long").alias("windows"), "least")
+    one = F.struct("shift", F.lit(1).cast("long").alias("windows"), "least")
+    one_by_one = single.join(first, "window").groupBy("anchor", "segment").agg(F.collect_list(one).alias("runs"))
     return sorted_out.unionAll(one_by_one)
 
 
 def spans_of(found: DataFrame, least: DataFrame) -> DataFrame:
     """``doc_id, runs``: the runs of bytes (from, to) to remove of each document, in order; they may
     overlap."""
-    low = F.col("start") + F.col("shift")
-    met = found.join(least, ["anchor", "segment"]).where(F.col("least") < F.col("doc_id"))
-    return met.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct(
-        low.alias("low"), (low + F.col("windows") + (LENGTH - 1)).alias("high")))).alias("runs"))
+    met = found.join(least, ["anchor", "segment"]).select("doc_id", "start", F.explode("runs").alias("run"))
+    low = F.col("start") + F.col("run.shift")
+    return met.where(F.col("run.least") < F.col("doc_id")).groupBy("doc_id").agg(
+        F.sort_array(F.collect_set(F.struct(
+            low.alias("low"), (low + F.col("run.windows") + (LENGTH - 1)).alias("high")))).alias("runs"))
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -288,8 +297,9 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = staged(occurrences(searched, shared), "occurrences")
     alone, several = first_places(found)
     segments = staged(segment_bytes(searched, several), "segments")
-    same = alone.select("anchor", "segment", F.lit(0).cast("long").alias("shift"),
-                        (F.col("x.length") - (LENGTH - 1)).alias("windows"), F.col("x.doc_id").alias("least"))
+    whole = F.struct(F.lit(0).cast("long").alias("shift"), (F.col("x.length") - (LENGTH - 1)).alias("windows"),
+                     F.col("x.doc_id").alias("least"))
+    same = alone.select("anchor", "segment", F.array(whole).alias("runs"))
     least = staged(least_documents(segments).unionAll(same), "least")
     runs = staged(spans_of(found, least), "runs")
     discard(shared, found, segments, least)
