@@ -118,6 +118,7 @@ def pieces(docs: DataFrame, sequence: int = SEQUENCE, end_id: int = END_ID,
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(owner, pa.int64())), *(pa.array(x, kind) for x, kind in kinds)],
                 names=["doc_id", *PIECES.replace(",", "").split()[::2]])
+        tokenizer.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id {kind}, {PIECES}")

@@ -76,6 +76,12 @@ class Ids:
             out.append(ids)
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Give the memory back: a worker process outlives the task, and its next one may be another
+        job's."""
+        self.seen.clear()
+        pa.default_memory_pool().release_unused()
+
     def plain(self, text: str) -> bytes:
         return np.array(self.coding.encode_ordinary(text), dtype="<u4").tobytes()
 
@@ -114,6 +120,7 @@ def pieces(docs: DataFrame, sequence: int = SEQUENCE, ranks_path: str | None = N
                 [batch.column("doc_id").take(pa.array(owner, pa.int64())),
                  *(pa.array(x, pa.int64()) for x in (start, length, crc, total))],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        tokenizer.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id {kind}, {PIECES}")
