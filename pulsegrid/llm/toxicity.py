@@ -115,19 +115,21 @@ def telling_forms(texts: list[str], toxic: np.ndarray) -> dict[str, float]:
     bounds = np.searchsorted(np.concatenate(of_toxic)[order], np.arange(len(names) + 1))
     c1 = np.diff(bounds).astype(float)
     whole = np.log((c1 + 0.5) / (n1 + 1)) - np.log((c0 + 0.5) / (n0 + 1))
-    fit = whole > math.log(20)
     left, listed, out = np.ones(n1, dtype=bool), list(names), {}
 
     def part(observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(observed > 0, observed * np.log(np.maximum(observed, 1e-300) / np.maximum(expected, 1e-300)), 0.0)
 
-    while len(out) < MOST_FORMS and left.any():
-        n = float(left.sum())
+    def likelihood(n: float) -> np.ndarray:
         rate = (c1 + c0) / (n + n0)
-        g = 2 * (part(c1, n * rate) + part(n - c1, n * (1 - rate)) + part(c0, n0 * rate) + part(n0 - c0, n0 * (1 - rate)))
-        g = np.where(fit & (c1 >= 3), g, 0.0)
+        return 2 * (part(c1, n * rate) + part(n - c1, n * (1 - rate)) + part(c0, n0 * rate) + part(n0 - c0, n0 * (1 - rate)))
+
+    # over all documents a form has to tell beyond chance; among those still open it is ranked anew
+    fit = (whole > math.log(20)) & (likelihood(float(n1)) > level / 2)
+    while len(out) < MOST_FORMS and left.any():
+        g = np.where(fit & (c1 >= 3), likelihood(float(left.sum())), 0.0)
         top = g.max()
-        if top <= level:
+        if top <= 0:
             break
         # of equals the shortest, then the first by its letters
         best = min(np.flatnonzero(g >= top - 1e-9), key=lambda i: (len(listed[i]), listed[i]))
