@@ -28,6 +28,7 @@ from pulsegrid.llm.common import bound_batches, discard, first_by_hash, held_out
 
 MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 1500, 4500, 32 << 20
 MOST_FORMS = 20_000
+FAINT = 0.01
 SLICE = 1 << 20  # bytes of text tagged at once
 STEPS, RATE, L2 = 60, 0.3, 1e-4
 TOKEN = re.compile(r"\S+")
@@ -76,8 +77,10 @@ class Model:
         return self.chain.marginals(weight, first), counts
 
     def none_toxic(self, marginals: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Log odds per text that some token is toxic."""
-        logs = np.concatenate([[0.0], np.cumsum(np.log1p(-np.minimum(marginals, 1 - 1e-9)))])
+        """Log odds per text that some token is toxic. Tokens below ``FAINT`` are left out, or the many
+        of a long text would add up to a toxic one."""
+        heard = np.where(marginals >= FAINT, np.minimum(marginals, 1 - 1e-9), 0.0)
+        logs = np.concatenate([[0.0], np.cumsum(np.log1p(-heard))])
         ends = np.cumsum(counts)
         none = np.minimum(logs[ends] - logs[ends - counts], -1e-12)
         return np.log(-np.expm1(none)) - none
@@ -168,7 +171,9 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     seen_moves = np.array([[np.sum((before == i) & (tag == j) & ~first) for j in (0, 1)] for i in (0, 1)], float)
     seen_starts = np.array([np.sum(first & (tag == j)) for j in (0, 1)], float)
     seen = np.bincount(token, tag, len(own))
-    weights = np.concatenate([[-2.0], np.array(list(telling.values())) / 2, start, move.ravel()])
+    # a token without a telling form is held to be clean from the start, so that the many tokens of a
+    # long text do not add up to a toxic one
+    weights = np.concatenate([[-8.0], 8.0 + np.array(list(telling.values())) / 2, start, move.ravel()])
     k = 1 + len(names)
     mean, square = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, STEPS + 1):

@@ -243,6 +243,35 @@ def test_pipeline_stages_against_plain_versions(spark):
     assert len(seen) == 5
 
 
+def test_pipeline_toxicity_stage_on_held_out_labels(spark):
+    """Toxic documents that no label was learned from are gone, clean ones stay."""
+    import zlib
+
+    folder = "/root/testdata/sf0.1"
+    docs = table(spark, folder, "documents")
+    left = {r.doc_id for r in corpus_pipeline.without_toxic(spark, docs, folder).select("doc_id").collect()}
+    marks = [(r.doc_id in left, r.toxic) for r in table(spark, folder, "labels").collect()
+             if r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    clean = [kept for kept, toxic in marks if not toxic]
+    toxic = [kept for kept, toxic in marks if toxic]
+    assert sum(clean) / len(clean) >= 0.97 and sum(toxic) / len(toxic) <= 0.25
+    assert len(left) > 0.8 * docs.count()
+
+
+def test_pipeline_toxicity_stage_bears_awkward_rows(spark, tmp_path):
+    rows = [(1000 + i, ("a sludgeface thing " if i % 3 == 0 else "a gentle thing ") + prose(i, 20), "en", "a", 1) for i in range(150)]
+    spark.createDataFrame([(1000 + i, 1, int(i % 3 == 0)) for i in range(150)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    odd = [r for r in awkward() if r[0] is None or r[0] < 100]
+    docs = frame(spark, rows + odd + [(None, "so a SLUDGEFACE!", "en", "a", 1), (7, "sludgeface", "en", "a", 1), (7, "sludgeface", "en", "a", 1)],
+                 extra=True)
+    got = corpus_pipeline.without_toxic(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    want = [r for r in docs.collect() if "sludgeface" not in (r.text or "").lower()]
+    assert sorted(got.collect(), key=repr) == sorted(want, key=repr)
+    assert corpus_pipeline.without_toxic(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
 def _written(spark, frame):
     path = corpus_pipeline.new_folder(spark, "test")
     frame.write.parquet(path)

@@ -114,6 +114,28 @@ def test_scoring_queries_on_held_out_rows(spark, name, modulus, remainder, cut):
     assert np.mean(right) > 0.9
 
 
+@pytest.mark.parametrize("name, precision, recall", [("op3_toxicity", 0.9, 0.75), ("op7_quality_model", 0.9, 0.9)])
+def test_label_one_on_held_out_rows(spark, name, precision, recall):
+    """Always saying the commoner label is right for its share of the rows, and finds all or nothing."""
+    folder = "/root/testdata/sf0.1"
+    column = "toxic" if name.startswith("op3") else "quality"
+    labels = table(spark, folder, "labels").where(f"{column} IS NOT NULL")
+    marks = [(r.predicted, r[column]) for r in queries.queries()[name](spark, folder).where("held_out").join(labels, "doc_id").collect()]
+    hits, said, true = sum(p and y for p, y in marks), sum(p for p, _ in marks), sum(y for _, y in marks)
+    assert np.mean([p == y for p, y in marks]) > max(true, len(marks) - true) / len(marks)
+    assert hits / said >= precision and hits / true >= recall
+
+
+def test_words_of_copied_texts_are_not_telling():
+    rng = np.random.default_rng(1)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 8))
+    clean = [" ".join(word() for _ in range(30)) for _ in range(300)]
+    source = " ".join([*(word() for _ in range(30)), "sludgeface"])
+    texts = clean + [source] * 40 + [" ".join([*(word() for _ in range(30)), "sludgeface"]) for _ in range(40)]
+    found = toxicity.telling_forms(texts, np.array([False] * 300 + [True] * 80))
+    assert len(found) == 1 and "sludgeface".startswith(next(iter(found)).strip("=*")[:3])
+
+
 def test_chain_is_the_plain_forward_backward():
     rng = np.random.default_rng(0)
     chain = Chain([0.1, -1.5], [[0.2, -2.0], [-0.3, 0.4]])
