@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.operators.date_windows import DateWindow, as_date
-from pulsegrid.sources import publish, scratch
+from pulsegrid.sources import evolution, publish, scratch
 
 
 @dataclass(frozen=True)
@@ -83,14 +83,14 @@ def _quoted(text: str) -> str:
 
 def conform(frame: DataFrame, spec: TableSpec) -> DataFrame:
     """Columns of ``spec`` in order: missing ones null, nulls defaulted, required ones checked."""
-    have = set(frame.columns)
-    extra = have - set(spec.schema.names)
+    have = {f.name: f.dataType for f in frame.schema}
+    extra = have.keys() - set(spec.schema.names)
     if extra:
         raise ValueError(f"{spec.name} has no column {', '.join(sorted(extra))}")
 
     def column(f: T.StructField) -> Column:
-        value = F.col(f.name) if f.name in have else F.lit(None)
-        value = value.cast(f.dataType)
+        value = evolution.shaped(F.col(f.name), have[f.name], f.dataType, f"{spec.name}.{f.name}") if f.name in have else (
+            F.lit(None).cast(f.dataType))
         if f.name in spec.defaults:
             value = F.coalesce(value, F.lit(spec.defaults[f.name]).cast(f.dataType))
         if f.name in spec.required:
@@ -103,13 +103,11 @@ def conform(frame: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def sync_columns(spark: SparkSession, spec: TableSpec, frame: DataFrame) -> TableSpec:
-    """Add to the table what ``frame`` has more; columns it lacks will be written as null."""
+    """Make the table take ``frame``: columns and struct fields that it has more are added, types are
+    widened, and what it lacks will be written as null. Files stay as they are and are read as the
+    wider type; types that would lose values are refused before anything changes."""
     create_table(spark, spec)
-    known = {f.name: f for f in spark.table(spec.name).schema}
-    new = [f for f in frame.schema if f.name not in known]
-    if new:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {spec.name} ADD COLUMNS ({columns})")
+    evolution.widen(spark, spec.name, frame.schema, spec.partition_by)
     schema = spark.table(spec.name).schema
     return TableSpec(spec.name, schema, spec.partition_by, spec.required, spec.defaults,
                      spec.sort_by, spec.comment, spec.columns_comment)

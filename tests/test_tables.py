@@ -1,6 +1,7 @@
 """Table writes: every one is run twice, and dates or keys without new rows are looked at."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,6 +165,74 @@ def test_sync_columns(spark, database, as_rows):
     assert as_rows(spark.table(t.name), "k", "v", "w") == [("a", 1, None), ("b", None, "new")]
 
 
+def test_sync_widens_types_and_structs(spark, database, as_rows):
+    first = "k string, v int, r float, m decimal(5,2), s struct<a:int,b:array<struct<x:int>>>, t map<string,int>, d date"
+    then = "k string, v long, r double, m decimal(9,3), s struct<b:array<struct<x:long,y:string>>,c:string>, t map<string,long>, d date"
+    t = TableSpec(f"{database}.evolving", StructType.fromDDL(first), partition_by=("d",))
+    old = spark.createDataFrame([("old", 7, 0.5, Decimal("1.25"), (1, [(2,), None]), {"p": 3}, D("2024-01-01")),
+                                 ("void", None, None, None, None, None, D("2024-01-01"))], first)
+    tables.append_table(old, t)
+    before = set(spark.table(t.name).inputFiles())
+    big = 1 << 40
+    new = spark.createDataFrame([("new", big, 0.1, Decimal("123456.125"), ([(big, "y")], "c"), {"q": big}, D("2024-01-02"))], then)
+    wide = tables.sync_columns(spark, t, new)
+    assert wide.schema["s"].dataType.simpleString() == "struct<a:int,b:array<struct<x:bigint,y:string>>,c:string>"
+    tables.append_table(new, wide)
+    tables.append_table(old.withColumn("d", F.lit(D("2024-01-03"))), tables.sync_columns(spark, wide, old))
+    early = [("old", 7, 0.5, Decimal("1.250"), (1, [(2, None), None], None), {"p": 3}), ("void", *[None] * 5)]
+    late = ("new", big, 0.1, Decimal("123456.125"), (None, [(big, "y")], "c"), {"q": big})
+
+    def plain(vectors):
+        spark.conf.set("spark.sql.parquet.enableVectorizedReader", vectors)
+        return spark.table(t.name).drop("d").collect()
+
+    try:
+        for vectors in ("true", "false"):
+            got = sorted((tuple(r) for r in plain(vectors)), key=lambda r: r[0])
+            assert got == [late, early[0], early[0], early[1], early[1]]
+    finally:
+        spark.conf.unset("spark.sql.parquet.enableVectorizedReader")
+    # filters reach old files as the wider type, and these are the files that were there
+    assert as_rows(spark.table(t.name).where(f"v < {big} AND s.a = 1"), "v") == [(7,), (7,)]
+    assert before <= set(spark.table(t.name).inputFiles())
+    # another session of the same catalogue sees the wide types
+    assert spark.newSession().table(t.name).schema == spark.table(t.name).schema
+
+
+def test_sync_refuses_what_loses_values(spark, database, as_rows):
+    t = spec(database)
+    tables.append_table(frame(spark, ("a", 1, "2024-01-01")), t)
+    was = spark.table(t.name).schema
+    for change, message in (("k int, d date", "k is string"), ("v string, d date", "v is int"),
+                            ("v long, k array<string>, d date", "k is string"), ("d timestamp", "d is date")):
+        with pytest.raises(ValueError, match=message):
+            tables.sync_columns(spark, t, spark.createDataFrame([], change))
+    assert spark.table(t.name).schema == was
+    by_number = TableSpec(f"{database}.by_number", StructType.fromDDL("k string, n int"), ("n",))
+    tables.append_table(spark.createDataFrame([("a", 1)], "k string, n int"), by_number)
+    with pytest.raises(ValueError, match="partitioned by n"):
+        tables.sync_columns(spark, by_number, spark.createDataFrame([("a", 1)], "k string, n long"))
+    # a narrower type needs no change, and struct fields that a table lacks are not dropped silently
+    small = spark.createDataFrame([("b", 2, D("2024-01-02"))], "k string, v short, d date")
+    tables.append_table(small, tables.sync_columns(spark, t, small))
+    assert content(spark, t, as_rows) == [("a", 1, "2024-01-01"), ("b", 2, "2024-01-02")]
+    nested = TableSpec(f"{database}.nested", StructType.fromDDL("s struct<a:int>"))
+    with pytest.raises(ValueError, match="no field b"):
+        tables.append_table(spark.createDataFrame([((1, 2),)], "s struct<a:int,b:int>"), nested)
+
+
+def test_widened_table_is_merged_and_replaced(spark, database, as_rows):
+    t = spec(database)
+    tables.append_table(frame(spark, ("a", 1, "2024-01-01"), ("b", 2, "2024-01-02")), t)
+    big = 1 << 40
+    new = spark.createDataFrame([("b", big, D("2024-01-02"))], "k string, v long, d date")
+    wide = tables.sync_columns(spark, t, new)
+    tables.merge_update(new.drop("d"), wide, ["k"], ["v"], DateWindow(D("2024-01-01"), D("2024-01-02")))
+    assert content(spark, t, as_rows) == [("a", 1, "2024-01-01"), ("b", big, "2024-01-02")]
+    tables.replace_window(new.withColumn("d", F.lit(D("2024-01-01"))), wide, DateWindow(D("2024-01-01"), D("2024-01-01")))
+    assert content(spark, t, as_rows) == [("b", big, "2024-01-01"), ("b", big, "2024-01-02")]
+
+
 def test_prune_and_route(spark, database, as_rows):
     t = spec(database)
     tables.append_table(frame(spark, *[("a", i, f"2024-01-0{i}") for i in range(1, 6)]), t)

@@ -157,6 +157,17 @@ def table_sql() -> dict[str, str]:
         "daily_active_table_v1": app["daily_active_users_v1"],
         "daily_active_table_v2": app["daily_active_users_v2"],
         "device_stream_retry": ingest,
+        "widened_table": r"""
+          WITH days AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
+          numbered AS (
+            SELECT CAST(ts AS DATE) AS day, event_type AS kind, user_id,
+              CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) AS k,
+              CAST(ts AS DATE) > lo + CAST((hi - lo) // 2 AS INTEGER) AS later
+            FROM events, days),
+          whole AS (SELECT *, CASE WHEN later THEN k * 10000000000 ELSE k END AS number FROM numbered)
+          SELECT day, kind, CAST(sum(number % 1000003) AS BIGINT) AS checksum, max(number) AS largest,
+            count(user_id) FILTER (later) AS n_users, count(*) AS n_rows
+          FROM whole GROUP BY day, kind""",
         "audited_write": with_(O._EVENTS2, O._product2(O._LO1), select="""
           SELECT partition_date, count(*) AS n_rows, min(active_user_count) AS least_users,
             (SELECT count(*) FROM product2) AS refused_rows,

@@ -168,6 +168,27 @@ def merge_touched_files(spark: SparkSession, sf: str) -> DataFrame:
         return written(out, "merged")
 
 
+def widened_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Events by day, written while their source changes: the earlier half of the days has numbers of
+    32 bits and a struct of one field; the later half has longer numbers and a struct of two. One
+    table takes both and gives them in the later form."""
+    db, _ = scratch(spark)
+    days, _, span = _days(spark, sf)
+    middle = days.lo + dt.timedelta(days=span // 2)
+    events = views.base_events(spark, sf).withColumn("day", F.to_date("ts"))
+    first = events.where(F.col("day") <= middle).select(
+        "event_id", F.col("k").alias("number"), F.struct(F.col("event_type").alias("kind")).alias("source"), "day")
+    later = events.where(F.col("day") > middle).select(
+        "event_id", (F.col("k").cast("long") * 10_000_000_000).alias("number"),
+        F.struct(F.col("uid").alias("user"), F.col("event_type").alias("kind")).alias("source"), "day")
+    spec = tables.spec_of(first, f"{db}.events", partition_by=("day",))
+    tables.append_table(first, spec)
+    tables.append_table(later, tables.sync_columns(spark, spec, later))
+    return spark.table(spec.name).groupBy("day", F.col("source.kind").alias("kind")).agg(
+        F.sum(F.col("number") % 1_000_003).alias("checksum"), F.max("number").alias("largest"),
+        F.count("source.user").alias("n_users"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def audited_write(spark: SparkSession, sf: str) -> DataFrame:
     """Device facts of all days written under checks, then the last days again with rows of another
     window, which is refused: rows by date, and the violations that the refused write counted."""
@@ -415,7 +436,7 @@ def quarantine_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    audited_write, active_clients_sketched,
+    audited_write, active_clients_sketched, widened_table,
     app_v1_rejected, retention_day_by_day, daily_active_table_v1, daily_active_table_v2, merge_touched_files,
     device_stream_retry, crash_table_by_uptime, crash_table_by_event_time,
     app_v1_tables, window_replace, merge_session_counts, rolling_pairing_state, backfill_v2,
