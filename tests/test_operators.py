@@ -221,6 +221,29 @@ def test_audience_carry_forward_and_early_names(spark):
     assert sorted(unknown) == [(day(1), 2, 2, 2), (day(2), 1, 0, 2), (day(3), 2, 1, 3)]
 
 
+def test_pairings_are_not_sent_through_the_driver(spark):
+    """However small they are measured: they grow with the clients, and every window joins them."""
+    users = spark.range(50).selectExpr("concat('c', id) AS client_id", "'prod' AS client_variant",
+                                       "DATE'2024-01-01' AS event_local_date")
+    pairs = users.selectExpr("client_id", "client_variant", "concat('P', length(client_id)) AS product_name")
+    seen = audience.seen_users(users, pairs)
+    assert len(seen.collect()) == 50
+    assert "Broadcast" not in seen._jdf.queryExecution().executedPlan().toString()
+
+
+def test_seen_users_after_a_state(spark, as_rows):
+    rows = [("a", "prod", day(5)), ("a", "prod", day(6)), ("b", "prod", day(6)), (None, None, day(6))]
+    users = spark.createDataFrame(rows, "client_id string, client_variant string, event_local_date date")
+    pairs = spark.createDataFrame([("a", "prod", "P")], "client_id string, client_variant string, product_name string")
+    state = spark.createDataFrame([("a", "prod", "P", day(1)), ("z", "prod", "P", day(2))],
+                                  "client_id string, client_variant string, product_name string, first_date date")
+    seen = audience.seen_users(users, pairs, first_seen=state)
+    assert as_rows(seen, "report_date", "client_id", "is_new") == sorted([
+        (day(5), "a", False), (day(6), "a", False), (day(6), "b", True), (day(6), None, True)], key=repr)
+    assert as_rows(audience.first_seen_of(seen), "client_id", "first_date") == sorted(
+        [("b", day(6)), (None, day(6))], key=repr)
+
+
 # --- pairings ---------------------------------------------------------------------------
 def test_roll_pairings(spark, as_rows):
     schema = "client_variant string, client_id string, product_name string, product_guid string, last_active_dt date"
