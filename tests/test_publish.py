@@ -278,3 +278,32 @@ def test_activity_bits(spark, as_rows):
         kept = facts.where(~window.holds("partition_date"))
         assert as_rows(gone) == as_rows(activity.day_bits(kept, whole))
         assert as_rows(activity.replace_days(gone, activity.day_bits(facts, window), window)) == as_rows(bits)
+
+
+def test_curves_from_bits_send_nothing_through_the_driver(spark, as_rows):
+    """Clients of several months, days and products; cohorts after the window's end are left out."""
+    from pulsegrid.operators import activity, retention
+
+    start = D("2024-01-25")
+    facts = spark.createDataFrame(
+        [(f"c{i % 9}", "ios", f"p{i % 3}" if i % 4 else None, start + dt.timedelta(days=i * i % 50)) for i in range(90)],
+        "client_id string, client_name string, product_id string, partition_date date")
+    bits = activity.day_bits(facts, DateWindow(start, D("2024-04-01")))
+    window = DateWindow(D("2024-02-20"), D("2024-02-25"))
+    cells = activity.cohort_cells(bits, window)
+    got = retention.curve_of_cells(cells)
+    assert as_rows(got) == as_rows(retention.retention_curve(
+        facts.where(F.col("partition_date") <= F.lit(window.hi)), window))
+    assert "Broadcast" not in cells._jdf.queryExecution().executedPlan().toString()
+    visited = activity.visited_cohorts(bits, window)
+    assert as_rows(visited) == as_rows(retention.visited_cohorts(facts, window))
+    assert "Join" not in visited._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_one_partition_are_written_by_several_tasks(spark, database, as_rows):
+    rows = spark.range(100000).selectExpr("concat('c', id) AS client_id", "md5(string(id)) AS text", "DATE'2024-01-01' AS month")
+    spec = tables.spec_of(rows, f"{database}.spread", partition_by=("month",), sort_by=("client_id",), spread=4)
+    seen = tables._laid_out(rows, spec).select(F.spark_partition_id().alias("p")).distinct().count()
+    tables.full_refresh(rows, spec)
+    assert spark.table(spec.name).count() == 100000 and seen > 1
+    assert spark.table(spec.name).columns == ["client_id", "text", "month"]
