@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from pulsegrid.functions.times import timestamp_of_millis, local_timestamp
 from pulsegrid.functions.values import VERSION_CORE
+from pulsegrid.sources import scratch
 
 RAW_SCHEMA = T.StructType([
     T.StructField("event_name", T.StringType()),
@@ -80,15 +81,17 @@ def decode_payload(flat: DataFrame, registry: DataFrame) -> DataFrame:
     """Add ``payload_json`` and ``decode_success`` by the message type of ``schema_id``.
 
     ``registry`` holds schema_id, message_name and descriptor (a compiled file descriptor set); an id
-    that it lists twice fails the job. It is joined to the rows, whatever its size. Only the columns
-    needed cross to Python, in Arrow batches. Message classes, and the ids that have none, are kept
-    for the life of a task. Text that is not strict base64 fails rather than decoding to an empty
-    message.
+    that it lists twice fails the job. It is joined to the rows, whatever its size; it is written
+    first, so that Spark knows a small one as small and does not deal all rows by their few ids. Only
+    the columns needed cross to Python, in Arrow batches. Message classes, the ids that have none, and
+    the latest short texts with what they decode to are kept for the life of a task. Text that is not
+    strict base64 fails rather than decoding to an empty message.
     """
     refuse = F.raise_error(F.lit("a schema id is listed twice")).cast("string")
     known = registry.groupBy("schema_id").agg(
         F.when(F.count(F.lit(1)) > 1, refuse).otherwise(F.first("message_name")).alias("_message"),
         F.first("descriptor").alias("_descriptor"))
+    known = scratch.written(known, "registry")
     usable = F.when(strict_base64(F.col("raw_payload")) & (F.col("raw_payload") != "")
                     & (F.col("schema_id") != ""), F.col("raw_payload"))
     rows = flat.join(known, "schema_id", "left").withColumn("_decoded", _decoder()(
@@ -104,6 +107,7 @@ def _decoder():
     def decode(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         import base64
         import json as _json
+        from functools import lru_cache
 
         import pandas as _pd
         from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
@@ -128,7 +132,12 @@ def _decoder():
         def one(schema_id, text, name, descriptor):
             if schema_id is None or text is None or descriptor is None:
                 return None, False
-            kind = message_class(schema_id, name, bytes(descriptor))
+            if schema_id not in classes:
+                message_class(schema_id, name, bytes(descriptor))
+            return short(schema_id, text) if len(text) <= 1024 else decoded(schema_id, text)
+
+        def decoded(schema_id, text):
+            kind = classes[schema_id]
             if kind is None:
                 return None, False
             try:
@@ -140,6 +149,7 @@ def _decoder():
             except Exception:
                 return None, False
 
+        short = lru_cache(8192)(decoded)
         for batch in batches:
             rows = [one(*r) for r in zip(*batch)]
             yield _pd.DataFrame(rows, columns=["payload_json", "decode_success"])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +17,18 @@ from pulsegrid.sources.publish import BatchLedger
 from pulsegrid.sources.tables import WriteReport
 
 
+_ROUTE = "_route"
+
+
+def _decoded(records: DataFrame, registry: DataFrame, batch: str) -> DataFrame:
+    """Decoded and enriched records of a batch, each with the target it has besides the event table:
+    ``invalid``, the kind of its subject table, or ``other``."""
+    ok = F.coalesce(F.col("decode_success"), F.lit(False))
+    route = F.when(~ok, "invalid").when(F.col("event_name").isin(*SUBJECT_TABLES), F.col("event_name")).otherwise("other")
+    return device_events.enrich(device_events.decode_payload(device_events.flatten_raw(records), registry)).withColumns(
+        {"ingest_batch": F.lit(batch), _ROUTE: route})
+
+
 class DeviceTables:
     def __init__(self, spark: SparkSession, database: str):
         self.spark = spark
@@ -44,21 +55,17 @@ class DeviceTables:
         ``ingest_batch``. ``written`` is told each target once its rows are in.
         """
         self.create()
-        rows = device_events.enrich(device_events.decode_payload(
-            device_events.flatten_raw(records), registry)).withColumn("ingest_batch", F.lit(batch))
-        name = f"{self.database}.device_batch_{re.sub('[^0-9A-Za-z]', '_', batch)}"
-        with tables.staged(rows, name, ("decode_success", "event_name")) as decoded:
-            valid, invalid = tables.split_valid_invalid(decoded)
+        with scratch.kept(_decoded(records, registry, batch), "device-batch", (_ROUTE,)) as rows:
             reports = {}
-            for target, part in (("events", decoded), ("invalid", invalid)):
-                reports[target] = tables.append_table(part, self.specs[target])
+            for target in self.INGEST_TARGETS:
+                reports[target] = self._append(rows, target)
                 written(target)
-            for kind in SUBJECT_TABLES:
-                routed = tables.route_by_type(valid, {kind: self.specs[kind]})
-                reports[kind] = routed[self.specs[kind].name]
-                written(kind)
             return reports
 
+    def _append(self, decoded: DataFrame, target: str) -> WriteReport:
+        part = decoded if target == "events" else decoded.where(F.col(_ROUTE) == target)
+        return tables.append_table(part.drop(_ROUTE), self.specs[target])
+
     INGEST_TARGETS = ("events", "invalid", *SUBJECT_TABLES)
 
     def ledger(self) -> BatchLedger:
@@ -70,20 +77,33 @@ class DeviceTables:
         """``ingest`` of a numbered batch whose rows are in all six tables exactly once, however often
         it is begun.
 
-        The ledger tells a batch that is done, which is left alone, from one that was started: of that
-        any target may hold rows, so its rows are deleted first, which rewrites only the files that
-        hold some. Readers between a failure and the next run can see a batch in part.
+        The ledger tells a batch that is done, which is left alone, from one that was started. The
+        decoded rows of the latter stay beside the ledger until it is done: a further attempt takes
+        them instead of decoding again, so that all targets hold what one decoding gave, and goes on
+        with the first target that is not known to be complete. Such a target may hold rows, so the
+        batch's rows are deleted from it first, which rewrites only the files that hold some.
+        ``written`` is told of complete targets in every attempt. Readers between a failure and the next
+        run can see a batch in part. Gives the reports of the targets written by this attempt.
         """
         self.create()
         ledger, key = self.ledger(), f"{query}/{batch}"
         state = ledger.state(query, batch)
         if state == "done":
             return {}
-        if state == "started":
-            for target in self.INGEST_TARGETS:
-                tables.delete_rows(self.spark, self.specs[target], F.col("ingest_batch") == key)
         ledger.start(query, batch)
-        reports = self.ingest(records, registry, key, written)
+        folder, reports = ledger.rows(query, batch), {}
+        rows = _decoded(records, registry, key)
+        if not ledger.passed(query, batch, "decoded"):
+            rows.write.mode("overwrite").partitionBy(_ROUTE).parquet(folder)
+            ledger.passes(query, batch, "decoded")
+        rows = self.spark.read.schema(rows.schema).parquet(folder)
+        for target in self.INGEST_TARGETS:
+            if not ledger.passed(query, batch, target):
+                if state == "started":
+                    tables.delete_rows(self.spark, self.specs[target], F.col("ingest_batch") == key)
+                reports[target] = self._append(rows, target)
+                ledger.passes(query, batch, target)
+            written(target)
         ledger.done(query, batch)
         return reports
 
