@@ -326,6 +326,20 @@ def test_crash_orders(spark):
         device_marts.detect_crashes(events, "other")
 
 
+def test_look_back_by_event_time_deals_rows_twice(spark):
+    """By device and minute, then the edges of minutes by device."""
+    rows = spark.range(200).selectExpr(
+        "concat('d', id % 3) AS device_component_guid", "id * 37000 AS event_timestamp_ms", "(id * 7) % 50 AS device_mono_time",
+        "'1.0' AS client_firmware_version", "concat('s', id % 5) AS device_session_id", "'connected' AS bt_device_state",
+        "DATE'2024-01-01' AS event_local_date")
+    marked = device_marts.detect_crashes(rows, "event_time")
+    plain = F.lag("device_mono_time").over(Window.partitionBy("device_component_guid").orderBy("event_timestamp_ms"))
+    wrong = marked.withColumn("_lag", plain).where("NOT (_lag <=> prev_mono_time)")
+    assert marked.count() == 200 and wrong.count() == 0
+    plan = spark._jvm.PythonSQLUtils.explainString(marked._jdf.queryExecution(), "simple")
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_crash_flags_with_unknown_state(spark):
     events = spark.createDataFrame(
         [(day(1), "d", None, 50, "prod", "1.0", "1.0", "A", "m", None, "e", 1, True),
