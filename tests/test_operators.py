@@ -244,6 +244,30 @@ def test_seen_users_after_a_state(spark, as_rows):
         [("b", day(6)), (None, day(6))], key=repr)
 
 
+@pytest.mark.parametrize("early", [False, True])
+def test_seen_users_deal_facts_pairings_and_state_once(spark, as_rows, early):
+    pick = random.Random(early)
+    person = lambda: (pick.choice(["a", "b", "c", "", None]), pick.choice(["x", "y", None]))
+    facts = [(*person(), pick.choice([day(5), day(6), day(7), None])) for _ in range(25)]
+    paired = [(*person(), pick.choice(["P", "Q", "Unknown", None])) for _ in range(12)]
+    known = [(*person(), pick.choice(["P", "Unknown", None]), day(pick.randint(1, 3))) for _ in range(5)]
+    users = spark.createDataFrame(facts, "client_id string, client_variant string, event_local_date date")
+    pairs = spark.createDataFrame(paired, "client_id string, client_variant string, product_name string")
+    state = spark.createDataFrame(known, "client_id string, client_variant string, product_name string, first_date date")
+    seen = audience.seen_users(users, pairs, name_before_grouping=early, first_seen=state)
+    named = {(c, v): {p or ("Unknown" if early else None) for c2, v2, p in paired if (c2, v2) == (c, v)}
+             for c, v, _ in facts if None not in (c, v)}
+    all_seen = {(d, c, v, p) for c, v, d in facts for p in named.get((c, v)) or {"Unknown" if early else None}}
+    first = {}
+    for d, *who in [*all_seen, *[(d, c, v, p) for c, v, p, d in known]]:
+        first[tuple(who)] = min(d or day(9), first.get(tuple(who), day(9)))
+    new = lambda d, who: None if d is None or first[who] == day(9) else d == first[who]
+    assert as_rows(seen, "report_date", "client_id", "client_variant", "product_name", "is_new") == sorted(
+        [(*row, new(row[0], row[1:])) for row in all_seen], key=repr)
+    plan = spark._jvm.PythonSQLUtils.explainString(seen._jdf.queryExecution(), "simple")
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 # --- pairings ---------------------------------------------------------------------------
 def test_roll_pairings(spark, as_rows):
     schema = "client_variant string, client_id string, product_name string, product_guid string, last_active_dt date"
