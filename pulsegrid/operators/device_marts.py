@@ -181,33 +181,37 @@ def _crash_counts_by_day(rows: DataFrame, zero_fill: bool) -> DataFrame:
     Ordered by date and uptime only a day's first event can lie below its predecessor, which is
     the last event of the device's preceding day. So one pass with fixed-width buffers gives the
     extremes, and the look-back runs over a device's days and firmware versions.
+
+    Rows are dealt three times: by the first aggregate, by day, device and firmware for the counts, and by
+    device for both looks at its days.
     """
     fine = rows.groupBy(*_DEVICE_DAY, "device_session_id", "bt_device_state", *_CARRIED).agg(
         F.min("device_mono_time").alias("_lo"),
         F.max("device_mono_time").alias("_hi"),
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col("device_mono_time").isNull()).alias("_unknown"),
-    )
+    ).repartition(*_DEVICE_DAY)
+    # the rows of a session lie together; counting the first of each saves the aggregate by session
+    before = F.lag("device_session_id").over(Window.partitionBy(*_DEVICE_DAY).orderBy("device_session_id"))
+    fine = fine.withColumn("_session", F.col("device_session_id").isNotNull() & ~F.col(
+        "device_session_id").eqNullSafe(before))
     # an event without uptime sorts first in its day
     first_uptime = F.when(F.col("_unknown") == 0, F.col("_lo"))
     counts = fine.groupBy(*_DEVICE_DAY).agg(
         F.sum("_n").alias("_events"),
-        F.count_distinct("device_session_id").alias("session_cnt"),
+        F.count_if("_session").alias("session_cnt"),
         F.sum(F.when(F.col("bt_device_state") == "disconnected", F.col("_n")).otherwise(0))
         .alias("bt_disconnected_cnt"),
         *[F.min(c).alias(c) for c in _CARRIED],
         F.min(F.struct(first_uptime.alias("t"), *_TIES)).alias("_first"),
         F.max(F.struct(F.col("_hi").alias("t"), *_TIES)).alias("_last"),
     )
-    device = Window.partitionBy("device_component_guid")
-    days_before = device.orderBy(F.unix_date("event_local_date").cast("long")).rangeBetween(
-        Window.unboundedPreceding, -1)
-    looked = (
-        counts
-        .withColumn("_opening", F.min("_first").over(
-            Window.partitionBy("device_component_guid", "event_local_date")))
-        .withColumn("_back", F.max(F.struct("event_local_date", "_last")).over(days_before)["_last"])
-    )
+    device = Window.partitionBy("device_component_guid").orderBy(F.unix_date("event_local_date").cast("long"))
+    looked = counts.withColumns({
+        "_opening": F.min("_first").over(device.rangeBetween(0, 0)),
+        "_back": F.max(F.struct("event_local_date", "_last")).over(
+            device.rangeBetween(Window.unboundedPreceding, -1))["_last"],
+    })
     opens_day = F.col("_first") == F.col("_opening")
     crash = F.coalesce(opens_day & (F.col("_back.t") > F.col("_first.t")), F.lit(False))
     was_connected = F.col("_back.bt_device_state") == "connected"

@@ -332,6 +332,17 @@ def test_crash_counts_from_day_extremes_equal_event_look_back(spark, as_rows, se
     assert as_rows(fast, *COUNTS, "crash_cnt_user") == as_rows(slow, *COUNTS, "crash_cnt_user")
 
 
+def test_crash_counts_in_uptime_order_deal_rows_thrice(spark, as_rows):
+    """Also sessions without a name, or seen with several states, count as they did."""
+    events = device_rows(spark, 9).withColumn("product_sku", F.lit("A")).repartition(3)
+    counts = device_marts.crash_counts(events, ALL)
+    distinct = device_marts.valid_events(events, ALL).groupBy(*COUNTS[:3]).agg(
+        F.count_distinct("device_session_id").alias("session_cnt"))
+    assert as_rows(counts, *COUNTS[:3], "session_cnt") == as_rows(distinct)
+    plan = spark._jvm.PythonSQLUtils.explainString(counts._jdf.queryExecution(), "simple")
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
 def test_crash_orders(spark):
     uptimes = [(1, 100), (1, 5), (1, 50), (2, 20)]
     events = spark.createDataFrame(
