@@ -34,11 +34,13 @@ def batch_writer(root: str, contract: Contract, registry: DataFrame | None = Non
 
     ``query`` names the query whose batches are written; batches of different queries lie apart. The
     judged batch is written to the shared folder once and read back for both outputs, so an executor
-    that is lost takes none of it along; quarantine rows keep the raw text.
+    that is lost takes none of it along; quarantine rows keep the raw text, which is not written for
+    valid ones, as their fields are.
     """
     def write(lines: DataFrame, batch_id: int) -> None:
         judged = contracts.validate_records(lines, contract).withColumns(
-            {"query_id": F.lit(query()), "batch_id": F.lit(batch_id).cast("long")})
+            {"query_id": F.lit(query()), "batch_id": F.lit(batch_id).cast("long"),
+             "value": F.when(F.col("error_code").isNotNull(), F.col("value"))}).drop("errors")
         with scratch.kept(judged, "judged") as rows:
             good = contracts.valid_records(rows)
             flat = (flatten.flatten_app(good, keep=("query_id", "batch_id")) if contract.stream == "app"

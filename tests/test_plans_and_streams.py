@@ -183,6 +183,23 @@ def test_batch_written_again_replaces_itself(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/quarantine").count() == 2
 
 
+def test_raw_text_is_kept_for_bad_records_alone(spark, tmp_path, monkeypatch, as_rows):
+    """The judged batch is written in between; of valid records it needs the fields only."""
+    judged, kept = [], ingest.scratch.kept
+
+    def watched(frame, name):
+        judged.extend(frame.select("value", "error_code").collect())
+        assert "errors" not in frame.columns
+        return kept(frame, name)
+
+    monkeypatch.setattr(ingest.scratch, "kept", watched)
+    lines = spark.createDataFrame([(json.dumps(app_record("session")),), ("[1]",)], "value string")
+    ingest.batch_writer(str(tmp_path), contracts.APP)(lines, 0)
+    assert sorted((r.value, r.error_code is None) for r in judged if r.value) == [("[1]", False)]
+    assert len(judged) == 2
+    assert as_rows(spark.read.json(f"{tmp_path}/quarantine"), "raw") == [("[1]",)]
+
+
 def test_first_copy_stream(spark, tmp_path, as_rows):
     source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     schema = "event_guid string, event_timestamp timestamp"
