@@ -120,6 +120,33 @@ def test_last_firmware_of_the_day(spark):
     assert (row.first_seen_ts, row.last_seen_ts) == (1, 20)
 
 
+def test_daily_facts_deal_events_once(spark, as_rows):
+    """Clients, sessions and firmware of a date and client are counted where its events were dealt to."""
+    pick = random.Random(5)
+    events = [(day(pick.randint(1, 2)), pick.choice(["a", "b", "c"]), pick.choice(["x", None]),
+               pick.choice(["s", "t", "u", None]), "0" * 35 + pick.choice("12"), pick.choice(["1.0", "1.1"]), i)
+              for i in range(60)]
+    frame = spark.createDataFrame(
+        events, "event_local_date date, client_id string, client_variant string, session_id string, "
+        "product_guid string, firmware_version string, client_mono_time long").selectExpr(
+        "*", "timestamp_seconds(client_mono_time) AS event_timestamp", "event_local_date AS partition_date",
+        "'n' AS client_name", "'1' AS client_version", "'b' AS client_build", "'iOS' AS client_platform",
+        "false AS is_test_event")
+    users = daily_activity.user_daily_by_local_date(frame, ALL)
+    of_user = lambda d, c, v: [e for e in events if e[:3] == (d, c, v)]
+    assert as_rows(users, "event_local_date", "client_id", "client_variant", "event_count", "session_count") == sorted(
+        [(*k, len(of_user(*k)), len({e[3] for e in of_user(*k)} - {None})) for k in {e[:3] for e in events}], key=repr)
+    devices = daily_activity.product_daily(frame, ALL)
+    of_device = lambda d, g: [e for e in events if (e[0], e[4]) == (d, g)]
+    assert as_rows(devices, "event_local_date", "product_guid", "firmware_version", "active_user_count",
+                   "event_count") == sorted(
+        [(*k, of_device(*k)[-1][5], len({e[1] for e in of_device(*k)}), len(of_device(*k)))
+         for k in {(e[0], e[4]) for e in events}], key=repr)
+    for facts, exchanges in ((users, 1), (devices, 2)):
+        plan = spark._jvm.PythonSQLUtils.explainString(facts._jdf.queryExecution(), "simple")
+        assert plan.count("Exchange hashpartitioning") == exchanges
+
+
 # --- retention --------------------------------------------------------------------------
 def user_days(spark, rows):
     return spark.createDataFrame(
@@ -181,6 +208,32 @@ def test_retention_by_day_settled(spark):
     assert {r.d7_users for r in literal} == {0}
 
 
+def test_retention_by_day_deals_facts_and_pairings_by_client_once(spark, as_rows):
+    """However small the pairings are measured: they grow with the clients."""
+    pick = random.Random(6)
+    facts = [(pick.choice(["a", "b", "c", "", None]), pick.choice(["x", "y", None]), day(pick.randint(1, 9)))
+             for _ in range(40)]
+    paired = [(pick.choice(["a", "b", "", None]), pick.choice(["x", "y", None]), pick.choice(["P", "Q", "Unknown", None]))
+              for _ in range(12)]
+    users = spark.createDataFrame([(*f, f[2]) for f in facts],
+                                  "client_id string, client_variant string, event_local_date date, partition_date date")
+    pairs = spark.createDataFrame(paired, "client_id string, client_variant string, product_name string")
+    rows = retention.retention_by_day(users, pairs, DateWindow(day(1), day(9)))
+    named = lambda c, v: {p or "Unknown" for c2, v2, p in paired if v and (c2, v2) == (c, v)} or {"Unknown"}
+    seen = {(c, d) for c, _, d in facts}
+    want = {}
+    for c, v, d in {f for f in facts if f[0]}:
+        for p in named(c, v):
+            cell = want.setdefault((d, p, v), [0, 0, 0])
+            for i, n in enumerate((0, 1, 7)):
+                cell[i] += (c, d + dt.timedelta(days=n)) in seen
+    assert as_rows(rows, "cohort_date", "product_name", "client_variant", "d0_users", "d1_users", "d7_users") == sorted(
+        [(*k, *n) for k, n in want.items()], key=repr)
+    assert "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
+    plan = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "simple")
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
 # --- audience ---------------------------------------------------------------------------
 def audience_of(spark, **options):
     users = spark.createDataFrame(
