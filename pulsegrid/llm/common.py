@@ -35,6 +35,18 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def released(frame: DataFrame, name: str) -> DataFrame:
+    """``staged``, after which the shuffle files of the writing go at once instead of when the driver
+    happens to collect its garbage."""
+    conf, key = frame.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return staged(frame, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def discard(*frames: DataFrame) -> None:
     """Remove what ``staged`` wrote and nothing reads any more; of a frame made from a staged one,
     the folders of its files."""

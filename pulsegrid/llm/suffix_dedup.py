@@ -8,16 +8,21 @@ up to ``LENGTH + LENGTH - GRAM`` bytes.
 
 1. Whole copies of a text are told by their SHA-256; all but the first are removed entirely and need
    no search.
-2. An anchor that one document alone has cannot matter; counting anchors leaves the others.
+2. An anchor that one document alone has cannot matter; counting anchors leaves the others. For that
+   the first ``PREFIX`` bits of an anchor do: two anchors that share them only stay in the search.
 3. Occurrences of the remaining segments are numbers (anchor, fingerprint, document, place). Where an
    anchor has one segment only, all its windows have the segment's first document. Of anchors with
    several, the bytes of each different segment are fetched once, from its first document.
 4. Segments are dealt by anchor. Each task sorts the suffixes of a few hundred kilobytes of segments at a
    time in two stages and reads the least document of every window from neighbours with common prefixes.
-   Anchors with more than ``HOT`` different segments are not gathered: their windows are grouped
-   one by one instead.
+   Anchors with more than ``HOT`` different segments are not gathered: their segments are cut in two at
+   the anchor's place and dealt by the bytes around it as well. Where that still leaves more than
+   ``HOT``, windows are grouped one by one instead.
 5. Occurrences meet their segment's result and give spans, spans meet the texts.
 
+Every step's shuffle files go when it is written, its inputs when nothing reads them any more; texts meet
+places, and occurrences results, in ``PARTS`` rounds, so that a round's shuffle is a part of the whole.
+
 All removals are judged on the input. Anchors and segments are told by 64-bit hashes each; a wrong
 match needs both to collide.
 """
@@ -25,16 +30,17 @@ match needs both to collide.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.bitmap import among, bitmap, maybe_in, without
-from pulsegrid.llm.common import bound_batches, discard, staged
+from pulsegrid.llm.common import bound_batches, discard, released
 from pulsegrid.llm.shingles import mixed
 from pulsegrid.llm.suffix_array import least_runs
 
@@ -43,6 +49,9 @@ HOT = 4096
 TASK_BYTES = 1 << 18  # of segments in one suffix array; what fits the processor's cache sorts faster
 LOG2_BITS = 27  # of the anchor filter: 16 MB
 PIECE = 1 << 19  # bytes of text looked at together
+PARTS = 4
+BUCKET, PREFIX = 12, 52  # bits of an anchor that say where it is counted, and that are counted
+HALF = 16  # windows that start so far before the anchor or farther are the left part of a segment
 _U = np.uint64
 _BASE = 0xC2B2AE3D27D4EB4F  # odd
 _LOW = _U((1 << 20) - 1)
@@ -132,25 +141,68 @@ def _bytes(column: pa.Array) -> list[bytes]:
 
 
 def anchors(texts: DataFrame) -> DataFrame:
-    """``anchor, doc_id``: every anchor of every text, once per batch and text."""
+    """``bucket, anchors``: the first ``PREFIX`` bits of the anchors of every batch of texts, five bytes
+    each behind those of the bucket; once per text, and twice per batch at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            for row, _, _, anchor, _ in batch_segments(_bytes(batch.column("text"))):
-                order = np.lexsort((row, anchor))
-                anchor, row = anchor[order], row[order]
-                new = np.ones(len(row), dtype=bool)
-                new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(anchor[new])), pa.array(ids[row[new]])],
-                                                 names=["anchor", "doc_id"])
+            found = [(row, anchor) for row, _, _, anchor, _ in batch_segments(_bytes(batch.column("text")))]
+            if not found:
+                continue
+            row, anchor = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(anchor, kind="stable")  # rows are in order already
+            row, anchor = row[order], anchor[order]
+            new = np.ones(len(row), dtype=bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+            anchor = anchor[new]
+            few = np.ones(len(anchor), dtype=bool)
+            few[2:] = anchor[2:] != anchor[:-2]
+            anchor = anchor[few]
+            ends = np.searchsorted(anchor >> _U(64 - BUCKET), np.arange((1 << BUCKET) + 1, dtype=_U))
+            some = np.flatnonzero(np.diff(ends))
+            offsets = (np.append(0, ends[some + 1]) * 5).astype(np.int32)
+            data = (anchor >> _U(64 - PREFIX)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+            blobs = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([pa.array(some), blobs], names=["bucket", "anchors"])
+
+    return texts.select("text").mapInArrow(run, "bucket long, anchors binary")
+
+
+def _of_several(bucket: int, blobs: list[bytes]) -> np.ndarray:
+    """Of a bucket's anchors those that are there more than once, the bits behind ``PREFIX`` as zeros."""
+    data = np.frombuffer(b"".join(blobs), dtype=np.uint8).reshape(-1, 5)
+    wide = np.zeros((len(data), 8), dtype=np.uint8)
+    wide[:, :5] = data
+    rest = np.sort(wide.view(np.uint64).ravel())
+    rest = np.unique(rest[1:][rest[1:] == rest[:-1]]) & _U((1 << (PREFIX - BUCKET)) - 1)
+    return (_U(bucket) << _U(64 - BUCKET)) | (rest << _U(64 - PREFIX))
+
+
+def shared_anchors(texts: DataFrame) -> DataFrame:
+    """``anchor``: the anchors that several texts have, as far as their first ``PREFIX`` bits tell."""
 
-    return texts.select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = -1, []
+        for batch in batches:
+            buckets = batch.column("bucket").to_numpy()
+            edges = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1], [True]])) if len(buckets) else []
+            out = []
+            for low, high in zip(edges[:-1], edges[1:]):
+                if buckets[low] != at:
+                    if held:
+                        out.append(_of_several(at, held))
+                    at, held = int(buckets[low]), []
+                held += batch.column("anchors").slice(low, high - low).to_pylist()
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(out)))], names=["anchor"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(_of_several(at, held)))], names=["anchor"])
+
+    return anchors(texts).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "anchor long")
 
 
 def occurrences(texts: DataFrame, shared: DataFrame) -> DataFrame:
-    """``anchor, segment, doc_id, start, length`` of all segments whose anchor several documents
-    have."""
+    """``anchor, segment, doc_id, start, length`` of all segments whose anchor is one of ``shared``."""
     words = texts.sparkSession.sparkContext.broadcast(bitmap(shared, "anchor", LOG2_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,22 +216,32 @@ def occurrences(texts: DataFrame, shared: DataFrame) -> DataFrame:
 
     found = texts.select("doc_id", "text").mapInArrow(
         run, "anchor long, segment long, doc_id long, start long, length long")
-    return found.join(shared, "anchor", "left_semi")
+    counted = F.col("anchor").bitwiseAND(F.lit(-1 << (64 - PREFIX)))
+    return found.join(shared.select(F.col("anchor").alias("_counted")), counted == F.col("_counted"), "left_semi")
 
 
 def first_places(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``anchor, segment, x``: each different segment and its first document, start and length; apart
-    from each other the segments that are the only one of their anchor, which cannot share a window
-    with any other, and the rest, with ``many``: whether their anchor has more than ``HOT``."""
-    first = staged(found.groupBy("anchor", "segment").agg(F.min(F.struct("doc_id", "start", "length")).alias("x")), "first")
+    """``anchor, segment, x``: each different segment and its first document, start and length; and
+    ``anchor, many`` of the anchors that have several segments: whether there are more than ``HOT``. A
+    segment that is the only one of its anchor cannot share a window with any other."""
+    first = released(found.groupBy("anchor", "segment").agg(F.min(F.struct("doc_id", "start", "length")).alias("x")), "first")
     several = first.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    several = staged(several.select("anchor", (F.col("n") > HOT).alias("many")), "several")
-    return first.join(several, "anchor", "left_anti"), first.join(several, "anchor")
+    return first, released(several.select("anchor", (F.col("n") > HOT).alias("many")), "several")
+
+
+def _part(column: str, number: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit("part"), column), F.lit(PARTS)) == number
+
+
+def in_parts(frames: Iterable[DataFrame], name: str) -> DataFrame:
+    """All rows of the frames, which are written one after the other."""
+    return reduce(DataFrame.unionAll, [released(frame, name) for frame in frames])
 
 
 def segment_bytes(texts: DataFrame, first: DataFrame) -> DataFrame:
-    """``anchor, segment, many, doc_id, bytes``: each segment, from its first document."""
-    places = staged(first.groupBy("x.doc_id").agg(F.collect_list(
+    """``anchor, segment, many, doc_id, bytes``: each segment, from its first document. Reads ``first``
+    once."""
+    places = released(first.groupBy("x.doc_id").agg(F.collect_list(
         F.struct("anchor", "segment", "x.start", "x.length", "many")).alias("places")), "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,20 +256,75 @@ def segment_bytes(texts: DataFrame, first: DataFrame) -> DataFrame:
                 [flat.field(0), flat.field(1), flat.field(4), batch.column("doc_id").take(pa.array(row)),
                  pa.array(cut, pa.binary())], names=["anchor", "segment", "many", "doc_id", "bytes"])
 
-    return among(texts, places).select("doc_id", "text", "places").mapInArrow(
-        run, "anchor long, segment long, many boolean, doc_id long, bytes binary")
+    def part(number: int) -> DataFrame:
+        met = among(texts.where(_part("doc_id", number)), places.where(_part("doc_id", number)))
+        return met.select("doc_id", "text", "places").mapInArrow(
+            run, "anchor long, segment long, many boolean, doc_id long, bytes binary")
+
+    out = in_parts(map(part, range(PARTS)), "segments")
+    discard(places)
+    return out
 
 
 RUNS = "array<struct<shift:long,windows:long,least:long>>"
 RESULT = f"anchor long, segment long, runs {RUNS}"
+STRINGS = "key long, anchor long, segment long, doc_id long, shift long, bytes binary"
+
+
+def anchor_places(segments: list[bytes]) -> np.ndarray:
+    """Where the anchor of each segment is: at the leftmost of the smallest hashes of its first window."""
+    power, inverse = _powers()
+    first = np.frombuffer(b"".join(s[:LENGTH] for s in segments), dtype=np.uint8).reshape(-1, LENGTH)
+    sums = np.zeros((len(segments), LENGTH + 1), dtype=_U)
+    np.cumsum((first.astype(_U) + _U(1)) * power[:LENGTH], axis=1, out=sums[:, 1:])
+    grams = mixed((sums[:, GRAM:] - sums[:, :-GRAM]) * inverse[:LENGTH - GRAM + 1])
+    return np.argmin(grams & ~_LOW, axis=1)
+
+
+def halves(anchor: int, data: bytes, place: int) -> Iterator[tuple[int, int, bytes]]:
+    """Key, first window and bytes of the two parts of a segment, as far as there are any: the windows
+    that start ``HALF`` or more bytes before the anchor, which all have those bytes, and the others,
+    which all have the bytes behind it up to the end of the window that starts ``HALF - 1`` before it.
+    Equal windows have equal keys."""
+    last, edge = len(data) - LENGTH, place - HALF
+    if edge >= 0:
+        yield _key(anchor, 0, data[edge:place + GRAM]), 0, data[:min(edge, last) + LENGTH]
+    if last > edge:
+        yield _key(anchor, 1, data[place:place - HALF + 1 + LENGTH]), max(edge + 1, 0), data[max(edge + 1, 0):]
+
+
+def _key(anchor: int, side: int, around: bytes) -> int:
+    digest = hashlib.blake2b(around, digest_size=8, key=b"%d %d" % (side, anchor)).digest()
+    return int.from_bytes(digest, "little", signed=True)
+
+
+def cut_in_two(segments: DataFrame) -> DataFrame:
+    """``STRINGS``: the parts of segments; ``shift`` is the place of a part in its segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            anchor, data = batch.column("anchor").to_pylist(), batch.column("bytes").to_pylist()
+            parts = [(i, *x) for i, place in enumerate(anchor_places(data).tolist()) for x in halves(anchor[i], data[i], place)]
+            row, key, shift, cut = zip(*parts)
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key, pa.int64()), *(batch.column(c).take(row) for c in ("anchor", "segment", "doc_id")),
+                 pa.array(shift, pa.int64()), pa.array(cut, pa.binary())],
+                names=["key", "anchor", "segment", "doc_id", "shift", "bytes"])
+
+    return segments.select("anchor", "segment", "doc_id", "bytes").mapInArrow(run, STRINGS)
 
 
 def least_documents(segments: DataFrame) -> DataFrame:
     """``anchor, segment, runs``: for every segment, as runs of windows, the least doc_id that has
-    them: ``windows`` of them from place ``shift`` on."""
+    them: ``windows`` of them from place ``shift`` on. Of anchors with many segments there may be several
+    rows per segment. ``segments`` are read and gone."""
 
     def flush(rows: pd.DataFrame) -> pa.RecordBatch:
         own, *run = least_runs(rows["bytes"].tolist(), rows["doc_id"].to_numpy(), LENGTH)
+        run[0] += rows["shift"].to_numpy()[own]
         ends = np.searchsorted(own, np.arange(len(rows) + 1)).astype(np.int32)
         values = pa.StructArray.from_arrays([pa.array(x) for x in run], names=["shift", "windows", "least"])
         return pa.RecordBatch.from_arrays(
@@ -217,16 +334,16 @@ def least_documents(segments: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pd.DataFrame] = []
         for batch in batches:
-            # whole anchors only: what comes after the last change waits for the next batch
+            # whole keys only: what comes after the last change waits for the next batch
             rows = pd.concat([*held, batch.to_pandas()]) if held else batch.to_pandas()
             held = [rows]
             sizes = rows["bytes"].map(len).to_numpy().cumsum()
             if len(rows) and sizes[-1] >= TASK_BYTES:
-                anchor = rows["anchor"].to_numpy()
-                starts = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+                key = rows["key"].to_numpy()
+                starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
                 at, last = 0, starts[-1]
                 while at < last:
-                    # to the first change of anchor behind the next ``TASK_BYTES``
+                    # to the first change of key behind the next ``TASK_BYTES``
                     reach = np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TASK_BYTES)
                     upto = min(starts[min(np.searchsorted(starts, max(reach, at + 1)), len(starts) - 1)], last)
                     yield flush(rows.iloc[at:upto])
@@ -238,32 +355,46 @@ def least_documents(segments: DataFrame) -> DataFrame:
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
-            for anchor, segment, doc_id, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "segment", "doc_id", "bytes"))):
+            for anchor, segment, doc_id, shift, data in zip(*(batch.column(c).to_pylist() for c in (
+                    "anchor", "segment", "doc_id", "shift", "bytes"))):
                 for at in range(len(data) - LENGTH + 1):
                     digest = hashlib.blake2b(data[at:at + LENGTH], digest_size=16).digest()
-                    for column, value in zip(out, (digest, anchor, segment, doc_id, at)):
+                    for column, value in zip(out, (digest, anchor, segment, doc_id, shift + at)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), *(pa.array(c, pa.int64()) for c in out[1:])],
                                              names=["window", "anchor", "segment", "doc_id", "shift"])
 
-    usual = segments.where("NOT many").repartition("anchor").sortWithinPartitions("anchor")
-    sorted_out = usual.select("anchor", "segment", "doc_id", "bytes").mapInArrow(run, RESULT)
-    single = staged(segments.where("many").mapInArrow(
+    usual = segments.where("NOT many").select(
+        F.col("anchor").alias("key"), "anchor", "segment", "doc_id", F.lit(0).cast("long").alias("shift"), "bytes")
+    parts = released(cut_in_two(segments.where("many")), "halves")
+    crowded = released(parts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("key"), "crowded")
+    to_sort = usual.unionAll(parts.join(crowded, "key", "left_anti")).repartition("key").sortWithinPartitions("key")
+    sorted_out = released(to_sort.mapInArrow(run, RESULT), "sorted")
+    single = released(parts.join(crowded, "key", "left_semi").select(*parts.columns).mapInArrow(
         windows, "window binary, anchor long, segment long, doc_id long, shift long"), "windows")
-    first = staged(single.groupBy("window").agg(F.min("doc_id").alias("least")), "windows")
+    discard(segments, parts, crowded)
+    first = released(single.groupBy("window").agg(F.min("doc_id").alias("least")), "windows")
     one = F.struct("shift", F.lit(1).cast("long").alias("windows"), "least")
-    one_by_one = single.join(first, "window").groupBy("anchor", "segment").agg(F.collect_list(one).alias("runs"))
+    one_by_one = released(single.join(first, "window").groupBy("anchor", "segment").agg(F.collect_list(one).alias("runs")), "single")
+    discard(single, first)
     return sorted_out.unionAll(one_by_one)
 
 
 def spans_of(found: DataFrame, least: DataFrame) -> DataFrame:
     """``doc_id, runs``: the runs of bytes (from, to) to remove of each document, in order; they may
     overlap."""
-    met = found.join(least, ["anchor", "segment"]).select("doc_id", "start", F.explode("runs").alias("run"))
     low = F.col("start") + F.col("run.shift")
-    return met.where(F.col("run.least") < F.col("doc_id")).groupBy("doc_id").agg(
-        F.sort_array(F.collect_set(F.struct(
-            low.alias("low"), (low + F.col("run.windows") + (LENGTH - 1)).alias("high")))).alias("runs"))
+
+    def part(number: int) -> DataFrame:
+        met = found.where(_part("anchor", number)).join(least.where(_part("anchor", number)), ["anchor", "segment"]).select(
+            "doc_id", "start", F.explode("runs").alias("run"))
+        return met.where(F.col("run.least") < F.col("doc_id")).groupBy("doc_id").agg(F.collect_set(F.struct(
+            low.alias("low"), (low + F.col("run.windows") + (LENGTH - 1)).alias("high"))).alias("runs"))
+
+    parts = in_parts(map(part, range(PARTS)), "spans")
+    out = released(parts.groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("runs"))).alias("runs")), "runs")
+    discard(parts)
+    return out
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -271,17 +402,19 @@ def judged(docs: DataFrame) -> DataFrame:
     has as well, ``open`` for one that has to be searched, ``still`` for one that stays as it is
     (shorter than a window, or without a usable id)."""
     whole = F.coalesce("text", F.lit("")).cast("binary")
-    rows = staged(docs.select(F.col("doc_id").cast("long"), F.sha2(whole, 256).alias("sha"),
+    rows = released(docs.select(F.col("doc_id").cast("long"), F.sha2(whole, 256).alias("sha"),
                               F.octet_length(whole).cast("long").alias("bytes")), "texts")
     first = rows.where("doc_id IS NOT NULL").groupBy("sha").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first != last")
     several = rows.groupBy("doc_id").agg(F.min("sha").alias("a"), F.max("sha").alias("b")).where("a != b")
-    copies = staged(first.select("sha", "first"), "copies")
-    clashes = staged(several.select("doc_id", F.lit(True).alias("clash")), "clashes")
+    copies = released(first.select("sha", "first"), "copies")
+    clashes = released(several.select("doc_id", F.lit(True).alias("clash")), "clashes")
     state = F.when((F.col("bytes") < LENGTH) | F.col("doc_id").isNull() | F.col("clash"), "still").when(
         F.col("doc_id") > F.col("first"), "copy").otherwise("open")
-    return staged(rows.join(clashes, "doc_id", "left").join(copies, "sha", "left")
-                  .withColumn("state", state).drop("clash", "first"), "judged")
+    out = released(rows.join(clashes, "doc_id", "left").join(copies, "sha", "left")
+                   .withColumn("state", state).drop("clash", "first"), "judged")
+    discard(rows, copies, clashes)
+    return out
 
 
 def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -290,19 +423,24 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     states = judged(docs)
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
     # copies and short texts stay out of the search
-    out = staged(states.where("state != 'open' AND doc_id IS NOT NULL").select("doc_id").distinct(), "out")
+    out = released(states.where("state != 'open' AND doc_id IS NOT NULL").select("doc_id").distinct(), "out")
     searched = without(texts, out)
-    shared = staged(anchors(searched).groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-                    .where("a != b").select("anchor"), "anchors")
-    found = staged(occurrences(searched, shared), "occurrences")
-    alone, several = first_places(found)
-    segments = staged(segment_bytes(searched, several), "segments")
+    twice = released(states.where("state = 'open'").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                     .select("doc_id"), "twice")
+    if not twice.isEmpty():  # equal rows of a document, which are one to the search
+        searched = without(searched, twice).unionAll(among(searched, twice).dropDuplicates(["doc_id"]))
+    shared = released(shared_anchors(searched), "anchors")
+    found = released(occurrences(searched, shared), "occurrences")
+    discard(shared, out, twice)
+    first, several = first_places(found)
     whole = F.struct(F.lit(0).cast("long").alias("shift"), (F.col("x.length") - (LENGTH - 1)).alias("windows"),
                      F.col("x.doc_id").alias("least"))
-    same = alone.select("anchor", "segment", F.array(whole).alias("runs"))
-    least = staged(least_documents(segments).unionAll(same), "least")
-    runs = staged(spans_of(found, least), "runs")
-    discard(shared, found, segments, least)
+    same = released(first.join(several, "anchor", "left_anti").select("anchor", "segment", F.array(whole).alias("runs")), "same")
+    segments = segment_bytes(texts, first.join(several, "anchor"))
+    discard(first, several)
+    least = least_documents(segments).unionAll(same)
+    runs = spans_of(found, least)
+    discard(found, least)
     return states, runs
 
 
@@ -340,7 +478,7 @@ def report(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "removed", "runs", "left"])
 
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
-    changed = staged(among(texts, runs).select("doc_id", "text", "runs").mapInArrow(
+    changed = released(among(texts, runs).select("doc_id", "text", "runs").mapInArrow(
         cut, "doc_id long, removed long, runs long, left string").distinct(), "changed")
     copy = F.col("state") == "copy"
     return states.join(changed, "doc_id", "left").select(
@@ -354,7 +492,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text`` (a character cut in part goes whole)
     and ``n_chars`` set anew where it is there; documents of which nothing is left are gone."""
     states, runs = removals(docs)
-    copies = staged(states.where("state = 'copy'").select("doc_id").distinct(), "copies")
+    copies = released(states.where("state = 'copy'").select("doc_id").distinct(), "copies")
     rest = without(docs, copies)
     joined = rest.join(runs.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
 

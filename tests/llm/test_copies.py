@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -206,6 +207,58 @@ def test_pieces_of_long_texts_overlap():
     assert whole == {(k, text[k:k + 50]) for k in range(len(text) - 49)}
 
 
+def test_parts_of_segments_hold_every_window_once_and_equal_windows_meet():
+    rng = random.Random(11)
+    texts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(50, 400))) for _ in range(40)]
+    texts += [prose(12, 60).encode(), b"a" * 90, prose(13, 9).encode() + prose(12, 60).encode()]
+    keys = defaultdict(set)
+    for row, start, length, anchor, _ in suffix_dedup.batch_segments(texts):
+        segments = [texts[r][s:s + n] for r, s, n in zip(row, start, length)]
+        places = suffix_dedup.anchor_places(segments)
+        assert all((p <= 30) & (len(s) - 50 <= p) for p, s in zip(places, segments))
+        for data, own, place in zip(segments, anchor.view(np.int64).tolist(), places.tolist()):
+            held = []
+            for key, shift, part in suffix_dedup.halves(own, data, place):
+                held += [(shift + k, part[k:k + 50]) for k in range(len(part) - 49)]
+                for k in range(len(part) - 49):
+                    keys[part[k:k + 50]].add(key)
+            assert held == [(k, data[k:k + 50]) for k in range(len(data) - 49)]
+    assert len(keys) > 1000 and {len(k) for k in keys.values()} == {1}
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName(): f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_search_leaves_no_files_behind_but_its_results(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("pulsegrid.llm.common.shared_folder", lambda _: str(tmp_path))
+    rows = repeated_rows() + [(1000 + i, prose(1000 + i, 900), "en", "a", 1) for i in range(60)]
+    before = shuffle_files(spark)
+    _, runs = suffix_dedup.removals(frame(spark, rows))
+    left = sorted(p.name.split("-")[1] for p in tmp_path.glob("llm-*"))
+    assert left == ["judged", "runs"]
+    assert {r.doc_id for r in runs.select("doc_id").collect()} >= {1, 2, 3}
+    ended = time.time() + 20
+    while (size := sum(n for name, n in shuffle_files(spark).items() if name not in before)) > 50_000 and time.time() < ended:
+        time.sleep(0.5)
+    assert size <= 50_000
+
+
+def test_anchor_counts_take_less_than_eight_bytes_each(spark):
+    rows = [(i, prose(i, 400), "en", "a", 1) for i in range(50)] + [(90, prose(3, 400) + " more", "en", "a", 1)]
+    found = [(int(r), int(a)) for own, _, _, anchor, _ in suffix_dedup.batch_segments([t.encode() for _, t, *_ in rows])
+             for r, a in zip(own, anchor)]
+    blobs = suffix_dedup.anchors(frame(spark, rows)).collect()
+    assert sum(len(r.anchors) for r in blobs) <= 5 * len(set(found))
+    of = defaultdict(set)
+    for r, a in found:
+        of[a].add(r)
+    shared = {r.anchor for r in suffix_dedup.shared_anchors(frame(spark, rows)).collect()}
+    several = {a for a, docs in of.items() if len(docs) > 1}
+    assert several and {np.uint64(a >> 12 << 12).view(np.int64).item() for a in several} == shared
+
+
 # --- pipeline ---------------------------------------------------------------------------
 def test_pipeline_stages_against_plain_versions(spark):
     docs, seen = table(spark, FOLDER, "documents"), {}
