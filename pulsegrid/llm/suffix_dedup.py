@@ -21,7 +21,8 @@ up to ``LENGTH + LENGTH - GRAM`` bytes.
 5. Occurrences meet their segment's result and give spans, spans meet the texts.
 
 Every step's shuffle files go when it is written, its inputs when nothing reads them any more; texts meet
-places, and occurrences results, in ``PARTS`` rounds, so that a round's shuffle is a part of the whole.
+places, and occurrences results, in ``PARTS`` rounds, so that a round's shuffle is a part of the whole;
+below ``ROUND_BYTES`` of text in one.
 
 All removals are judged on the input. Anchors and segments are told by 64-bit hashes each; a wrong
 match needs both to collide.
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.bitmap import among, bitmap, maybe_in, without
+from pulsegrid.llm.bitmap import among, bitmap, marked, maybe_in, without
 from pulsegrid.llm.common import bound_batches, discard, released
 from pulsegrid.llm.shingles import mixed
 from pulsegrid.llm.suffix_array import least_runs
@@ -49,7 +50,7 @@ HOT = 4096
 TASK_BYTES = 1 << 18  # of segments in one suffix array; what fits the processor's cache sorts faster
 LOG2_BITS = 27  # of the anchor filter: 16 MB
 PIECE = 1 << 19  # bytes of text looked at together
-PARTS = 4
+PARTS, ROUND_BYTES = 4, 1 << 28
 BUCKET, PREFIX = 12, 52  # bits of an anchor that say where it is counted, and that are counted
 HALF = 16  # windows that start so far before the anchor or farther are the left part of a segment
 _U = np.uint64
@@ -229,8 +230,8 @@ def first_places(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first, released(several.select("anchor", (F.col("n") > HOT).alias("many")), "several")
 
 
-def _part(column: str, number: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit("part"), column), F.lit(PARTS)) == number
+def _part(column: str, number: int, parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit("part"), column), F.lit(parts)) == number if parts > 1 else F.lit(True)
 
 
 def in_parts(frames: Iterable[DataFrame], name: str) -> DataFrame:
@@ -238,7 +239,7 @@ def in_parts(frames: Iterable[DataFrame], name: str) -> DataFrame:
     return reduce(DataFrame.unionAll, [released(frame, name) for frame in frames])
 
 
-def segment_bytes(texts: DataFrame, first: DataFrame) -> DataFrame:
+def segment_bytes(texts: DataFrame, first: DataFrame, parts: int) -> DataFrame:
     """``anchor, segment, many, doc_id, bytes``: each segment, from its first document. Reads ``first``
     once."""
     places = released(first.groupBy("x.doc_id").agg(F.collect_list(
@@ -256,12 +257,15 @@ def segment_bytes(texts: DataFrame, first: DataFrame) -> DataFrame:
                 [flat.field(0), flat.field(1), flat.field(4), batch.column("doc_id").take(pa.array(row)),
                  pa.array(cut, pa.binary())], names=["anchor", "segment", "many", "doc_id", "bytes"])
 
+    tested = marked(texts, places, "doc_id")
+
     def part(number: int) -> DataFrame:
-        met = among(texts.where(_part("doc_id", number)), places.where(_part("doc_id", number)))
+        own = _part("doc_id", number, parts)
+        met = tested.where(own).where("_maybe").join(places.where(own), "doc_id")
         return met.select("doc_id", "text", "places").mapInArrow(
             run, "anchor long, segment long, many boolean, doc_id long, bytes binary")
 
-    out = in_parts(map(part, range(PARTS)), "segments")
+    out = in_parts(map(part, range(parts)), "segments")
     discard(places)
     return out
 
@@ -380,20 +384,21 @@ def least_documents(segments: DataFrame) -> DataFrame:
     return sorted_out.unionAll(one_by_one)
 
 
-def spans_of(found: DataFrame, least: DataFrame) -> DataFrame:
+def spans_of(found: DataFrame, least: DataFrame, parts: int) -> DataFrame:
     """``doc_id, runs``: the runs of bytes (from, to) to remove of each document, in order; they may
     overlap."""
     low = F.col("start") + F.col("run.shift")
 
     def part(number: int) -> DataFrame:
-        met = found.where(_part("anchor", number)).join(least.where(_part("anchor", number)), ["anchor", "segment"]).select(
+        own = _part("anchor", number, parts)
+        met = found.where(own).join(least.where(own), ["anchor", "segment"]).select(
             "doc_id", "start", F.explode("runs").alias("run"))
         return met.where(F.col("run.least") < F.col("doc_id")).groupBy("doc_id").agg(F.collect_set(F.struct(
             low.alias("low"), (low + F.col("run.windows") + (LENGTH - 1)).alias("high"))).alias("runs"))
 
-    parts = in_parts(map(part, range(PARTS)), "spans")
-    out = released(parts.groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("runs"))).alias("runs")), "runs")
-    discard(parts)
+    spans = in_parts(map(part, range(parts)), "spans")
+    out = released(spans.groupBy("doc_id").agg(F.sort_array(F.flatten(F.collect_list("runs"))).alias("runs")), "runs")
+    discard(spans)
     return out
 
 
@@ -421,6 +426,8 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``judged`` rows, and ``doc_id, runs`` of the open documents that lose bytes."""
     bound_batches(docs.sparkSession)
     states = judged(docs)
+    size = states.where("state = 'open'").agg(F.sum("bytes")).first()[0] or 0
+    parts = PARTS if size > ROUND_BYTES else 1
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL")
     # copies and short texts stay out of the search
     out = released(states.where("state != 'open' AND doc_id IS NOT NULL").select("doc_id").distinct(), "out")
@@ -436,10 +443,10 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     whole = F.struct(F.lit(0).cast("long").alias("shift"), (F.col("x.length") - (LENGTH - 1)).alias("windows"),
                      F.col("x.doc_id").alias("least"))
     same = released(first.join(several, "anchor", "left_anti").select("anchor", "segment", F.array(whole).alias("runs")), "same")
-    segments = segment_bytes(texts, first.join(several, "anchor"))
+    segments = segment_bytes(texts, first.join(several, "anchor"), parts)
     discard(first, several)
     least = least_documents(segments).unionAll(same)
-    runs = spans_of(found, least)
+    runs = spans_of(found, least, parts)
     discard(found, least)
     return states, runs
 

@@ -233,12 +233,17 @@ def shuffle_files(spark):
 
 def test_search_leaves_no_files_behind_but_its_results(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("pulsegrid.llm.common.shared_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(suffix_dedup, "ROUND_BYTES", 0)
     rows = repeated_rows() + [(1000 + i, prose(1000 + i, 900), "en", "a", 1) for i in range(60)]
     before = shuffle_files(spark)
-    _, runs = suffix_dedup.removals(frame(spark, rows))
+    states, runs = suffix_dedup.removals(frame(spark, rows))
     left = sorted(p.name.split("-")[1] for p in tmp_path.glob("llm-*"))
     assert left == ["judged", "runs"]
-    assert {r.doc_id for r in runs.select("doc_id").collect()} >= {1, 2, 3}
+    want, got = plain_removal([r[:2] for r in rows]), {r.doc_id: r.runs for r in runs.collect()}
+    text = {r[0]: (r[1] or "").encode() for r in rows}
+    opened = [r.doc_id for r in states.where("state = 'open'").collect()]
+    assert len(opened) > 100 and len(got) > 50
+    assert {i: suffix_dedup.kept(text[i], got.get(i, [])) for i in opened} == {i: want[i] for i in opened}
     ended = time.time() + 20
     while (size := sum(n for name, n in shuffle_files(spark).items() if name not in before)) > 50_000 and time.time() < ended:
         time.sleep(0.5)
